@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tillmart.operators import checks
 from tillmart.operators.upsert import merge_rows, newer_than
-from tillmart.oracles import ORACLES
+from tillmart.oracles import MAYBE_NULL, ORACLES
 from tillmart.plans import analysis, build, incremental, marts, quality, staging
 from tillmart.session import tune
 from tillmart.sources import tables, testdata
@@ -53,12 +53,13 @@ class Models:
         return {name: getattr(self, name) for name in quality.NOT_NULL}
 
 
-def _comparable(df: DataFrame) -> DataFrame:
+def _comparable(name: str, df: DataFrame) -> DataFrame:
     """Drop the run's timestamps; one width for whole numbers, doubles for decimals."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
+        maybe_null = field.name in MAYBE_NULL.get(name, ())
+        if maybe_null or isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, T.IntegralType):
             column = column.cast("bigint")
@@ -205,15 +206,14 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every registered query, by name."""
 
-    def on_models(query: Callable[[Models], DataFrame]) -> Query:
-        return lambda spark, sf_dir: _comparable(query(Models(tune(spark), sf_dir)))
+    def on_models(name: str) -> Query:
+        return lambda spark, sf_dir: _comparable(name, ON_MODELS[name](Models(tune(spark), sf_dir)))
 
-    def on_files(query: Query) -> Query:
-        return lambda spark, sf_dir: _comparable(query(tune(spark), sf_dir))
+    def on_files(name: str) -> Query:
+        return lambda spark, sf_dir: _comparable(name, ON_FILES[name](tune(spark), sf_dir))
 
-    return {
-        **{name: on_models(query) for name, query in ON_MODELS.items()},
-        **{name: on_files(query) for name, query in ON_FILES.items()},
+    return {name: on_models(name) for name in ON_MODELS} | {
+        name: on_files(name) for name in ON_FILES
     }
 
 

@@ -377,3 +377,24 @@ ORACLES["upsert_transactions"] = _sql(
     _CHANGED,
 )
 ORACLES["incremental_load"] = ORACLES["upsert_transactions"]
+
+
+# Whole numbers that can be NULL, by query. Both sides give them as doubles, since pandas
+# would hold one side's as floating point and the other's as nullable integers.
+MAYBE_NULL = {
+    "int_transactions_joined": ["store_id"],
+    "fact_transactions": ["store_id"],
+    "top_10_stores": ["store_id"],
+    "top_5_stores": ["store_id"],
+    "top_10_products": ["store_id"],
+    "top_5_products": ["store_id"],
+    "percentage_transactions_by_device": ["device_type"],
+    "device_efficiency": ["device_type"],
+    "build_device_efficiency": ["device_type"],
+    "failing_not_null": ["store_id"],
+    "failing_accepted_range": ["store_id"],
+    "ingest_blank_row_drop": ["device_id"],
+}
+for _name, _columns in MAYBE_NULL.items():
+    _casts = ", ".join(f"cast({column} as double) as {column}" for column in _columns)
+    ORACLES[_name] = f"select * replace ({_casts}) from ({ORACLES[_name]})"
