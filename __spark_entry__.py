@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.operators import checks
-from tillmart.operators.upsert import merge_rows, newer_than
+from tillmart.operators.upsert import high_water, merge_rows, newer_than
 from tillmart.oracles import MAYBE_NULL, ORACLES
 from tillmart.plans import analysis, build, incremental, marts, quality, staging
 from tillmart.session import tune
 from tillmart.sources import tables, testdata
-from tillmart.sources.raw import drop_blank_rows
+from tillmart.sources.raw import drop_blank_rows, land
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,7 +94,7 @@ def _held(raw: DataFrame) -> DataFrame:
 def _upsert(m: Models) -> DataFrame:
     raw = m.raw["transactions"]
     target = staging.stg_transactions(_held(raw))
-    new = newer_than(_resent(raw), "created_at", target, "record_created_at")
+    new = newer_than(_resent(raw), "created_at", high_water(target, "record_created_at"))
     return merge_rows(target, staging.stg_transactions(new), "transaction_id")
 
 
@@ -126,7 +126,7 @@ def _built(spark: SparkSession, sf_dir: str) -> build.Warehouse:
     """A warehouse written from the driver's tables, once per session and folder."""
     warehouse = build.Warehouse(spark, _new_warehouse(spark))
     for name, read in testdata.RAW_TABLES.items():
-        tables.replace(read(spark, sf_dir), tables.table_path(warehouse.path, "raw", name))
+        land(read(spark, sf_dir), warehouse.path, name)
     # Unknown devices leave transactions without a store, which is an error to the checks.
     build.refresh(warehouse, stop_on_error=False)
     return warehouse

@@ -1,0 +1,251 @@
+"""The incremental load: high-water filter, merge, schema guard, idempotence, file stream."""
+
+from __future__ import annotations
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmart.operators.upsert import SchemaChanged, high_water, merge_rows, newer_than
+from tillmart.plans.incremental import load_transactions, transactions_table
+from tillmart.sources import tables
+from tillmart.streaming.incremental import load_new_files
+
+RAW = (
+    "id bigint, device_id bigint, product_sku string, amount double, status string, "
+    "card_number string, happened_at timestamp_ntz, created_at timestamp_ntz"
+)
+
+
+@pytest.fixture
+def raw(rows):
+    """Raw transactions given as (id, status, created at)."""
+
+    def make(*values):
+        full = []
+        for key, status, at in values:
+            moment = f"2024-01-01 {at}"
+            full.append((key, 1, "v1.0", "1.0", status, "4000", moment, moment))
+        return rows(RAW, *full)
+
+    return make
+
+
+@pytest.fixture
+def table(tmp_path):
+    return transactions_table(str(tmp_path / "warehouse"), keys_per_range=10, folders=4)
+
+
+def held(spark, table):
+    return sorted(
+        tuple(row)
+        for row in table.read(spark)
+        .select("transaction_id", "transaction_status", F.date_format("record_created_at", "HH:mm"))
+        .collect()
+    )
+
+
+FIRST = [(1, "accepted", "09:00:00"), (2, "refused", "10:00:00"), (35, "cancelled", "08:00:00")]
+
+
+def test_first_load_takes_everything(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    assert held(spark, table) == [
+        (1, "completed", "09:00"),
+        (2, "failed", "10:00"),
+        (35, "cancelled", "08:00"),
+    ]
+
+
+SECOND = [
+    (3, "accepted", "10:00:00"),  # as old as the latest row held
+    (4, "accepted", "09:59:00"),  # late
+    (5, "accepted", "10:01:00"),  # new
+    (1, "refused", "10:02:00"),  # changed
+    (1005, "accepted", "10:03:00"),  # new, in a folder of its own
+]
+AFTER_SECOND = [
+    (1, "failed", "10:02"),
+    (2, "failed", "10:00"),
+    (5, "completed", "10:01"),
+    (35, "cancelled", "08:00"),
+    (1005, "completed", "10:03"),
+]
+
+
+def test_only_newer_rows_are_merged(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    load_transactions(raw(*FIRST, *SECOND), table)
+    assert held(spark, table) == AFTER_SECOND
+
+
+def test_loading_again_changes_nothing(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    for _ in range(2):
+        load_transactions(raw(*FIRST, *SECOND), table)
+    assert held(spark, table) == AFTER_SECOND
+
+
+def test_full_refresh_starts_over(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    load_transactions(raw((9, "accepted", "01:00:00")), table, full_refresh=True)
+    assert held(spark, table) == [(9, "completed", "01:00")]
+
+
+def test_an_empty_table_takes_nothing(spark, raw, table):
+    load_transactions(raw(), table)
+    assert table.exists(spark)
+    load_transactions(raw(*FIRST), table)
+    assert held(spark, table) == []
+
+
+def test_equal_keys_in_a_batch_and_null_keys_are_kept(spark, raw, table):
+    load_transactions(raw(*FIRST, (None, "accepted", "07:00:00")), table)
+    load_transactions(
+        raw((2, "accepted", "11:00:00"), (2, "refused", "11:01:00"), (None, "refused", "11:02:00")),
+        table,
+    )
+    found = table.read(spark).select("transaction_id", "transaction_status").collect()
+    assert sorted(map(tuple, found), key=str) == [
+        (1, "completed"),
+        (2, "completed"),
+        (2, "failed"),
+        (35, "cancelled"),
+        (None, "completed"),
+        (None, "failed"),
+    ]
+
+
+def test_merge_leaves_other_folders_alone(spark, raw, table):
+    def files():
+        return {
+            os.path.join(folder, name)
+            for folder, _, names in os.walk(table.path)
+            for name in names
+            if name.endswith(".parquet")
+        }
+
+    load_transactions(raw(*FIRST), table)
+    before = files()
+    load_transactions(raw((3, "accepted", "12:00:00")), table)
+    kept, replaced = before & files(), before - files()
+    assert len(kept) == 1 and len(replaced) == 1
+    assert all(re.search(r"_10x4=3/", path) for path in kept)  # key 35
+    assert all(re.search(r"_10x4=0/", path) for path in replaced)
+
+
+def test_merge_cleans_up_its_scratch(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    load_transactions(raw(*SECOND), table)
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    assert not [name for name in os.listdir(scratch) if name.startswith("stg_transactions-")]
+
+
+def test_swap_can_be_repeated(spark, raw, table, monkeypatch):
+    """A run that dies in the swap leaves its staged folders; swapping them in finishes it."""
+    load_transactions(raw(*FIRST), table)
+    monkeypatch.setattr(type(table), "swap_in", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        load_transactions(raw(*FIRST, *SECOND), table)
+    monkeypatch.undo()
+    assert len(held(spark, table)) == len(FIRST)
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    (staged,) = [name for name in os.listdir(scratch) if name.startswith("stg_transactions-")]
+    for _ in range(2):
+        table.swap_in(spark, f"{scratch}/{staged}/merged")
+    assert held(spark, table) == AFTER_SECOND
+    tables.delete(spark, f"{scratch}/{staged}")
+
+
+def test_a_table_keeps_its_layout(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    other = transactions_table(table.warehouse, keys_per_range=20, folders=4)
+    with pytest.raises(Exception, match="transaction_id_20x4"):
+        load_transactions(raw(*SECOND), other)
+
+
+def test_keys_of_any_size_fill_a_bounded_number_of_folders(spark, raw, table):
+    keys = [-(2**63), -5, 2**63 - 1, *range(0, 2000, 7)]
+    load_transactions(raw(*[(k, "accepted", "09:00:00") for k in keys]), table)
+    assert len([f for f in os.listdir(table.path) if "=" in f]) <= 4
+    assert table.read(spark).count() == len(keys)
+
+
+def test_schema_changes_are_refused(rows):
+    target = rows("k bigint, v string", (1, "a"))
+    for batch in (
+        rows("k bigint, v string, w int", (1, "a", 1)),
+        rows("k bigint", (1,)),
+        rows("k bigint, v int", (1, 1)),
+    ):
+        with pytest.raises(SchemaChanged):
+            merge_rows(target, batch, "k")
+
+
+def test_refused_batch_leaves_the_table_alone(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    before = held(spark, table)
+    with pytest.raises(SchemaChanged, match="extra"):
+        table.merge(table.read(spark).withColumn("extra", F.lit(1)))
+    assert held(spark, table) == before
+
+
+def test_column_order_may_differ(rows):
+    merged = merge_rows(
+        rows("k bigint, v string", (1, "a"), (2, "b")), rows("v string, k bigint", ("c", 2)), "k"
+    )
+    assert sorted(map(tuple, merged.collect())) == [(1, "a"), (2, "c")]
+
+
+def test_high_water_skips_days_already_held(spark, rows, tmp_path):
+    """The scan reads the row groups of the last day only."""
+    days = [(day, 1, "1", 1.0, "accepted", "4", *[f"2024-01-{day:02d} 10:00:00"] * 2) for day in (1, 2, 3)]
+    for day in days:
+        rows(RAW, day).withColumn("created_on", F.to_date("created_at")).write.mode(
+            "append"
+        ).parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    bound = high_water(rows("t timestamp_ntz", ("2024-01-02 10:00:00",), (None,)), "t")
+    new = newer_than(raw, "created_at", bound, "created_on")
+    assert [row["id"] for row in new.collect()] == [3]
+    assert scanned_rows(new) == 2
+
+
+def scanned_rows(df):
+    """Rows the file scans of a collected DataFrame put out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    total, pending = 0, [plan]
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            pending.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            pending.append(node.plan())
+        elif kind == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        else:
+            children = node.children()
+            pending += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_new_files_are_loaded_once(spark, raw, table, tmp_path):
+    folder, progress = str(tmp_path / "arriving"), str(tmp_path / "progress")
+    raw(*FIRST).write.mode("append").parquet(folder)
+    load_new_files(spark, folder, table, progress)
+    assert len(held(spark, table)) == len(FIRST)
+    raw(*SECOND).write.mode("append").parquet(folder)
+    for _ in range(2):
+        load_new_files(spark, folder, table, progress)
+    assert held(spark, table) == AFTER_SECOND
+
+
+def test_files_seen_again_change_nothing(spark, raw, table, tmp_path):
+    folder = str(tmp_path / "arriving")
+    raw(*FIRST).write.parquet(folder)
+    for run in range(2):  # as after losing the record of files seen
+        load_new_files(spark, folder, table, str(tmp_path / f"progress{run}"))
+    assert len(held(spark, table)) == len(FIRST)

@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import logging
+from datetime import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from tillmart.sources import raw, seeds, tables
+from tillmart.sources.schemas import RAW_SCHEMAS
+
+DEVICE_TYPES = {f.name: f.dataType for f in RAW_SCHEMAS["devices"].fields}
+
+
+def write(folder, text, name="part.csv"):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+    return str(folder)
+
+
+def test_csv_is_typed_by_hints(spark, tmp_path):
+    path = write(
+        tmp_path / "t",
+        "id,product_sku,amount,card_number,happened_at,note\n"
+        '1,0012,3.50,4000123412341234,2024-01-01 10:00:00,"a, b"\n'
+        "x,v1.0,abc,,not a time,\n",
+    )
+    df = raw.read_csv(spark, path, RAW_SCHEMAS["transactions"])
+    assert dict(df.dtypes) == {
+        "id": "bigint",
+        "product_sku": "string",
+        "amount": "double",
+        "card_number": "string",
+        "happened_at": "timestamp_ntz",
+        "note": "string",
+    }
+    assert sorted(map(tuple, df.collect()), key=str) == [
+        (1, "0012", 3.5, "4000123412341234", datetime(2024, 1, 1, 10), "a, b"),
+        (None, "v1.0", None, None, None, None),
+    ]
+
+
+def test_csv_of_many_files(spark, tmp_path):
+    for i in range(3):
+        path = write(tmp_path / "t", f"id,store_id\n{i + 1},{i}\n", f"{i}.csv")
+    assert raw.read_csv(spark, path, RAW_SCHEMAS["devices"]).count() == 3
+
+
+def test_csv_files_must_share_a_header(spark, tmp_path):
+    write(tmp_path / "t", "id,store_id\n1,2\n3,4\n5,6\n", "a.csv")
+    path = write(tmp_path / "t", "store_id,id\n1,2\n", "b.csv")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        raw.read_csv(spark, path, RAW_SCHEMAS["devices"]).collect()
+
+
+def test_last_of_equal_header_names_wins(spark, tmp_path):
+    path = write(tmp_path / "t", "id,type,id\n1,2,3\n")
+    df = raw.read_csv(spark, path, RAW_SCHEMAS["devices"])
+    assert df.columns == ["id", "type"]
+    assert tuple(df.first()) == (3, 2)
+
+
+def test_blank_rows_of_csv(spark, tmp_path):
+    path = write(tmp_path / "t", 'id,type,note\n,"",\n0,0.0,\n0,,x\n,1,\nabc,,\n0,,0\n')
+    df = raw.read_csv(spark, path, RAW_SCHEMAS["devices"])
+    assert sorted(map(tuple, df.collect()), key=str) == [
+        (0, None, "0"),  # text, not a number: filled
+        (0, None, "x"),
+        (None, 1, None),
+        (None, None, None),  # 'abc' is filled, though no id
+    ]
+
+
+def test_blank_rows_of_typed_columns(rows):
+    df = rows(
+        "a bigint, b string, c double, d boolean",
+        (None, "", 0, None),
+        (None, "", 0, "false"),
+        (None, None, None, None),
+        (None, "", 1, None),
+        (0, "x", None, None),
+        (None, None, None, "true"),
+        (None, " ", None, None),
+    )
+    assert raw.drop_blank_rows(df).count() == 4
+
+
+def test_empty_csv(spark, tmp_path):
+    path = write(tmp_path / "t", "id,store_id\n")
+    assert raw.read_csv(spark, path, RAW_SCHEMAS["devices"]).count() == 0
+
+
+def test_parquet_is_cast_by_hints(spark, tmp_path, rows):
+    path = str(tmp_path / "devices")
+    rows("id string, type int, colour string", (7, 1, "red")).write.parquet(path)
+    df = raw.read_parquet(spark, path, RAW_SCHEMAS["devices"])
+    assert df.dtypes == [("id", "bigint"), ("type", "bigint"), ("colour", "string")]
+    assert tuple(df.first()) == (7, 1, "red")
+
+
+def test_ingest_skips_missing_tables_and_replaces(spark, tmp_path, caplog):
+    root, warehouse = tmp_path / "raw", str(tmp_path / "warehouse")
+    write(root / "stores", "id,name\n1,a\n2,b\n")
+    write(root, "id,type\n1,2\n", "devices.csv")  # a single file instead of a folder
+    with caplog.at_level(logging.WARNING):
+        assert raw.ingest(spark, warehouse, str(root), "csv") == ["stores", "devices"]
+    assert "no transactions input" in caplog.text
+
+    write(root / "stores", "id,name\n9,z\n")
+    raw.ingest(spark, warehouse, str(root), "csv")
+    stores = tables.read(spark, tables.table_path(warehouse, "raw", "stores"))
+    assert [tuple(r) for r in stores.collect()] == [(9, "z")]
+
+
+def test_raw_root_comes_from_argument_then_environment(monkeypatch):
+    monkeypatch.delenv("RAW_DATA_PATH", raising=False)
+    assert raw.raw_root() == "data/raw"
+    monkeypatch.setenv("RAW_DATA_PATH", "/shared/raw")
+    assert raw.raw_root() == "/shared/raw"
+    assert raw.raw_root("/other") == "/other"
+
+
+def test_seed_from_csv_with_trailing_blank_in_header(spark, tmp_path):
+    lines = [f'{key},"{text}"' for key, text in seeds.DEVICE_DESCRIPTIONS]
+    path = write(tmp_path / "seed", "\n".join(["device_id,device_description ", *lines]) + "\n")
+    seed = seeds.read_seed(spark, path)
+    assert seed.dtypes == [("device_id", "bigint"), ("device_description", "string")]
+    assert sorted(map(tuple, seed.collect())) == seeds.DEVICE_DESCRIPTIONS
+    assert sorted(map(tuple, seeds.device_descriptions(spark).collect())) == (
+        seeds.DEVICE_DESCRIPTIONS
+    )
+
+
+def test_scratch_is_the_checkpoint_folder_of_the_cluster(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert tables.scratch_path(spark, "/warehouse", "x") == f"{configured}/x"
+
+
+def test_exists(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not tables.exists(spark, path)
+    empty = spark.createDataFrame([], T.StructType([T.StructField("a", T.LongType())]))
+    empty.withColumn("b", empty.a).write.partitionBy("b").parquet(path)
+    assert tables.exists(spark, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,16 +30,25 @@ def require_same_columns(target: DataFrame, batch: DataFrame) -> None:
         )
 
 
+def high_water(target: DataFrame, time_column: str) -> datetime | None:
+    """The latest time in the target; None if it is empty."""
+    return target.agg(F.max(time_column)).first()[0]
+
+
 def newer_than(
-    source: DataFrame, source_time: str, target: DataFrame, target_time: str
+    source: DataFrame, time_column: str, bound: datetime | None, day_column: str | None = None
 ) -> DataFrame:
-    """Source rows strictly later than the latest target row; none if the target is empty.
+    """Source rows strictly later than `bound`; no rows if there is none.
 
-    Rows at or before that time are never picked up, late ones included. The bound is one
-    scalar, found first and then pushed into the source's scan.
+    Rows at or before the bound are never picked up, late ones included. Parquet has no
+    filter for zone-less timestamps; with `day_column`, the date of the same time, whole
+    row groups of earlier days are skipped.
     """
-    high_water = target.agg(F.max(target_time)).scalar()
-    return source.filter(F.col(source_time) > high_water)
+    if bound is None:
+        return source.filter(F.lit(False))
+    moment = F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    newer = F.col(time_column) > moment
+    return source.filter(newer & (F.col(day_column) >= F.to_date(moment)) if day_column else newer)
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

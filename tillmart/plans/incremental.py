@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillmart.operators.upsert import KeyedTable, newer_than
+from tillmart.operators.upsert import KeyedTable, high_water, newer_than
 from tillmart.plans.staging import stg_transactions
-from tillmart.sources.schemas import STG_TRANSACTIONS
+from tillmart.sources.schemas import CREATED_ON, STG_TRANSACTIONS
 
 
 def transactions_table(warehouse: str, **layout: int) -> KeyedTable:
@@ -24,5 +24,7 @@ def load_transactions(raw: DataFrame, table: KeyedTable, full_refresh: bool = Fa
     if full_refresh or not table.exists(spark):
         table.replace(stg_transactions(raw))
         return
-    new = newer_than(raw, "created_at", table.read(spark), "record_created_at")
+    bound = high_water(table.read(spark), "record_created_at")
+    day_column = CREATED_ON if CREATED_ON in raw.columns else None
+    new = newer_than(raw, "created_at", bound, day_column)
     table.merge(stg_transactions(new))

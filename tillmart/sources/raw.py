@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.sources import tables
-from tillmart.sources.schemas import RAW_SCHEMAS
+from tillmart.sources.schemas import CREATED_ON, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
 
@@ -29,8 +29,7 @@ def is_filled(cell: Column, data_type: T.DataType) -> Column:
     no number counts as filled.
     """
     if isinstance(data_type, T.NumericType):
-        value = cell.try_cast(data_type)
-        nonzero = F.coalesce(value != 0, F.lit(True))
+        nonzero = F.coalesce(cell.try_cast("double") != 0, F.lit(True))
         return F.coalesce(cell.cast("string") != "", F.lit(False)) & nonzero
     if isinstance(data_type, T.BooleanType):
         return F.coalesce(cell.try_cast(data_type), F.lit(False))
@@ -102,6 +101,13 @@ def load_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet")
     return None
 
 
+def land(df: DataFrame, warehouse: str, table: str) -> None:
+    """Replace a raw table of the warehouse."""
+    if table == "transactions":
+        df = df.withColumn(CREATED_ON, F.to_date("created_at"))
+    tables.replace(df, tables.table_path(warehouse, "raw", table))
+
+
 def ingest(
     spark: SparkSession, warehouse: str, root: str | None = None, fmt: str = "parquet"
 ) -> list[str]:
@@ -117,6 +123,6 @@ def ingest(
         if df is None:
             log.warning("no %s input under %s, table skipped", table, source)
             continue
-        tables.replace(df, tables.table_path(warehouse, "raw", table))
+        land(df, warehouse, table)
         loaded.append(table)
     return loaded

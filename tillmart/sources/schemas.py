@@ -37,6 +37,9 @@ RAW_SCHEMAS = {
     ),
 }
 
+# Added to the written raw transactions: the date of created_at, which Parquet can filter by.
+CREATED_ON = "created_on"
+
 STG_TRANSACTIONS = _schema(
     transaction_id=BIGINT,
     device_id=BIGINT,
