@@ -7,7 +7,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -35,19 +35,41 @@ def _moment(text: str):
 
 
 class Models:
-    """The modelled tables over the driver's data, as one lazy plan each."""
+    """The modelled tables over the driver's data, each a lazy plan built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw = {name: read(spark, sf_dir) for name, read in testdata.RAW_TABLES.items()}
-        self.stg_stores = staging.stg_stores(self.raw["stores"])
-        self.stg_devices = staging.stg_devices(self.raw["devices"])
-        self.stg_transactions = staging.stg_transactions(self.raw["transactions"])
-        self.int_transactions_joined = marts.int_transactions_joined(
-            self.stg_transactions, self.stg_devices
-        )
-        self.fact_transactions = marts.fact_transactions(self.int_transactions_joined)
-        self.dim_stores = marts.dim_stores(self.stg_stores)
-        self.dim_devices = marts.dim_devices(self.stg_devices)
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def raw(self, name: str) -> DataFrame:
+        return testdata.RAW_TABLES[name](self.spark, self.sf_dir)
+
+    @cached_property
+    def stg_stores(self) -> DataFrame:
+        return staging.stg_stores(self.raw("stores"))
+
+    @cached_property
+    def stg_devices(self) -> DataFrame:
+        return staging.stg_devices(self.raw("devices"))
+
+    @cached_property
+    def stg_transactions(self) -> DataFrame:
+        return staging.stg_transactions(self.raw("transactions"))
+
+    @cached_property
+    def int_transactions_joined(self) -> DataFrame:
+        return marts.int_transactions_joined(self.stg_transactions, self.stg_devices)
+
+    @cached_property
+    def fact_transactions(self) -> DataFrame:
+        return marts.fact_transactions(self.int_transactions_joined)
+
+    @cached_property
+    def dim_stores(self) -> DataFrame:
+        return marts.dim_stores(self.stg_stores)
+
+    @cached_property
+    def dim_devices(self) -> DataFrame:
+        return marts.dim_devices(self.stg_devices)
 
     def all(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in quality.NOT_NULL}
@@ -92,7 +114,7 @@ def _held(raw: DataFrame) -> DataFrame:
 
 
 def _upsert(m: Models) -> DataFrame:
-    raw = m.raw["transactions"]
+    raw = m.raw("transactions")
     target = staging.stg_transactions(_held(raw))
     new = newer_than(_resent(raw), "created_at", high_water(target, "record_created_at"))
     return merge_rows(target, staging.stg_transactions(new), "transaction_id")
@@ -122,7 +144,7 @@ def _new_warehouse(spark: SparkSession) -> str:
 
 
 @lru_cache(maxsize=None)
-def _built(spark: SparkSession, sf_dir: str) -> build.Warehouse:
+def built(spark: SparkSession, sf_dir: str) -> build.Warehouse:
     """A warehouse written from the driver's tables, once per session and folder."""
     warehouse = build.Warehouse(spark, _new_warehouse(spark))
     for name, read in testdata.RAW_TABLES.items():
@@ -175,7 +197,7 @@ ON_MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "check_summary": lambda m: quality.run_checks(m.all(), now=_moment(MOMENT)),
     "failing_not_null": lambda m: checks.not_null(m.fact_transactions, "store_id"),
     "failing_accepted_values": lambda m: checks.accepted_values(
-        m.raw["transactions"].select("id", "status"), "status", ["accepted", "refused"]
+        m.raw("transactions").select("id", "status"), "status", ["accepted", "refused"]
     ),
     "failing_accepted_range": lambda m: checks.accepted_range(
         m.fact_transactions, "amount_eur", "1.00", "99.99"
@@ -191,10 +213,10 @@ ON_FILES: dict[str, Query] = {
     "ingest_blank_row_drop": _some_blank_rows,
     "incremental_load": _incremental_load,
     "build_check_results": lambda spark, sf: tables.read(
-        spark, tables.table_path(_built(spark, sf).path, "quality", "check_results")
+        spark, tables.table_path(built(spark, sf).path, "quality", "check_results")
     ),
-    "build_device_efficiency": lambda spark, sf: _built(spark, sf).table("device_efficiency"),
-    "build_store_adoption": lambda spark, sf: _built(spark, sf).table("store_adoption"),
+    "build_device_efficiency": lambda spark, sf: built(spark, sf).table("device_efficiency"),
+    "build_store_adoption": lambda spark, sf: built(spark, sf).table("store_adoption"),
 }
 
 

@@ -142,28 +142,23 @@ def device_efficiency(
 ) -> DataFrame:
     """Volume, success and revenue per device type.
 
-    Pass `unique_keys` where the uniqueness checks on transaction_id and on the device
-    dimension have passed: distinct transactions are then a plain count, and only one
-    row per device, store and task is shuffled. Otherwise equal transaction ids are
-    brought together once, by (type, id), without expanding rows per distinct count.
+    Everything but the transaction counts comes from one row per device, store and task.
+    Pass `unique_keys` where the uniqueness checks on the fact and the device dimension
+    have passed: the transaction counts then come from there as well. Otherwise equal
+    transaction ids are brought together by (type, id), carrying nothing but a flag.
     """
     types = dim_devices.select("device_id", "device_type")
-    revenue = F.sum(F.when(completed(), F.col("amount_eur")).otherwise(F.lit(0)))
-    priced = F.count(F.when(completed(), F.col("amount_eur")))
-
-    if unique_keys:
-        # The key is not NULL either, so every row is one transaction.
-        per_device = (
-            fact.groupBy("device_id", "store_id")
-            .agg(
-                F.count(F.lit(1)).alias("transactions"),
-                F.count_if(completed()).alias("successes"),
-                revenue.alias("revenue"),
-                priced.alias("priced"),
-            )
-            .join(types, "device_id", "left")
+    per_type = (
+        fact.groupBy("device_id", "store_id")
+        .agg(
+            F.count(F.lit(1)).alias("transactions"),
+            F.count_if(completed()).alias("successes"),
+            F.sum(F.when(completed(), F.col("amount_eur")).otherwise(F.lit(0))).alias("revenue"),
+            F.count(F.when(completed(), F.col("amount_eur"))).alias("priced"),
         )
-        metrics = per_device.groupBy("device_type").agg(
+        .join(types, "device_id", "left")
+        .groupBy("device_type")
+        .agg(
             F.count_distinct("store_id").alias("stores_using"),
             F.count_distinct("device_id").alias("unique_devices"),
             F.sum("transactions").alias("total_transactions"),
@@ -171,39 +166,28 @@ def device_efficiency(
             F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
             F.sum("priced").alias("priced"),
         )
-    else:
-        per_transaction = (
-            fact.join(types, "device_id", "left")
-            .groupBy("device_type", "transaction_id")
-            .agg(
-                F.count_if(completed()).alias("successes"),
-                revenue.alias("revenue"),
-                priced.alias("priced"),
-            )
-        )
-        volumes = per_transaction.groupBy("device_type").agg(
-            F.count("transaction_id").alias("total_transactions"),
-            F.count(F.when(F.col("successes") > 0, F.col("transaction_id"))).alias(
-                "successful_transactions"
-            ),
-            F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
-            F.sum("priced").alias("priced"),
-        )
-        spread = (
-            fact.select("device_id", "store_id")
-            .distinct()
+    )
+    if not unique_keys:
+        counted = (
+            fact.select("device_id", "transaction_id", completed().alias("success"))
             .join(types, "device_id", "left")
-            .groupBy(F.col("device_type").alias("spread_type"))
+            .groupBy(F.col("device_type").alias("counted_type"), "transaction_id")
+            .agg(F.max("success").alias("success"))
+            .groupBy("counted_type")
             .agg(
-                F.count_distinct("store_id").alias("stores_using"),
-                F.count_distinct("device_id").alias("unique_devices"),
+                F.count("transaction_id").alias("total_transactions"),
+                F.count(F.when(F.col("success"), F.col("transaction_id"))).alias(
+                    "successful_transactions"
+                ),
             )
         )
-        metrics = volumes.join(spread, F.col("device_type").eqNullSafe(F.col("spread_type")))
+        per_type = per_type.drop("total_transactions", "successful_transactions").join(
+            counted, F.col("device_type").eqNullSafe(F.col("counted_type"))
+        )
 
     transactions, devices = F.col("total_transactions"), F.col("unique_devices")
     stores, euros = F.col("stores_using"), F.col("revenue")
-    return metrics.select(
+    return per_type.select(
         "device_type",
         "stores_using",
         "unique_devices",

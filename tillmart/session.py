@@ -13,9 +13,10 @@ ENGINE_CONF = {
     # Split a hot join key even when the aggregate above it then needs a shuffle
     # of its own: one device may own a third of all transactions.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(64 * 1024 * 1024),
     # Catalyst broadcasts a join side only below this estimated size. Estimates are
     # file sizes, so scale them up to roughly what the rows take in memory.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
