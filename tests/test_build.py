@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from tillmart.__main__ import main
 from tillmart.plans import build, quality
 from tillmart.sources import tables
 
@@ -112,6 +113,33 @@ def test_selected_tables_only(spark, raw):
     assert warehouse.table("top_10_products").count() == 3
 
 
+def test_tables_can_be_queried_by_name(spark, raw):
+    warehouse = build.Warehouse(spark, raw.warehouse)
+    build.build(warehouse, raw.root, "csv")
+    warehouse.register()
+    query = """
+        select store_name, count(*) from fact_transactions join dim_stores using (store_id)
+        where device_id in (select id from devices) group by 1"""
+    assert [tuple(row) for row in spark.sql(query).collect()] == [("Shop", 6)]
+    assert spark.table("store_adoption").columns == warehouse.table("store_adoption").columns
+
+
+def test_command_line(spark, raw, capsys):
+    def tillmart(*words):
+        main([*words, "--warehouse", raw.warehouse])
+        return capsys.readouterr().out
+
+    tillmart("ingest", "--raw", raw.root, "--format", "csv")
+    tillmart("load")
+    assert "dim_stores" in tillmart("run", "--tags", "marts")
+    assert "unique" in tillmart("check")
+    assert tillmart("run", "--models", "top_10_stores", "--top-stores-n", "3").split() == [
+        "top_10_stores"
+    ]
+    tillmart("build", "--raw", raw.root, "--format", "csv", "--full-refresh")
+    assert build.Warehouse(spark, raw.warehouse).table("store_adoption").count() == 1
+
+
 def test_select():
     assert build.select(tags=["dimensions"]) == ["dim_stores", "dim_devices"]
     assert build.select(tags=["facts"]) == ["fact_transactions"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tillmart.plans import analysis, marts, quality, staging
 from tillmart.plans.incremental import load_transactions, transactions_table
 from tillmart.sources import tables
 from tillmart.sources.raw import ingest
+from tillmart.sources.schemas import RAW_SCHEMAS
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,14 @@ class Warehouse:
             return transactions_table(self.path).read(self.spark)
         return tables.read(self.spark, tables.table_path(self.path, MODELS[name].layer, name))
 
+    def register(self) -> None:
+        """Make every table and view available to `spark.sql` under its name."""
+        for name in RAW_SCHEMAS:
+            if tables.exists(self.spark, tables.table_path(self.path, "raw", name)):
+                self.raw(name).createOrReplaceTempView(name)
+        for name in [*VIEWS, "stg_transactions", *MODELS]:
+            self.table(name).createOrReplaceTempView(name)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -53,6 +63,7 @@ VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
 }
 
+LAYERS = ("marts", "analysis")
 _DIMENSION, _FACT, _REPORT = ("marts", "dimensions"), ("marts", "facts"), ("analysis",)
 
 # In the order they are written.
@@ -124,23 +135,37 @@ def select(models: Iterable[str] = (), tags: Iterable[str] = ()) -> list[str]:
     return [n for n, model in MODELS.items() if n in names or wanted_tags & set(model.tags)]
 
 
-def run(warehouse: Warehouse, models: Iterable[str] = (), tags: Iterable[str] = ()) -> list[str]:
-    """Write the selected tables from the tables they read; returns their names."""
+def run(
+    warehouse: Warehouse, models: Iterable[str] = (), tags: Iterable[str] = (), at_once: int = 4
+) -> list[str]:
+    """Write the selected tables from the tables they read; returns their names.
+
+    Tables of one layer do not read each other, so up to `at_once` are written at the same
+    time: the last tasks of one leave most executors to the next.
+    """
     selected = select(models, tags)
-    for name in selected:
-        model = MODELS[name]
-        path = tables.table_path(warehouse.path, model.layer, name)
-        tables.replace(model.query(warehouse), path)
+    for layer in LAYERS:
+        names = [name for name in selected if MODELS[name].layer == layer]
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(lambda name: _write(warehouse, name), names))
     return selected
 
 
+def _write(warehouse: Warehouse, name: str) -> None:
+    model = MODELS[name]
+    tables.replace(model.query(warehouse), tables.table_path(warehouse.path, model.layer, name))
+
+
 def check(warehouse: Warehouse) -> DataFrame:
-    """Results of every check on the written tables."""
+    """Run every check on the written tables; returns the results, one row per check."""
     checked = {name: warehouse.table(name) for name in quality.NOT_NULL}
     # The fact has just been written from the intermediate view, row for row, so the
     # view's checks need not repeat its join.
     checked["int_transactions_joined"] = checked["fact_transactions"]
-    return quality.run_checks(checked)
+    # Written once, so that looking at the results does not run the checks again.
+    results_path = tables.table_path(warehouse.path, "quality", "check_results")
+    tables.replace(quality.run_checks(checked).coalesce(1), results_path)
+    return tables.read(warehouse.spark, results_path)
 
 
 def refresh(
@@ -155,11 +180,7 @@ def refresh(
         warehouse.raw("transactions"), transactions_table(warehouse.path), full_refresh
     )
     run(warehouse, tags=["marts"])
-
-    # Written once, so that looking at the results does not run the checks again.
-    results_path = tables.table_path(warehouse.path, "quality", "check_results")
-    tables.replace(check(warehouse).coalesce(1), results_path)
-    results = tables.read(warehouse.spark, results_path)
+    results = check(warehouse)
     if stop_on_error:
         quality.raise_on_error(results)
     run(replace(warehouse, unique_keys=quality.keys_are_unique(results)), tags=["analysis"])
