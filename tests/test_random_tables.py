@@ -1,0 +1,152 @@
+"""Reports against join-first SQL on random tables with NULLs, orphans and repeated keys."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import duckdb
+import pytest
+from test_reports import DEVICES, FACT, STORES
+
+from tillmart.operators import checks
+from tillmart.plans import analysis
+
+DAY = timedelta(days=1)
+START = datetime(2024, 1, 1, 12)
+
+
+def pick(rng, *values):
+    return rng.choice(values)
+
+
+def random_tables(seed, repeated):
+    rng = random.Random(seed)
+    # A third of all transactions on one device of one store.
+    fact = []
+    for key in range(400):
+        device = 1 if rng.random() < 0.33 else pick(rng, None, *range(1, 12))
+        store = None if device is None or device > 9 else device % 4
+        at = START + rng.randint(-3, 95) * DAY + timedelta(seconds=rng.randint(0, 86400))
+        fact.append(
+            (
+                rng.randint(0, 300) if repeated else key,
+                device,
+                store,
+                pick(rng, "a", "b", None),
+                pick(rng, None, "0.00", "0.01", "2.35", "7.25", "99.99"),
+                pick(rng, "completed", "completed", "failed", "cancelled", None),
+                pick(rng, None, at, at, at, at),
+                at,
+            )
+        )
+    if repeated:
+        fact += [(None, *row[1:]) for row in fact[:20]]
+    stores = [
+        (s, f"s{s}", pick(rng, "DE", "FR", None), pick(rng, "x", "y", None), START + s * DAY)
+        for s in range(3)
+    ]
+    devices = [(d, pick(rng, 1, 2, 3, None), d % 4) for d in range(1, 9)]
+    if repeated:
+        stores.append(stores[0])
+        devices.append(devices[0])
+    return fact, stores, devices
+
+
+REPORTS = {
+    "top_stores": (
+        lambda f, s, d: analysis.top_stores(f, s, 3),
+        """with t as (select store_id, count(*) n, sum(amount_eur) total, avg(amount_eur) a from f
+                      where transaction_status = 'completed' group by 1),
+                r as (select *, dense_rank() over (order by total desc nulls last, n desc) rk from t)
+           select s.store_id, store_name, store_country, store_typology, n, total, round(a, 2), rk
+           from r left join s on r.store_id = s.store_id where rk <= 3""",
+    ),
+    "top_products": (
+        lambda f, s, d: analysis.top_products(f, 4),
+        """with t as (select store_id, product_sku, count(*) n, sum(amount_eur) total,
+                             avg(amount_eur) a from f
+                      where transaction_status = 'completed' group by 1, 2),
+                r as (select *, dense_rank() over (order by total desc nulls last, n desc) rk from t)
+           select store_id, product_sku, n, total, round(a, 2), rk from r where rk <= 4""",
+    ),
+    "by_device_type": (
+        lambda f, s, d: analysis.transactions_by_device_type(f, d),
+        """select device_type, count(*), round(100 * count(*) / sum(count(*)) over (), 2)
+           from f left join d on f.device_id = d.device_id group by 1""",
+    ),
+    "by_place": (
+        lambda f, s, d: analysis.amount_by_typology_country(f, s),
+        """select store_country, store_typology, count(*), sum(amount_eur),
+                  round(avg(amount_eur), 2), min(amount_eur), max(amount_eur)
+           from f left join s on f.store_id = s.store_id group by 1, 2""",
+    ),
+    "fifth": (
+        lambda f, s, d: analysis.time_to_fifth_transaction(f, s),
+        """with r as (select *, row_number() over (partition by store_id
+                             order by transaction_at nulls first) k from f),
+                a as (select date_sub('day', created_at, transaction_at) as gap
+                      from r join s on r.store_id = s.store_id
+                      where k = 5 and transaction_at >= created_at)
+           select round(avg(gap), 2), min(gap), max(gap), count(*) from a""",
+    ),
+    "efficiency": (
+        lambda f, s, d: analysis.device_efficiency(f, d),
+        """with t as (select device_type, count(distinct f.store_id) st,
+                             count(distinct f.device_id) dv, count(distinct transaction_id) tx,
+                             count(distinct if(transaction_status = 'completed', transaction_id, null)) ok,
+                             sum(if(transaction_status = 'completed', amount_eur, 0)) eur,
+                             avg(if(transaction_status = 'completed', amount_eur, null)) a
+                      from f left join d on f.device_id = d.device_id group by 1)
+           select device_type, st, dv, tx, ok, round(100 * ok / tx, 2), eur, round(a, 2),
+                  round(tx / nullif(dv, 0), 1), round(eur / nullif(dv, 0), 2),
+                  round(tx / nullif(st, 0), 1), round(eur / nullif(st, 0), 2) from t""",
+    ),
+    "adoption": (
+        lambda f, s, d: analysis.store_adoption(f, s),
+        """with daily as (select f.store_id, created_at,
+                                 date_diff('day', created_at::date, transaction_at::date) k,
+                                 count(distinct transaction_id) tx,
+                                 sum(if(transaction_status = 'completed', amount_eur, 0)) eur
+                          from f join s on f.store_id = s.store_id group by 1, 2, 3),
+                c as (select store_id, k, sum(tx) over w tx, sum(eur) over w eur, count(*) over w n
+                      from daily where k between 0 and 90
+                      window w as (partition by store_id order by k rows unbounded preceding))
+           select k, count(distinct store_id), round(avg(tx), 1), min(tx), max(tx),
+                  round(avg(eur), 2), round(avg(n), 1) from c group by 1""",
+    ),
+    "orphans": (
+        lambda f, s, d: checks.orphan_counts(f, "device_id", d, "device_id"),
+        """select f.device_id, count(*) from f left join d on f.device_id = d.device_id
+           where d.device_id is null and f.device_id is not null group by 1""",
+    ),
+}
+
+
+def in_cents(rows):
+    """Rows as sortable tuples; DuckDB divides decimals as doubles, so allow the last cent."""
+    return sorted(
+        ([None if v is None else v if isinstance(v, str) else float(v) for v in row] for row in rows),
+        key=lambda row: [(v is not None, isinstance(v, str), str(v)) for v in row],
+    )
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+@pytest.mark.parametrize("seed", range(3))
+def test_reports(rows, seed, repeated):
+    values = dict(zip("fsd", random_tables(seed, repeated), strict=True))
+    schemas = {"f": FACT, "s": STORES, "d": DEVICES}
+    duck = duckdb.connect()
+    frames = {}
+    for name, ddl in schemas.items():
+        frames[name] = rows(ddl, *values[name])
+        columns = ddl.replace("string", "varchar").replace("timestamp_ntz", "timestamp")
+        duck.execute(f"create table {name} ({columns})")
+        marks = ", ".join("?" * len(values[name][0]))
+        duck.executemany(f"insert into {name} values ({marks})", values[name])
+    for name, (report, sql) in REPORTS.items():
+        found = in_cents(map(tuple, report(frames["f"], frames["s"], frames["d"]).collect()))
+        expected = in_cents(duck.execute(sql).fetchall())
+        assert len(found) == len(expected), name
+        for left, right in zip(found, expected, strict=True):
+            assert left == pytest.approx(right, abs=0.0101 if name != "orphans" else 0), name

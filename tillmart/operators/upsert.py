@@ -121,7 +121,8 @@ class KeyedTable:
 
     def swap_in(self, spark: SparkSession, staged_path: str) -> None:
         """Replace the folders found at `staged_path`; doing it again changes nothing."""
-        self._write(tables.read(spark, staged_path), self.path, "dynamic")
+        # The staged files are of even size already, each of one folder.
+        self._store(tables.read(spark, staged_path), self.path, "dynamic")
 
     def _read_folders(self, spark: SparkSession) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField(self.folder_column, T.LongType())])
@@ -140,11 +141,13 @@ class KeyedTable:
         listed = F.col(self.folder_column).isin([f for f in folders if f is not None])
         return listed | F.col(self.folder_column).isNull() if None in folders else listed
 
-    def _write(self, df: DataFrame, path: str, overwrite: str = "static") -> None:
+    def _write(self, df: DataFrame, path: str) -> None:
         # Rebalancing gives each folder few files of even size, however large one is.
+        self._store(df.hint("rebalance", self.folder_column), path, "static")
+
+    def _store(self, df: DataFrame, path: str, overwrite: str) -> None:
         (
-            df.hint("rebalance", self.folder_column)
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("partitionOverwriteMode", overwrite)
             .partitionBy(self.folder_column)
             .parquet(path)

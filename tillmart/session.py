@@ -14,6 +14,9 @@ ENGINE_CONF = {
     # of its own: one device may own a third of all transactions.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(64 * 1024 * 1024),
+    # Where no task's share of the smaller side exceeds this, as measured in the shuffle,
+    # hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     # Catalyst broadcasts a join side only below this estimated size. Estimates are
     # file sizes, so scale them up to roughly what the rows take in memory.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
