@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 
@@ -91,7 +92,8 @@ def test_failed_error_checks_stop_before_the_reports(spark, raw):
     with pytest.raises(quality.ChecksFailed, match="not_null fact_transactions.store_id: 1"):
         build.build(warehouse, raw.root, "csv")
     assert not tables.exists(spark, f"{raw.warehouse}/analysis/store_adoption")
-    results = build.build(warehouse, raw.root, "csv", full_refresh=True, stop_on_error=False)
+    again = replace(warehouse, full_refresh=True)
+    results = build.build(again, raw.root, "csv", stop_on_error=False)
     assert results.filter("check = 'relationships' and failures = 1").count() == 1
     assert tables.exists(spark, f"{raw.warehouse}/analysis/store_adoption")
 
@@ -130,7 +132,7 @@ def test_command_line(spark, raw, capsys):
         return capsys.readouterr().out
 
     tillmart("ingest", "--raw", raw.root, "--format", "csv")
-    tillmart("load")
+    assert tillmart("run", "--models", "stg_transactions").split() == ["stg_transactions"]
     assert "dim_stores" in tillmart("run", "--tags", "marts")
     assert "unique" in tillmart("check")
     assert tillmart("run", "--models", "top_10_stores", "--top-stores-n", "3").split() == [
@@ -145,6 +147,7 @@ def test_select():
     assert build.select(tags=["facts"]) == ["fact_transactions"]
     assert build.select(tags=["analysis"]) == REPORTS
     assert build.select(["store_adoption"], ["facts"]) == ["fact_transactions", "store_adoption"]
-    assert len(build.select()) == 10
+    assert build.select(["stg_transactions", "stg_stores"]) == ["stg_transactions"]
+    assert len(build.select()) == 11
     with pytest.raises(ValueError, match="nonsense"):
         build.select(["nonsense"])

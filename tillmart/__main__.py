@@ -12,20 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tillmart.plans import build, quality
-from tillmart.plans.incremental import load_transactions, transactions_table
 from tillmart.session import tune
 from tillmart.sources.raw import ingest
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tillmart")
-    parser.add_argument("step", choices=["ingest", "load", "run", "check", "build"])
+    parser.add_argument("step", choices=["ingest", "run", "check", "build"])
     parser.add_argument("--warehouse", required=True, help="folder of the tables")
     parser.add_argument("--raw", help="folder of the raw files (default: $RAW_DATA_PATH)")
     parser.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     parser.add_argument("--full-refresh", action="store_true", help="reload all transactions")
     parser.add_argument("--models", nargs="*", default=[], help="tables to write")
-    parser.add_argument("--tags", nargs="*", default=[], help="marts, facts, dimensions, analysis")
+    parser.add_argument("--tags", nargs="*", default=[], help="staging, marts, facts, ...")
     parser.add_argument("--top-stores-n", type=int, default=10)
     parser.add_argument("--top-products-n", type=int, default=10)
     return parser
@@ -35,13 +34,10 @@ def main(words: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(words)
     spark = tune(SparkSession.builder.appName("tillmart").getOrCreate())
     warehouse = build.Warehouse(
-        spark, args.warehouse, args.top_stores_n, args.top_products_n
+        spark, args.warehouse, args.top_stores_n, args.top_products_n, args.full_refresh
     )
     if args.step == "ingest":
         print(*ingest(spark, args.warehouse, args.raw, args.format), sep="\n")
-    elif args.step == "load":
-        table = transactions_table(args.warehouse)
-        load_transactions(warehouse.raw("transactions"), table, args.full_refresh)
     elif args.step == "run":
         print(*build.run(warehouse, args.models, args.tags), sep="\n")
     elif args.step == "check":
@@ -49,7 +45,7 @@ def main(words: Sequence[str] | None = None) -> None:
         results.orderBy("check", "table", "column").show(len(quality.CHECKS), truncate=False)
         quality.raise_on_error(results)
     else:
-        build.build(warehouse, args.raw, args.format, args.full_refresh)
+        build.build(warehouse, args.raw, args.format)
 
 
 if __name__ == "__main__":

@@ -61,7 +61,7 @@ def orphan_counts(
         .groupBy(child_column)
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    keys = parent.select(F.col(parent_column).alias(child_column))
+    keys = parent.select(F.col(parent_column).alias(child_column)).distinct()
     return counts.join(keys, child_column, "left_anti")
 
 

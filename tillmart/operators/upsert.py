@@ -57,7 +57,8 @@ def merge_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     Equal keys within the batch are all kept, for the uniqueness check to report.
     """
     require_same_columns(target, batch)
-    untouched = target.join(batch.select(key), key, "left_anti")
+    # Distinct, so that a key repeated very often in the batch is one row per task.
+    untouched = target.join(batch.select(key).distinct(), key, "left_anti")
     return untouched.unionByName(batch)
 
 

@@ -23,6 +23,8 @@ class Warehouse:
     path: str
     top_stores_n: int = 10
     top_products_n: int = 10
+    # Load all raw transactions again instead of the new ones.
+    full_refresh: bool = False
     # Set by `build` once the uniqueness checks have passed.
     unique_keys: bool = False
 
@@ -33,7 +35,7 @@ class Warehouse:
         """A view computed from its inputs, or a written table."""
         if name in VIEWS:
             return VIEWS[name](self)
-        if name == "stg_transactions":
+        if name == STAGED:
             return transactions_table(self.path).read(self.spark)
         return tables.read(self.spark, tables.table_path(self.path, MODELS[name].layer, name))
 
@@ -42,17 +44,17 @@ class Warehouse:
         for name in RAW_SCHEMAS:
             if tables.exists(self.spark, tables.table_path(self.path, "raw", name)):
                 self.raw(name).createOrReplaceTempView(name)
-        for name in [*VIEWS, "stg_transactions", *MODELS]:
+        for name in [*VIEWS, *MODELS]:
             self.table(name).createOrReplaceTempView(name)
 
 
 @dataclass(frozen=True)
 class Model:
-    """A table written by a run."""
+    """A table written by a run: merged into if it has no query, else replaced by it."""
 
     layer: str
     tags: tuple[str, ...]
-    query: Callable[[Warehouse], DataFrame] = field(repr=False)
+    query: Callable[[Warehouse], DataFrame] | None = field(repr=False)
 
 
 VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -63,11 +65,13 @@ VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
 }
 
-LAYERS = ("marts", "analysis")
+STAGED = "stg_transactions"
+LAYERS = ("staging", "marts", "analysis")
 _DIMENSION, _FACT, _REPORT = ("marts", "dimensions"), ("marts", "facts"), ("analysis",)
 
 # In the order they are written.
 MODELS: dict[str, Model] = {
+    STAGED: Model("staging", ("staging",), None),
     "dim_stores": Model("marts", _DIMENSION, lambda w: marts.dim_stores(w.table("stg_stores"))),
     "dim_devices": Model("marts", _DIMENSION, lambda w: marts.dim_devices(w.table("stg_devices"))),
     "fact_transactions": Model(
@@ -124,10 +128,13 @@ MODELS: dict[str, Model] = {
 
 
 def select(models: Iterable[str] = (), tags: Iterable[str] = ()) -> list[str]:
-    """Names of the tables to write: those named or tagged, all if nothing is asked for."""
+    """Names of the tables to write: those named or tagged, all if nothing is asked for.
+
+    Views may be named too; being computed when read, they need no writing.
+    """
     names, wanted_tags = set(models), set(tags)
     known_tags = {tag for model in MODELS.values() for tag in model.tags}
-    unknown = (names - MODELS.keys()) | (wanted_tags - known_tags)
+    unknown = (names - MODELS.keys() - VIEWS.keys()) | (wanted_tags - known_tags)
     if unknown:
         raise ValueError(f"no such table or tag: {sorted(unknown)}")
     if not names and not wanted_tags:
@@ -153,7 +160,12 @@ def run(
 
 def _write(warehouse: Warehouse, name: str) -> None:
     model = MODELS[name]
-    tables.replace(model.query(warehouse), tables.table_path(warehouse.path, model.layer, name))
+    if model.query is None:
+        target = transactions_table(warehouse.path)
+        load_transactions(warehouse.raw("transactions"), target, warehouse.full_refresh)
+    else:
+        path = tables.table_path(warehouse.path, model.layer, name)
+        tables.replace(model.query(warehouse), path)
 
 
 def check(warehouse: Warehouse) -> DataFrame:
@@ -168,18 +180,13 @@ def check(warehouse: Warehouse) -> DataFrame:
     return tables.read(warehouse.spark, results_path)
 
 
-def refresh(
-    warehouse: Warehouse, full_refresh: bool = False, stop_on_error: bool = True
-) -> DataFrame:
+def refresh(warehouse: Warehouse, stop_on_error: bool = True) -> DataFrame:
     """Raw tables to reports: staging, marts, checks, analysis.
 
     Failed checks of severity error stop the run before the reports, unless told otherwise.
     Returns the check results, one row each.
     """
-    load_transactions(
-        warehouse.raw("transactions"), transactions_table(warehouse.path), full_refresh
-    )
-    run(warehouse, tags=["marts"])
+    run(warehouse, tags=["staging", "marts"])
     results = check(warehouse)
     if stop_on_error:
         quality.raise_on_error(results)
@@ -191,9 +198,8 @@ def build(
     warehouse: Warehouse,
     raw_root: str | None = None,
     fmt: str = "parquet",
-    full_refresh: bool = False,
     stop_on_error: bool = True,
 ) -> DataFrame:
     """Raw files to reports: `ingest`, then `refresh`."""
     ingest(warehouse.spark, warehouse.path, raw_root, fmt)
-    return refresh(warehouse, full_refresh, stop_on_error)
+    return refresh(warehouse, stop_on_error)

@@ -91,12 +91,12 @@ READERS = {"csv": read_csv, "parquet": read_parquet}
 
 
 def load_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet") -> DataFrame | None:
-    """One raw table from ``root/<table>`` or ``root/<table>.<fmt>``; None if neither exists."""
+    """One raw table from ``root/<table>`` or ``root/<table>.<fmt>``; None if there are no files."""
     for path in (f"{root}/{table}", f"{root}/{table}.{fmt}"):
         try:
             return READERS[fmt](spark, path, RAW_SCHEMAS[table])
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
     return None
 
