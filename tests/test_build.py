@@ -91,11 +91,11 @@ def test_failed_error_checks_stop_before_the_reports(spark, raw):
     warehouse = build.Warehouse(spark, raw.warehouse)
     with pytest.raises(quality.ChecksFailed, match="not_null fact_transactions.store_id: 1"):
         build.build(warehouse, raw.root, "csv")
-    assert not tables.exists(spark, f"{raw.warehouse}/analysis/store_adoption")
+    assert not tables.is_complete(spark, f"{raw.warehouse}/analysis/store_adoption")
     again = replace(warehouse, full_refresh=True)
     results = build.build(again, raw.root, "csv", stop_on_error=False)
     assert results.filter("check = 'relationships' and failures = 1").count() == 1
-    assert tables.exists(spark, f"{raw.warehouse}/analysis/store_adoption")
+    assert tables.is_complete(spark, f"{raw.warehouse}/analysis/store_adoption")
 
 
 def test_repeated_ids_are_still_counted_once(spark, raw):

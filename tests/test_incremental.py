@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 
 import pytest
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tillmart.operators.upsert import SchemaChanged, high_water, merge_rows, newer_than
 from tillmart.plans.incremental import load_transactions, transactions_table
-from tillmart.sources import tables
 from tillmart.streaming.incremental import load_new_files
 
 RAW = (
@@ -136,27 +136,97 @@ def test_merge_leaves_other_folders_alone(spark, raw, table):
     assert all(re.search(r"_10x4=0/", path) for path in replaced)
 
 
+def scratch(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    return [f"{folder}/{name}" for name in os.listdir(folder) if name.startswith("stg_transactions-")]
+
+
 def test_merge_cleans_up_its_scratch(spark, raw, table):
     load_transactions(raw(*FIRST), table)
     load_transactions(raw(*SECOND), table)
-    scratch = spark.conf.get("spark.checkpoint.dir")
-    assert not [name for name in os.listdir(scratch) if name.startswith("stg_transactions-")]
+    assert scratch(spark) == []
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def breaks_at(monkeypatch, table, method, path):
+    """Let the table's writes to `path` fail after they have begun."""
+    original = getattr(type(table), method)
+
+    def broken(self, df, target, *rest):
+        if target.endswith(path):
+            raise Lost
+        original(self, df, target, *rest)
 
+    monkeypatch.setattr(type(table), method, broken)
 
-def test_swap_can_be_repeated(spark, raw, table, monkeypatch):
-    """A run that dies in the swap leaves its staged folders; swapping them in finishes it."""
+
+def test_the_next_load_finishes_a_broken_swap(spark, raw, table, monkeypatch):
+    """Half of the folders are in place, with rows newer than some that are still missing."""
     load_transactions(raw(*FIRST), table)
-    monkeypatch.setattr(type(table), "swap_in", lambda *_: (_ for _ in ()).throw(OSError("lost")))
-    with pytest.raises(OSError):
+    original = type(table)._store
+
+    def half(self, df, target, overwrite):
+        if overwrite == "dynamic":
+            original(self, df.filter("transaction_id > 100"), target, overwrite)
+            raise Lost
+        original(self, df, target, overwrite)
+
+    monkeypatch.setattr(type(table), "_store", half)
+    with pytest.raises(Lost):
+        load_transactions(raw(*FIRST, *SECOND), table)
+    monkeypatch.undo()
+    assert held(spark, table) != AFTER_SECOND
+    load_transactions(raw(*FIRST, *SECOND), table)
+    assert held(spark, table) == AFTER_SECOND
+    assert scratch(spark) == []
+
+
+def test_a_merge_that_broke_off_while_staging_is_repeated(spark, raw, table, monkeypatch):
+    load_transactions(raw(*FIRST), table)
+    breaks_at(monkeypatch, table, "_write", "/merged")
+    with pytest.raises(Lost):
         load_transactions(raw(*FIRST, *SECOND), table)
     monkeypatch.undo()
     assert len(held(spark, table)) == len(FIRST)
-    scratch = spark.conf.get("spark.checkpoint.dir")
-    (staged,) = [name for name in os.listdir(scratch) if name.startswith("stg_transactions-")]
-    for _ in range(2):
-        table.swap_in(spark, f"{scratch}/{staged}/merged")
+    load_transactions(raw(*FIRST, *SECOND), table)
     assert held(spark, table) == AFTER_SECOND
-    tables.delete(spark, f"{scratch}/{staged}")
+
+
+def test_a_first_load_that_broke_off_is_repeated(spark, raw, table):
+    load_transactions(raw(*FIRST[:1]), table)
+    os.remove(f"{table.path}/_SUCCESS")  # as if the other files had not been committed
+    load_transactions(raw(*FIRST), table)
+    assert len(held(spark, table)) == len(FIRST)
+
+
+def test_random_merges(spark, rows, tmp_path):
+    """Against a dictionary: newer rows replace or add, nothing else changes."""
+    rng = random.Random(7)
+    table = transactions_table(str(tmp_path / "warehouse"), keys_per_range=5, folders=3)
+    expected, high = {}, -1
+    for step in range(4):
+        batch = {}
+        for _ in range(30):
+            key = rng.randint(-20, 60)
+            batch[key] = (rng.choice(["accepted", "refused"]), rng.randint(0, 300 * (step + 1)))
+        values = []
+        for key, (status, minute) in batch.items():
+            moment = f"2024-01-01 {minute // 60:02d}:{minute % 60:02d}:00"
+            values.append((key, 1, "1", "1.0", status, "4", moment, moment))
+            if minute > high:
+                expected[key] = ("completed" if status == "accepted" else "failed", minute)
+        high = max([high] + [minute for _, minute in batch.values()])
+        load_transactions(rows(RAW, *values), table)
+        found = table.read(spark).select(
+            "transaction_id",
+            "transaction_status",
+            (F.hour("record_created_at") * 60 + F.minute("record_created_at")).alias("minute"),
+        )
+        assert {r[0]: (r[1], r[2]) for r in found.collect()} == expected
+        assert found.count() == len(expected)
 
 
 def test_a_table_keeps_its_layout(spark, raw, table):

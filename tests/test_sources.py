@@ -136,9 +136,9 @@ def test_scratch_is_the_checkpoint_folder_of_the_cluster(spark):
     assert tables.scratch_path(spark, "/warehouse", "x") == f"{configured}/x"
 
 
-def test_exists(spark, tmp_path):
+def test_complete_means_written_to_the_end(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert not tables.exists(spark, path)
+    assert not tables.is_complete(spark, path)
     empty = spark.createDataFrame([], T.StructType([T.StructField("a", T.LongType())]))
     empty.withColumn("b", empty.a).write.partitionBy("b").parquet(path)
-    assert tables.exists(spark, path)
+    assert tables.is_complete(spark, path)

@@ -22,9 +22,8 @@ def dense_top_n(df: DataFrame, n: int, *measures: str) -> DataFrame:
         F.row_number().over(Window.orderBy(*largest_first)).alias("rank"),
     )
     same_measures: Column = reduce(
-        lambda a, b: a & b, [df[name].eqNullSafe(ranks[f"best_{name}"]) for name in measures]
+        lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"best_{name}")) for name in measures]
     )
     # Few rows are left of each partition; collecting them in few partitions keeps a
     # later sort from running the join a second time for its sample.
-    kept = df.join(ranks, same_measures).select(*[df[name] for name in df.columns], "rank")
-    return kept.hint("rebalance")
+    return df.join(ranks, same_measures).select(*df.columns, "rank").hint("rebalance")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
-import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -90,40 +90,53 @@ class KeyedTable:
         return f"{self.key}_{self.keys_per_range}x{self.folders}"
 
     def exists(self, spark: SparkSession) -> bool:
-        return tables.exists(spark, self.path)
+        """Whether a first load has finished; one that broke off has to be repeated."""
+        return tables.is_complete(spark, self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._read_folders(spark).drop(self.folder_column)
 
     def replace(self, df: DataFrame) -> None:
+        tables.delete(df.sparkSession, self._staging(df.sparkSession))
         self._write(df.withColumn(self.folder_column, self._folder()), self.path)
 
     def merge(self, batch: DataFrame) -> None:
-        """Replace rows of equal key, add the others.
+        """Replace rows of equal key, add the others. One merge at a time.
 
-        The batch and the rewritten folders are written out before the table is touched,
-        so a lost executor costs a task, and a failed swap can be repeated with `swap_in`.
+        The batch and the rewritten folders are written out before the table is touched:
+        a lost executor costs a task, and `finish_merge` completes a swap that broke off.
         """
         spark = batch.sparkSession
+        self.finish_merge(spark)
         require_same_columns(self.read(spark), batch)
-        run = tables.scratch_path(spark, self.warehouse, f"{self.name}-{uuid.uuid4().hex}")
-        arrived_path, merged_path = f"{run}/arrived", f"{run}/merged"
-
+        arrived_path = f"{self._staging(spark)}/arrived"
         tables.replace(batch.withColumn(self.folder_column, self._folder()), arrived_path)
         arrived = tables.read(spark, arrived_path)
         # At most one value per folder of the table.
         touched = [row[0] for row in arrived.select(self.folder_column).distinct().collect()]
         if touched:
             current = self._read_folders(spark).filter(self._is_one_of(touched))
-            self._write(merge_rows(current, arrived, self.key), merged_path)
-            log.info("%s: %d folders staged at %s", self.name, len(touched), merged_path)
-            self.swap_in(spark, merged_path)
-        tables.delete(spark, run)
-
-    def swap_in(self, spark: SparkSession, staged_path: str) -> None:
-        """Replace the folders found at `staged_path`; doing it again changes nothing."""
-        # The staged files are of even size already, each of one folder.
-        self._store(tables.read(spark, staged_path), self.path, "dynamic")
+            self._write(merge_rows(current, arrived, self.key), self._merged(spark))
+            log.info("%s: replacing %d folders", self.name, len(touched))
+        self.finish_merge(spark)
+
+    def finish_merge(self, spark: SparkSession) -> None:
+        """Swap in the folders of a merge, this one's or one that broke off while swapping.
+
+        Doing it again changes nothing. What was staged incompletely is dropped: the table
+        has not been touched then.
+        """
+        if tables.is_complete(spark, self._merged(spark)):
+            # The staged files are of even size already, each of one folder.
+            self._store(tables.read(spark, self._merged(spark)), self.path, "dynamic")
+        tables.delete(spark, self._staging(spark))
+
+    def _staging(self, spark: SparkSession) -> str:
+        table = hashlib.sha256(self.path.encode()).hexdigest()[:16]
+        return tables.scratch_path(spark, self.warehouse, f"{self.name}-{table}")
+
+    def _merged(self, spark: SparkSession) -> str:
+        return f"{self._staging(spark)}/merged"
 
     def _read_folders(self, spark: SparkSession) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField(self.folder_column, T.LongType())])

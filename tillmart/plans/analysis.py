@@ -38,11 +38,13 @@ def _sales(fact: DataFrame, *keys: str) -> DataFrame:
 def top_stores(fact: DataFrame, dim_stores: DataFrame, n: int = 10) -> DataFrame:
     """Stores by completed revenue, then count. Transactions of no known store form one group."""
     ranked = dense_top_n(_sales(fact, "store_id"), n, "revenue", "sales")
-    attributes = dim_stores.select("store_id", "store_name", "store_country", "store_typology")
+    attributes = dim_stores.select(
+        F.col("store_id").alias("known_store"), "store_name", "store_country", "store_typology"
+    )
     return (
-        ranked.join(attributes, ranked["store_id"] == attributes["store_id"], "left")
+        ranked.join(attributes, F.col("store_id") == F.col("known_store"), "left")
         .select(
-            attributes["store_id"],
+            F.col("known_store").alias("store_id"),
             "store_name",
             "store_country",
             "store_typology",

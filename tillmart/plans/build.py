@@ -42,7 +42,7 @@ class Warehouse:
     def register(self) -> None:
         """Make every table and view available to `spark.sql` under its name."""
         for name in RAW_SCHEMAS:
-            if tables.exists(self.spark, tables.table_path(self.path, "raw", name)):
+            if tables.is_complete(self.spark, tables.table_path(self.path, "raw", name)):
                 self.raw(name).createOrReplaceTempView(name)
         for name in [*VIEWS, *MODELS]:
             self.table(name).createOrReplaceTempView(name)

@@ -24,6 +24,7 @@ def load_transactions(raw: DataFrame, table: KeyedTable, full_refresh: bool = Fa
     if full_refresh or not table.exists(spark):
         table.replace(stg_transactions(raw))
         return
+    table.finish_merge(spark)  # before asking for the latest row
     bound = high_water(table.read(spark), "record_created_at")
     day_column = CREATED_ON if CREATED_ON in raw.columns else None
     new = newer_than(raw, "created_at", bound, day_column)

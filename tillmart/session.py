@@ -21,6 +21,8 @@ ENGINE_CONF = {
     # file sizes, so scale them up to roughly what the rows take in memory.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # A third less to read than with the default, at no cost in time.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

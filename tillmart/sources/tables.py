@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,15 +17,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written there; one without rows counts."""
-    try:
-        read(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return error.getCondition() == "UNABLE_TO_INFER_SCHEMA"
-    return True
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to that path has finished; a table without rows counts."""
+    file_system, marker = _hadoop(spark, f"{path}/_SUCCESS")
+    return file_system.exists(marker)
 
 
 def scratch_path(spark: SparkSession, warehouse: str, name: str) -> str:
@@ -37,7 +31,11 @@ def scratch_path(spark: SparkSession, warehouse: str, name: str) -> str:
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    file_system, folder = _hadoop(spark, path)
+    file_system.delete(folder, True)
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
-        hadoop_path, True
-    )
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop_path.getFileSystem(conf), hadoop_path

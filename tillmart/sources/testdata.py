@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-ORPHAN_DEVICE = -1
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Columns used of each table; given, so that no job has to look for them.
@@ -21,67 +18,52 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _opened(key: Column) -> Column:
-    first_day = F.lit("2023-12-25 00:00:00").cast("timestamp_ntz")
-    return first_day + F.make_dt_interval((key % 20).cast("int"), (key * 7 % 24).cast("int"))
+OPENED = """timestamp_ntz'2023-12-25 00:00:00' + make_dt_interval(
+    cast(c_custkey % 20 as int), cast(c_custkey * 7 % 24 as int))"""
+DIGITS = "regexp_extract(props, '[0-9]+', 0)"
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     customers = _read(spark, sf_dir, "customer")
     nations = _read(spark, sf_dir, "nation")
-    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        key.alias("id"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lit("Street "), (key % 97).cast("string")).alias("address"),
-        F.concat(F.lit("City "), (key % 13).cast("string")).alias("city"),
-        F.col("n_name").alias("country"),
-        F.col("c_mktsegment").alias("typology"),
-        key.alias("customer_id"),
-        _opened(key).alias("created_at"),
+    return customers.join(nations, customers.c_nationkey == nations.n_nationkey, "left").selectExpr(
+        "c_custkey as id",
+        "c_name as name",
+        "concat('Street ', c_custkey % 97) as address",
+        "concat('City ', c_custkey % 13) as city",
+        "n_name as country",
+        "c_mktsegment as typology",
+        "c_custkey as customer_id",
+        f"{OPENED} as created_at",
     )
 
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two devices per store."""
-    store, device = F.col("c_custkey"), F.col("device")
-    pairs = _read(spark, sf_dir, "customer").select(
-        store, F.explode(F.array(store * 2, store * 2 + 1)).alias("device")
+    pairs = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "explode(array(c_custkey * 2, c_custkey * 2 + 1)) as device"
     )
-    return pairs.select(
-        device.alias("id"),
-        (device % 5 + 1).alias("type"),
-        store.alias("store_id"),
-        _opened(store).alias("created_at"),
+    return pairs.selectExpr(
+        "device as id",
+        "device % 5 + 1 as type",
+        "c_custkey as store_id",
+        f"{OPENED} as created_at",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event = F.col("event_id")
-    digits = F.regexp_extract("props", "[0-9]+", 0)
-    device = F.when(event % 97 == 0, F.lit(ORPHAN_DEVICE)).otherwise(
-        F.col("user_id") * 2 + event % 2
-    )
-    sku = (
-        F.when(event % 3 == 0, F.concat(F.lit("v"), digits))
-        .when(event % 3 == 1, F.concat(digits, F.lit(".0")))
-        .otherwise(digits)
-    )
-    status = (
-        F.when(F.col("event_type") == "error", "refused")
-        .when(F.col("event_type") == "signup", "cancelled")
-        .otherwise("accepted")
-    )
-    delay = F.make_dt_interval(F.lit(0), (event % 7).cast("int"), F.lit(5))
-    return _read(spark, sf_dir, "events").select(
-        event.alias("id"),
-        device.alias("device_id"),
-        sku.alias("product_sku"),
-        F.col("value").alias("amount"),
-        status.alias("status"),
-        F.lit("4000-0000").alias("card_number"),
-        F.col("ts").alias("happened_at"),
-        (F.col("ts") + delay).alias("created_at"),
+    """Every 97th transaction comes from a device that does not exist."""
+    return _read(spark, sf_dir, "events").selectExpr(
+        "event_id as id",
+        "if(event_id % 97 = 0, -1, user_id * 2 + event_id % 2) as device_id",
+        f"""case event_id % 3 when 0 then concat('v', {DIGITS}) when 1 then concat({DIGITS}, '.0')
+            else {DIGITS} end as product_sku""",
+        "value as amount",
+        """case event_type when 'error' then 'refused' when 'signup' then 'cancelled'
+            else 'accepted' end as status""",
+        "'4000-0000' as card_number",
+        "ts as happened_at",
+        "ts + make_dt_interval(0, cast(event_id % 7 as int), 5) as created_at",
     )
 
 
