@@ -14,14 +14,10 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    shared = tmp_path_factory.mktemp("shared")
     session = local_session(
         "8",
         "tillmart-tests",
-        **{
-            "spark.checkpoint.dir": str(shared),
-            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-        },
+        **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

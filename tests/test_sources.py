@@ -131,9 +131,9 @@ def test_seed_from_csv_with_trailing_blank_in_header(spark, tmp_path):
     )
 
 
-def test_scratch_is_the_checkpoint_folder_of_the_cluster(spark):
-    configured = spark.conf.get("spark.checkpoint.dir")
-    assert tables.scratch_path(spark, "/warehouse", "x") == f"{configured}/x"
+def test_scratch_is_the_checkpoint_folder_if_there_is_one(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/warehouse/_scratch"
+    assert tables.scratch_path(spark, "/warehouse/", "x") == f"{root}/x"
 
 
 def test_complete_means_written_to_the_end(spark, tmp_path):
