@@ -10,6 +10,8 @@ import pytest
 from tillmart.__main__ import main
 from tillmart.plans import build, quality
 from tillmart.sources import tables
+from tillmart.sources.raw import read_csv
+from tillmart.sources.schemas import RAW_SCHEMAS
 
 STORES = "id,name,address,city,country,typology,customer_id,created_at\n"
 DEVICES = "id,type,store_id,created_at\n"
@@ -142,6 +144,16 @@ def test_command_line(spark, raw, capsys):
     assert build.Warehouse(spark, raw.warehouse).table("store_adoption").count() == 1
 
 
+def test_command_line_loads_new_files(spark, raw, tmp_path):
+    files = tmp_path / "files"
+    read_csv(spark, f"{raw.root}/transactions", RAW_SCHEMAS["transactions"]).write.parquet(
+        str(files / "transactions")
+    )
+    for _ in range(2):
+        main(["load-files", "--warehouse", raw.warehouse, "--raw", str(files)])
+    assert build.Warehouse(spark, raw.warehouse).table("stg_transactions").count() == 6
+
+
 def test_select():
     assert build.select(tags=["dimensions"]) == ["dim_stores", "dim_devices"]
     assert build.select(tags=["facts"]) == ["fact_transactions"]

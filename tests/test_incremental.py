@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import random
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillmart.operators.upsert import SchemaChanged, high_water, merge_rows, newer_than
 from tillmart.plans.incremental import load_transactions, transactions_table
+from tillmart.sources.schemas import STG_TRANSACTIONS
 from tillmart.streaming.incremental import load_new_files
 
 RAW = (
@@ -293,6 +295,21 @@ def scanned_rows(df):
     return total
 
 
+def test_high_water_of_the_last_day(rows):
+    times = rows("t timestamp_ntz", ("2024-01-02 10:00:00",), ("2024-01-01 11:00:00",), (None,))
+    dated = times.withColumn("d", F.to_date("t"))
+    latest = datetime(2024, 1, 2, 10)
+    assert high_water(dated, "t", "d") == high_water(dated, "t") == latest
+    nothing = dated.filter("t is null")
+    assert high_water(nothing, "t", "d") is None and high_water(nothing, "t") is None
+
+
+def test_the_table_holds_only_its_own_columns(spark, raw, table):
+    load_transactions(raw(*FIRST), table)
+    load_transactions(raw(*SECOND), table)
+    assert table.read(spark).columns == STG_TRANSACTIONS.fieldNames()
+
+
 def test_new_files_are_loaded_once(spark, raw, table, tmp_path):
     folder, progress = str(tmp_path / "arriving"), str(tmp_path / "progress")
     raw(*FIRST).write.mode("append").parquet(folder)

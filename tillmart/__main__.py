@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tillmart.plans import build, quality
+from tillmart.plans.incremental import transactions_table
 from tillmart.session import tune
-from tillmart.sources.raw import ingest
+from tillmart.sources.raw import ingest, raw_root
+from tillmart.streaming.incremental import load_new_files
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tillmart")
-    parser.add_argument("step", choices=["ingest", "run", "check", "build"])
+    parser.add_argument("step", choices=["ingest", "load-files", "run", "check", "build"])
     parser.add_argument("--warehouse", required=True, help="folder of the tables")
     parser.add_argument("--raw", help="folder of the raw files (default: $RAW_DATA_PATH)")
     parser.add_argument("--format", choices=["csv", "parquet"], default="parquet")
@@ -38,6 +40,9 @@ def main(words: Sequence[str] | None = None) -> None:
     )
     if args.step == "ingest":
         print(*ingest(spark, args.warehouse, args.raw, args.format), sep="\n")
+    elif args.step == "load-files":
+        folder = f"{raw_root(args.raw)}/transactions"
+        load_new_files(spark, folder, transactions_table(args.warehouse))
     elif args.step == "run":
         print(*build.run(warehouse, args.models, args.tags), sep="\n")
     elif args.step == "check":

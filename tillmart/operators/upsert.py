@@ -30,8 +30,17 @@ def require_same_columns(target: DataFrame, batch: DataFrame) -> None:
         )
 
 
-def high_water(target: DataFrame, time_column: str) -> datetime | None:
-    """The latest time in the target; None if it is empty."""
+def high_water(
+    target: DataFrame, time_column: str, day_column: str | None = None
+) -> datetime | None:
+    """The latest time in the target; None if it is empty.
+
+    With `day_column`, the date of the same time, first the last day is found, in a column
+    that takes next to no space, and then times are read of that day's row groups only.
+    """
+    if day_column:
+        last_day = target.agg(F.max(day_column)).first()[0]
+        target = target.filter(F.col(day_column) == F.lit(last_day))
     return target.agg(F.max(time_column)).first()[0]
 
 
@@ -77,6 +86,7 @@ class KeyedTable:
     layer: str
     name: str
     key: str
+    time: str
     schema: T.StructType
     keys_per_range: int = 100_000_000
     folders: int = 4096
@@ -89,16 +99,23 @@ class KeyedTable:
     def folder_column(self) -> str:
         return f"{self.key}_{self.keys_per_range}x{self.folders}"
 
+    @property
+    def day_column(self) -> str:
+        return f"{self.time}_date"
+
     def exists(self, spark: SparkSession) -> bool:
         """Whether a first load has finished; one that broke off has to be repeated."""
         return tables.is_complete(spark, self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._read_folders(spark).drop(self.folder_column)
+        return self._read_placed(spark).drop(self.folder_column, self.day_column)
+
+    def high_water(self, spark: SparkSession) -> datetime | None:
+        return high_water(self._read_placed(spark), self.time, self.day_column)
 
     def replace(self, df: DataFrame) -> None:
         tables.delete(df.sparkSession, self._staging(df.sparkSession))
-        self._write(df.withColumn(self.folder_column, self._folder()), self.path)
+        self._write(self._place(df), self.path)
 
     def merge(self, batch: DataFrame) -> None:
         """Replace rows of equal key, add the others. One merge at a time.
@@ -110,12 +127,12 @@ class KeyedTable:
         self.finish_merge(spark)
         require_same_columns(self.read(spark), batch)
         arrived_path = f"{self._staging(spark)}/arrived"
-        tables.replace(batch.withColumn(self.folder_column, self._folder()), arrived_path)
+        tables.replace(self._place(batch), arrived_path)
         arrived = tables.read(spark, arrived_path)
         # At most one value per folder of the table.
         touched = [row[0] for row in arrived.select(self.folder_column).distinct().collect()]
         if touched:
-            current = self._read_folders(spark).filter(self._is_one_of(touched))
+            current = self._read_placed(spark).filter(self._is_one_of(touched))
             self._write(merge_rows(current, arrived, self.key), self._merged(spark))
             log.info("%s: replacing %d folders", self.name, len(touched))
         self.finish_merge(spark)
@@ -138,19 +155,22 @@ class KeyedTable:
     def _merged(self, spark: SparkSession) -> str:
         return f"{self._staging(spark)}/merged"
 
-    def _read_folders(self, spark: SparkSession) -> DataFrame:
-        stored = T.StructType([*self.schema.fields, T.StructField(self.folder_column, T.LongType())])
+    def _place(self, df: DataFrame) -> DataFrame:
+        """Add the folder of each row, and the date that `high_water` goes by."""
+        folder = f"pmod(`{self.key}` div {self.keys_per_range}, {self.folders})"
+        return df.withColumns(
+            {self.day_column: F.to_date(self.time), self.folder_column: F.expr(folder)}
+        )
+
+    def _read_placed(self, spark: SparkSession) -> DataFrame:
         try:
             df = tables.read(spark, self.path)
         except AnalysisException as error:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
-            return spark.createDataFrame([], stored)  # written, but without any row
+            return self._place(spark.createDataFrame([], self.schema))  # written without a row
         return df.withColumn(self.folder_column, F.col(self.folder_column).cast("bigint"))
 
-    def _folder(self) -> Column:
-        return F.expr(f"pmod(`{self.key}` div {self.keys_per_range}, {self.folders})")
-
     def _is_one_of(self, folders: list[int | None]) -> Column:
         listed = F.col(self.folder_column).isin([f for f in folders if f is not None])
         return listed | F.col(self.folder_column).isNull() if None in folders else listed

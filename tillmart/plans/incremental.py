@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillmart.operators.upsert import KeyedTable, high_water, newer_than
+from tillmart.operators.upsert import KeyedTable, newer_than
 from tillmart.plans.staging import stg_transactions
 from tillmart.sources.schemas import CREATED_ON, STG_TRANSACTIONS
 
 
 def transactions_table(warehouse: str, **layout: int) -> KeyedTable:
     return KeyedTable(
-        warehouse, "staging", "stg_transactions", "transaction_id", STG_TRANSACTIONS, **layout
+        warehouse,
+        "staging",
+        "stg_transactions",
+        key="transaction_id",
+        time="record_created_at",
+        schema=STG_TRANSACTIONS,
+        **layout,
     )
 
 
@@ -25,7 +31,6 @@ def load_transactions(raw: DataFrame, table: KeyedTable, full_refresh: bool = Fa
         table.replace(stg_transactions(raw))
         return
     table.finish_merge(spark)  # before asking for the latest row
-    bound = high_water(table.read(spark), "record_created_at")
     day_column = CREATED_ON if CREATED_ON in raw.columns else None
-    new = newer_than(raw, "created_at", bound, day_column)
+    new = newer_than(raw, "created_at", table.high_water(spark), day_column)
     table.merge(stg_transactions(new))
