@@ -1,8 +1,9 @@
 """The seven business reports.
 
 Each one aggregates the fact by its own keys first and joins a dimension to the far
-smaller result, so no report shuffles raw transactions by store or device and a hot
-store or device shrinks to one row per task before anything moves.
+smaller result, so a hot store or device shrinks to one row per task before anything
+moves. The one exception is the count of distinct transactions per device type, where
+ids are not known to be unique.
 """
 
 from __future__ import annotations

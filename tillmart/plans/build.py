@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.plans import analysis, marts, quality, staging
@@ -154,7 +155,9 @@ def run(
     for layer in LAYERS:
         names = [name for name in selected if MODELS[name].layer == layer]
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(lambda name: _write(warehouse, name), names))
+            # Inheritable: job group and scheduler pool of the caller apply to each write.
+            write = inheritable_thread_target(warehouse.spark)(_write)
+            list(pool.map(lambda name: write(warehouse, name), names))
     return selected
 
 

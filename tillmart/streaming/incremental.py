@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.operators.upsert import KeyedTable
 from tillmart.plans.incremental import load_transactions
+from tillmart.sources import tables
 from tillmart.sources.raw import drop_blank_rows
 from tillmart.sources.schemas import RAW_SCHEMAS
-from tillmart.sources.tables import scratch_path
 
 
 def load_new_files(
@@ -16,20 +18,21 @@ def load_new_files(
 ) -> None:
     """Load the raw Parquet transaction files that arrived since the last call, then stop.
 
-    Spark remembers the files under `progress`. All new files form one batch, so their
-    order does not matter. A batch repeated after a crash changes nothing: its rows are
+    Spark remembers the files under `progress`, by default a folder of the warehouse for
+    each input folder. All new files form one batch, so their order does not matter. A batch repeated after a crash changes nothing: its rows are
     no longer newer than the table.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         load_transactions(drop_blank_rows(batch), table)
 
-    checkpoint = progress or scratch_path(spark, table.warehouse, f"{table.name}-files")
+    source = hashlib.sha256(folder.encode()).hexdigest()[:16]
+    default = tables.table_path(table.warehouse, "_progress", f"{table.name}-{source}")
     query = (
         spark.readStream.schema(RAW_SCHEMAS["transactions"])
         .parquet(folder)
         .writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", progress or default)
         .foreachBatch(load)
         .start()
     )
