@@ -72,7 +72,7 @@ def test_fifth_transaction_is_limited_before_the_shuffle(warehouse):
     ],
 )
 def test_the_fact_is_aggregated_before_it_is_joined(spark, warehouse, name):
-    """Going up from the scan of the fact, a partial aggregate comes before any shuffle or join."""
+    """Going up from the scan of the fact, a partial aggregate comes before any shuffle."""
     unique = replace(warehouse, unique_keys=True)
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
@@ -87,10 +87,25 @@ def test_the_fact_is_aggregated_before_it_is_joined(spark, warehouse, name):
         if indent < depth:
             depth = indent
             operators.append(line.strip(" :+-").split("(")[0].split(" ")[0])
-    first = next(op for op in operators if "Aggregate" in op or "Join" in op or op == "Exchange")
+    moved = ("Aggregate", "SortMergeJoin", "ShuffledHashJoin", "Exchange")
+    first = next(op for op in operators if any(word in op for word in moved))
     assert "Aggregate" in first
 
 
+@pytest.mark.parametrize("threshold", ["32MB", "-1"])
+def test_adoption_drops_later_days_before_the_shuffle_if_that_needs_none(
+    spark, warehouse, threshold
+):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = initial_plan(report(warehouse, "store_adoption"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    semi_joins = re.findall(r"(\w+)Join .*LeftSemi", plan)
+    assert semi_joins == (["BroadcastHash"] if threshold != "-1" else [])
+
+
 def test_unique_keys_spare_the_distinct_transactions(warehouse):
     checked = initial_plan(report(replace(warehouse, unique_keys=True), "device_efficiency"))
     unchecked = initial_plan(report(warehouse, "device_efficiency"))
@@ -158,4 +173,4 @@ def test_analysis_has_no_hints():
     """Join strategy is left to the optimizer's size check."""
     import inspect
 
-    assert "broadcast(" not in inspect.getsource(analysis) + inspect.getsource(marts)
+    assert "F.broadcast(" not in inspect.getsource(analysis) + inspect.getsource(marts)

@@ -216,3 +216,22 @@ def test_store_adoption_with_repeated_keys(rows, fact):
     f = fact(*sales(1, "1.00", "2.00"), *sales(1, "2.00"))
     stores = rows(STORES, ADOPTION_STORES[0], ADOPTION_STORES[0])
     assert tuples(analysis.store_adoption(f, stores)) == [(0, 1, 2.0, 2, 2, Decimal("10.00"), 1.0)]
+
+
+def test_store_adoption_without_broadcast(spark, rows, fact):
+    """Dropping later days early, where stores can be broadcast, changes no result."""
+    f = fact(
+        *sales(1, "1.00", "2.00"),
+        (5, 1, 1, "a", "4.00", "completed", "2024-03-31 23:59:59"),
+        (6, 1, 1, "a", "4.00", "completed", "2024-04-01 00:00:00"),
+        (7, 1, 9, "a", "4.00", "completed", NOON),
+    )
+    stores = rows(STORES, *ADOPTION_STORES)
+    early = tuples(analysis.store_adoption(f, stores))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        late = tuples(analysis.store_adoption(f, stores))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert early == late and [row[0] for row in early] == [0, 90]

@@ -1,0 +1,12 @@
+"""The optimizer's own size check, for choices it cannot make itself."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst would broadcast `df` as a join side, by its size estimate."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(estimate)) <= int(threshold)

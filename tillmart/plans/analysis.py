@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions import calendar_days, completed, count_ratio, elapsed_days, money_ratio
 from tillmart.operators.ranking import dense_top_n
+from tillmart.operators.sizes import fits_broadcast
 
 FIRST_DAYS = 90
 ACTIVATION_RANK = 5
@@ -218,18 +219,22 @@ def store_adoption(
     date is joined, so a hot store is at most one row per date from there on.
     `unique_keys` as in `device_efficiency`.
     """
-    traded = F.to_date("transaction_at")
     distinct_count = F.count if unique_keys else F.count_distinct
-    daily = (
-        # Rows without a store or a date have no day offset and fall out below anyway.
-        fact.filter(F.col("store_id").isNotNull() & F.col("transaction_at").isNotNull())
-        .groupBy("store_id", traded.alias("traded_on"))
-        .agg(
-            distinct_count("transaction_id").alias("transactions"),
-            F.sum(F.when(completed(), F.col("amount_eur")).otherwise(F.lit(0))).alias("revenue"),
+    opened = dim_stores.select("store_id", "created_at")
+    # Rows without a store or a date have no day offset and fall out below anyway.
+    trades = fact.filter(F.col("store_id").isNotNull() & F.col("transaction_at").isNotNull())
+    if fits_broadcast(opened):
+        # Most of a long history is later than day 90: drop it before the shuffle.
+        opening = opened.select(F.col("store_id").alias("opened_store"), "created_at")
+        day = calendar_days(F.col("created_at"), F.col("transaction_at"))
+        in_first_days = day.between(0, FIRST_DAYS)
+        trades = trades.join(
+            opening, (F.col("store_id") == F.col("opened_store")) & in_first_days, "left_semi"
         )
+    daily = trades.groupBy("store_id", F.to_date("transaction_at").alias("traded_on")).agg(
+        distinct_count("transaction_id").alias("transactions"),
+        F.sum(F.when(completed(), F.col("amount_eur")).otherwise(F.lit(0))).alias("revenue"),
     )
-    opened = dim_stores.select("store_id", "created_at")
     if not unique_keys:
         # Equal dimension rows would repeat a store's revenue but not its transactions.
         opened = opened.groupBy("store_id", "created_at").agg(F.count(F.lit(1)).alias("copies"))
