@@ -25,9 +25,8 @@ def require_same_columns(target: DataFrame, batch: DataFrame) -> None:
     """Refuse a batch whose column names or types differ from the target's."""
     expected, found = set(target.dtypes), set(batch.dtypes)
     if expected != found:
-        raise SchemaChanged(
-            f"missing or retyped: {sorted(expected - found)}, unexpected: {sorted(found - expected)}"
-        )
+        missing, extra = sorted(expected - found), sorted(found - expected)
+        raise SchemaChanged(f"missing or retyped: {missing}, unexpected: {extra}")
 
 
 def high_water(

@@ -80,17 +80,20 @@ def read_parquet(spark: SparkSession, path: str, hints: T.StructType) -> DataFra
 
 def apply_hints(df: DataFrame, hints: T.StructType) -> DataFrame:
     types = {field.name: field.dataType for field in hints.fields}
-    typed = [
-        F.col(f"`{name}`").try_cast(types[name]).alias(name) if name in types else F.col(f"`{name}`")
-        for name in df.columns
-    ]
-    return df.select(*typed)
+
+    def typed(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return column.try_cast(types[name]).alias(name) if name in types else column
+
+    return df.select(*map(typed, df.columns))
 
 
 READERS = {"csv": read_csv, "parquet": read_parquet}
 
 
-def load_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet") -> DataFrame | None:
+def load_table(
+    spark: SparkSession, table: str, root: str, fmt: str = "parquet"
+) -> DataFrame | None:
     """One raw table from ``root/<table>`` or ``root/<table>.<fmt>``; None if there are no files."""
     for path in (f"{root}/{table}", f"{root}/{table}.{fmt}"):
         try:
