@@ -222,7 +222,8 @@ ON_FILES: dict[str, Query] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """The ten best stores of the smallest data set."""
-    return queries()["top_10_stores"](spark, "/root/testdata/sf0.001")
+    models = Models(tune(spark), "/root/testdata/sf0.001")
+    return analysis.top_stores(models.fact_transactions, models.dim_stores)
 
 
 def queries() -> dict[str, Query]:
