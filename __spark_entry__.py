@@ -23,6 +23,12 @@ from tillmart.session import tune
 from tillmart.sources import tables, testdata
 from tillmart.sources.raw import drop_blank_rows, land
 
+try:  # an add-on that the rest does without
+    import corpus_pipeline
+    from tillmart.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AUDIT_COLUMNS = ("dbt_loaded_at", "dbt_updated_at")
@@ -235,11 +241,19 @@ def queries() -> dict[str, Query]:
     def on_files(name: str) -> Query:
         return lambda spark, sf_dir: _comparable(name, ON_FILES[name](tune(spark), sf_dir))
 
-    return {name: on_models(name) for name in ON_MODELS} | {
+    found = {name: on_models(name) for name in ON_MODELS} | {
         name: on_files(name) for name in ON_FILES
     }
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for each of `queries()`."""
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm_queries:
+        found |= llm_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -12,7 +12,9 @@ from conftest import TESTDATA
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", f"{TESTDATA}/sf0.01")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+NAMES = [*entry.ON_MODELS, *entry.ON_FILES]
+QUERIES = {name: entry.queries()[name] for name in NAMES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in NAMES}
 
 
 @pytest.fixture(scope="module")
