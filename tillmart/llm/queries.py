@@ -240,14 +240,14 @@ ORACLES = {
         ),
         sizes as (select doc_id, count(*) as n from grams group by doc_id),
         counted as (
-            select a.doc_id as a, b.doc_id as b, count(*) as both
+            select a.doc_id as a, b.doc_id as b, count(*) as common
             from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id
             group by all
         ),
         links as (
             select a, b from counted
             join sizes x on x.doc_id = a join sizes y on y.doc_id = b
-            where 100 * both >= 90 * (x.n + y.n - both)
+            where 100 * common >= 90 * (x.n + y.n - common)
         ),
         edges as (select a, b from links union all select b, a from links),
         reached as (
