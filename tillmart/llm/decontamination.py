@@ -26,12 +26,15 @@ from tillmart.llm.common import hash_strings
 #: Passages that are compared with the documents at a time.
 BLOCK = 4096
 RANK, OVERSAMPLE, POWER = 192, 16, 2
+#: Rows of a matrix that are added up together.
+PIECE = 1024
 #: Words of a half window; a window is two of them, and windows overlap by half.
 STEP = 32
 #: Terms in more than this share of documents say nothing, but each passage keeps its rarest ones.
-COMMON, RAREST = 0.05, 8
-#: Distinct kept terms and cosine a candidate window needs at least.
-TERMS, COSINE = 2, 0.35
+COMMON, RAREST = 0.02, 8
+#: What a candidate window needs at least: kept terms, cosine, and how much of the passage's vector
+#: it holds. A window has two thirds of any passage of `REACH` words, and less of longer ones.
+TERMS, COSINE, HELD, REACH = 2, 0.3, 0.25, 64
 #: Share of a passage's words in common: alone; with the answer in the document too.
 ALONE, WITH_ANSWER, ANSWER = 0.7, 0.5, 0.9
 #: Passages with fewer words have to be there as they are.
@@ -53,6 +56,7 @@ class Block(NamedTuple):
     terms: np.ndarray  # hashes of kept terms, sorted
     space: np.ndarray  # a row for each term, weighted
     vectors: np.ndarray  # a row of length 1 for each passage
+    least: np.ndarray  # what a window's product with that row has to be
 
 
 def words_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,50 +158,56 @@ def randomised_svd(
         starts = np.cumsum(sizes) - sizes
         return np.add.reduceat(values[:, None] * base[columns], starts, axis=0)
 
+    def back(rows, base):
+        """The rows' share of the matrix' transpose times its product with the basis."""
+        sizes, columns, values = rows
+        by_row = np.repeat(product(sizes, columns, values, base), sizes, axis=0)
+        total = np.zeros_like(base)
+        np.add.at(total, columns, values[:, None] * by_row)
+        return total
+
+    def gram(rows, base):
+        own = product(*rows, base)
+        return own.T @ own
+
     for _ in range(max(1, power)):
+        basis = np.linalg.qr(_summed(matrix, rows_of, back, basis, (width, k)))[0]
+    k = basis.shape[1]
+    total = _summed(matrix, rows_of, gram, basis, (k, k))
+    values, vectors = np.linalg.eigh(total)
+    kept = np.argsort(-values)[:rank]
+    kept = kept[values[kept] > max(values.max(), 0) * 1e-9]
+    return basis @ vectors[:, kept]
 
-        def back(frames, base=basis) -> Iterator:
-            import pandas as pd
-
-            total = np.zeros_like(base)
-            for frame in frames:
-                if len(frame):
-                    sizes, columns, values = rows_of(frame)
-                    by_row = np.repeat(product(sizes, columns, values, base), sizes, axis=0)
-                    np.add.at(total, columns, values[:, None] * by_row)
-            some = np.flatnonzero(total.any(1))
-            yield pd.DataFrame({"term": some, "sums": list(total[some])})
-
-        parts = matrix.mapInPandas(back, "term long, sums array<double>")
-        summed = parts.groupBy("term").agg(
-            F.array(*[F.sum(F.col("sums")[i]) for i in range(k)]).alias("sums")
-        )
-        total = np.zeros_like(basis)
-        for r in summed.collect():
-            total[r["term"]] = r["sums"]
-        basis = np.linalg.qr(total)[0]
 
-    def gram(frames, base=basis) -> Iterator:
+def _summed(matrix: DataFrame, rows_of, share, basis: np.ndarray, shape) -> np.ndarray:
+    """The sum of all tasks' shares, added up in a shuffle by pieces of some rows each."""
+    pieces = "piece int, numbers binary"
+
+    def partial(frames) -> Iterator:
         import pandas as pd
 
-        total = np.zeros((base.shape[1], base.shape[1]))
+        total = np.zeros(shape)
         for frame in frames:
             if len(frame):
-                own = product(*rows_of(frame), base)
-                total += own.T @ own
-        yield pd.DataFrame({"row": np.arange(len(total)), "sums": list(total)})
-
-    parts = matrix.mapInPandas(gram, "row long, sums array<double>")
-    summed = parts.groupBy("row").agg(
-        F.array(*[F.sum(F.col("sums")[i]) for i in range(basis.shape[1])]).alias("sums")
-    )
-    total = np.zeros((basis.shape[1], basis.shape[1]))
+                total += share(rows_of(frame), basis)
+        for piece in range(0, shape[0], PIECE):
+            own = total[piece : piece + PIECE]
+            if own.any():
+                yield pd.DataFrame({"piece": [piece], "numbers": [own.tobytes()]})
+
+    def add(frame):
+        import pandas as pd
+
+        total = sum(np.frombuffer(x) for x in frame["numbers"])
+        return pd.DataFrame({"piece": frame["piece"][:1], "numbers": [total.tobytes()]})
+
+    found = np.zeros(shape)
+    summed = matrix.mapInPandas(partial, pieces).groupBy("piece").applyInPandas(add, pieces)
     for r in summed.collect():
-        total[r["row"]] = r["sums"]
-    values, vectors = np.linalg.eigh(total)
-    kept = np.argsort(-values)[:rank]
-    kept = kept[values[kept] > max(values.max(), 0) * 1e-9]
-    return basis @ vectors[:, kept]
+        own = np.frombuffer(r["numbers"]).reshape(-1, shape[1])
+        found[r["piece"] : r["piece"] + len(own)] = own
+    return found
 
 
 def _block(spark, passages: list[Passage], docs: DataFrame) -> Block | None:
@@ -215,12 +225,17 @@ def _block(spark, passages: list[Passage], docs: DataFrame) -> Block | None:
         numbers, own = numbers[own >= 0], own[own >= 0]
         rows.append((i, own.tolist(), (numbers * idf[own]).tolist()))
     schema = "passage int, terms array<int>, weights array<double>"
-    matrix = spark.createDataFrame(rows, schema).repartition("passage")
+    # A few hundred passages a task.
+    matrix = spark.createDataFrame(rows, schema).repartition(1 + len(rows) // 256)
     basis = randomised_svd(matrix, len(terms), RANK)
     space = (idf[:, None] * basis).astype(np.float32)
-    vectors = np.array([space[_places(terms, p.words)[_places(terms, p.words) >= 0]].sum(0) for p in passages])
+    places = [_places(terms, p.words) for p in passages]
+    vectors = np.array([space[own[own >= 0]].sum(0) for own in places])
     lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return Block(passages, terms, space, (vectors / np.maximum(lengths, 1e-9)).astype(np.float32))
+    vectors = (vectors / np.maximum(lengths, 1e-9)).astype(np.float32)
+    sizes = np.array([len(p.words) for p in passages])
+    least = HELD * lengths[:, 0] * np.minimum(1, REACH / sizes)
+    return Block(passages, terms, space, vectors, least.astype(np.float32))
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
@@ -276,15 +291,18 @@ def _candidates(block: Block, place: np.ndarray, starts: np.ndarray) -> list[tup
     joint_numbers[nexts] += numbers[nexts + 1]
     # A half window without a neighbour before it is a window of its own.
     found = set()
-    least = np.array([min(TERMS, len(p.words)) for p in block.passages])
+    lowest = float(block.least.min())
+    terms = min(TERMS, min(len(p.words) for p in block.passages))
     for vectors, count in ((joint, joint_numbers), (sums, numbers)):
-        enough = np.flatnonzero(count >= least.min())
+        length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        enough = np.flatnonzero((count >= terms) & (length >= lowest))
         for begin in range(0, len(enough), 4096):
             some = enough[begin : begin + 4096]
-            length = np.linalg.norm(vectors[some], axis=1, keepdims=True)
-            near = vectors[some] @ block.vectors.T >= COSINE * np.maximum(length, 1e-9)
-            i, j = np.nonzero(near & (count[some][:, None] >= least))
-            at = some[i]
+            product = vectors[some] @ block.vectors.T
+            near = np.flatnonzero((product >= block.least).ravel())
+            i, j = np.divmod(near, len(block.passages))
+            cosine = product[i, j] >= COSINE * length[some[i]]
+            at, j = some[i[cosine]], j[cosine]
             found.update(zip(text[at].tolist(), half[at].tolist(), j.tolist()))
     return sorted(found)
 
