@@ -7,6 +7,9 @@ are counted:
 * Equal sets are one node, however many documents have them.
 * A pair that is similar enough shares an n-gram among the first few of both, the prefix, in an order
   that puts frequent n-grams last. How far down the shared n-gram stands also bounds the overlap.
+* Before sets are fetched, pairs are held against parity sketches: a bit for each range of hashes
+  that says whether an odd number of n-grams falls there. Two sets differ in at least as many
+  n-grams as their sketches do in bits, so pairs with too many different bits are left out.
 * The nodes that share a prefix n-gram are not all paired. First each is paired with one of them,
   the one with the fewest rare n-grams of its own. Only where a prefix n-gram then still joins nodes
   that are not connected yet are those paired too, across components. So a large group of near
@@ -28,10 +31,10 @@ from tillmart.llm.common import shingle_hashes, written
 FRAGMENT_BITS = 4
 #: Frequent n-grams that are ordered by frequency: those seen in at least `LEAST` documents of a
 #: few thousand, `MOST` of them at most. All others come before them, in order of their hashes.
-LEAST, MOST = 8, 2**18
+LEAST, MOST = 4, 2**19
 #: N-grams that are counted at a time.
 COUNTED = 2**21
-SETS = "doc_id long, n int, digest binary, prefix array<long>"
+SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long>"
 SEGMENTS = "digest binary, fragment int, grams array<long>"
 
 
@@ -93,28 +96,62 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
             if len(known):
                 at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
                 rank = np.where(known[at] == grams, ranks[at], 0)
-            digests, prefixes, sizes = [], [], np.diff(starts)
+            digests, prefixes, parities, sizes = [], [], [], np.diff(starts)
             for a, b in zip(starts.tolist(), starts[1:].tolist()):
                 digests.append(xxhash.xxh3_128_digest(grams[a:b].tobytes()))
                 own = rank[a:b]
                 # Grams are sorted by hash already.
                 order = np.argsort(own, kind="stable") if own.any() else slice(None)
                 prefixes.append(grams[a:b][order][: prefix_size(b - a, percent) if b > a else 0])
-            cuts = np.cumsum([0] + [len(x) for x in prefixes]).astype(np.int32)
-            flat = np.concatenate(prefixes) if prefixes else grams[:0]
+                parities.append(parity(grams[a:b]))
+
+            def lists(arrays):
+                cuts = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
+                flat = np.concatenate(arrays) if arrays else grams[:0]
+                return pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat.view(np.int64)))
+
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
                     pa.array(sizes.astype(np.int32)),
                     pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat.view(np.int64))),
+                    lists(prefixes),
+                    lists(parities),
                 ],
-                ["doc_id", "n", "digest", "prefix"],
+                ["doc_id", "n", "digest", "prefix", "parity"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(build, SETS)
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """A set's parity sketch, in 64-bit words: the next power of two of at least a bit a gram."""
+    bits = max(64, 1 << (len(grams) - 1).bit_length()) if len(grams) else 64
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _sketches_allow(percent: int) -> Column:
+    """Whether the sketches `left` and `right` differ in few enough bits; a sketch of double length
+    is folded. At other lengths, which only low thresholds allow, nothing is said."""
+    words = F.least(F.size("left"), F.size("right"))
+
+    def folded(name: str) -> Column:
+        both = F.transform(
+            F.sequence(F.lit(0), words - 1),
+            lambda i: F.get(name, i).bitwiseXOR(F.get(name, i + words)),
+        )
+        return F.when(F.size(name) == words, F.col(name)).when(F.size(name) == 2 * words, both)
+
+    different = F.aggregate(
+        F.zip_with(folded("left"), folded("right"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    few = different * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return F.coalesce(few, F.lit(True))
+
+
 def _segments(docs: DataFrame, size: int) -> DataFrame:
     """(digest, fragment, grams): each document's set, cut by ranges of the hash."""
 
@@ -161,12 +198,36 @@ def _possible(percent: int, a: dict[str, Column], b: dict[str, Column]) -> Colum
     )
 
 
-def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches leave it open that they are similar enough."""
+    right = nodes.select(F.col("node").alias("b"), F.col("parity").alias("right"))
+    left = nodes.select(F.col("node").alias("a"), F.col("parity").alias("left"))
+    return (
+        pairs.join(right, "b").join(left, "a").filter(_sketches_allow(percent)).drop("left", "right")
+    )
+
+
+def _links(
+    pairs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, percent: int, unique: bool
+) -> DataFrame:
     """Those of (a, b, n_a, n_b) that are similar enough, by partial overlaps summed per pair.
 
-    `b` is the side that stands in fewer pairs: its fragments travel with the pair, while those of
-    `a`, which may be the partner of very many, meet them in a join that splits hot keys.
+    Sets are made again from the texts, of one row a node. `b` is the side that stands in fewer
+    pairs: its fragments travel with the pair, while those of `a`, which may be the partner of
+    very many, meet them in a join that splits hot keys.
     """
+    either = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    needed = nodes.select("node", "digest", "first").join(either, "node", "semi")
+    needed = written(needed, "needed")
+    texts = rows.join(needed.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "semi")
+    unnamed = rows.filter("doc_id is null")  # rows whose whole group has no id
+    segments = (
+        _segments(texts.select("text").union(unnamed.select("text")), size)
+        .join(needed.select("digest", "node"), "digest")
+        .select("node", "fragment", "grams")
+    )
+    segments = segments if unique else segments.dropDuplicates(["node", "fragment"])
+    segments = written(segments, "segments")
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("right"))
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("left"))
     partial = (
@@ -234,7 +295,11 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     nodes = (
         sets.filter("n > 0")
         .groupBy("digest", "n")
-        .agg(F.min("doc_id").alias("first"), F.any_value("prefix").alias("prefix"))
+        .agg(
+            F.min("doc_id").alias("first"),
+            F.any_value("prefix").alias("prefix"),
+            F.any_value("parity").alias("parity"),
+        )
     )
     # Numbers are given once, as the table is written.
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -257,20 +322,9 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         )
         .distinct()
     )
-    first_pairs = written(first_pairs, "first-pairs")
-
-    needed = shared.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
-    texts = rows.join(needed.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "semi")
-    unnamed = rows.filter("doc_id is null")  # rows whose whole group has no id
-    segments = (
-        _segments(texts.select("text").union(unnamed.select("text")), size)
-        .join(needed.select("digest", "node"), "digest")
-        .select("node", "fragment", "grams")
-    )
-    if not _ids_are_unique(sets):
-        segments = segments.dropDuplicates(["node", "fragment"])
-    segments = written(segments, "segments")
-    labels = components(_links(first_pairs, segments, percent))
+    unique = _ids_are_unique(sets)
+    first_pairs = written(_near(first_pairs, nodes, percent), "first-pairs")
+    labels = components(_links(first_pairs, rows, nodes, size, percent, unique))
 
     tagged = shared.select("gram", "node", "n", "pos").join(labels, "node", "left")
     tagged = tagged.withColumn("label", F.coalesce("label", "node"))
@@ -292,8 +346,8 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         F.col("x.label").alias("label_a"),
         F.col("y.label").alias("label_b"),
     )
-    across = written(across.distinct(), "across")
-    more = _links(across.select("a", "b", "n_a", "n_b"), segments, percent)
+    across = written(_near(across.distinct(), nodes, percent), "across")
+    more = _links(across.select("a", "b", "n_a", "n_b"), rows, nodes, size, percent, unique)
     joined = across.join(more, ["a", "b"]).select(
         F.col("label_a").alias("a"), F.col("label_b").alias("b")
     )
