@@ -53,6 +53,7 @@ BOILERPLATE = frozenset(
     " subscription toolbar widget widgets".split()
 )
 WORD = re.compile(r"[a-z]+")
+TAG = re.compile(r"<[A-Za-z/!?]")
 #: The white space of HTML and of str.split alike.
 SPACE = re.compile(r"\s+")
 
@@ -141,6 +142,8 @@ class LineParser(HTMLParser):
             self.parts.append(data)
 
     def finish(self) -> list[Line]:
+        if TAG.match(self.rawdata):
+            self.rawdata = ""  # a tag that the page's end cuts off is no text
         self.close()
         self._cut()
         return self.lines

@@ -116,6 +116,12 @@ SENTENCES = (
 )
 
 
+#: What says that a license is given. "License" itself lets a text through anyhow.
+GIVEN = ("licensed", "released", "distributed", "available", "published", "covered")
+#: Keywords that are words of a language; their rules all need a word of `GIVEN` or "license".
+COMMON_WORDS = ("mit",)
+
+
 class Rule(NamedTuple):
     label: str
     priority: int  # 1 goes first
@@ -137,7 +143,7 @@ def rules() -> list[Rule]:
                     rf"(?: the)? {call}(?: version| v)? v?{version}(?: only| or later)?(?= )",
                 )
             )
-        given = r"(?:licensed|released|distributed|available|published|covered)"
+        given = f"(?:{'|'.join(GIVEN)})"
         stated = rf" {given} under(?: the)?(?: terms of(?: the)?)? {call}(?= )"
         found.append(Rule(label, 2, keyword, stated))
         found.append(Rule(label, 2, keyword, rf" spdx license identifier {name}[^ ]*(?= )"))
@@ -290,14 +296,10 @@ def scan(
     result = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     kept = docs.drop(*result, "detections")
     own = F.col(f"`{text}`")
-    # Texts with neither a keyword nor a phrase need no further look. (A dotted capital I would
-    # grow in lower case, but no keyword has to do with it.)
-    lower = F.lower(own)
-    gates = sorted({rule.keyword.strip().split(" ")[0] for rule in ordered} - {"mit"})
-    gate = F.lower(own).rlike("|".join([*_shortest(gates), r"\bmit\b"]))
-    gate = F.coalesce(gate | lower.contains("licen"), F.lit(False))
-    words = F.when(gate, normal_words(own))
-    rows = kept.withColumn("__words", words)
+    rows = kept.withColumn("__lower", F.lower(own))
+    gate = F.col("__gate")
+    rows = rows.withColumn("__gate", _worth_a_look(F.col("__lower"), ordered)).drop("__lower")
+    rows = rows.withColumn("__words", F.when(gate, normal_words(own)))
     w = F.col("__words")
 
     def places(phrase: str) -> Column:
@@ -352,9 +354,23 @@ def scan(
             "labels": F.array_join(all_labels, ","),
             "score": score.cast("double"),
         }
-    ).drop("__words", "__base")
+    ).drop("__words", "__gate", "__base")
 
 
-def _shortest(words: list[str]) -> list[str]:
-    """Without the words that contain another: finding that is enough."""
-    return [w for w in words if not any(other != w and other in w for other in words)]
+def _worth_a_look(lower: Column, ordered: list[Rule]) -> Column:
+    """Whether a text, in lower case, may have a phrase of the base or a keyword of the rules.
+
+    Plain searches come first; an expression only looks at what they let through.
+    """
+    found = lower.contains("licen")
+    keywords = {rule.keyword for rule in ordered}
+    open_words = {keyword.split(" ")[0] for keyword in keywords if keyword[0] != " "}
+    for word in sorted(open_words):
+        if not any(other != word and other in word for other in open_words):
+            found = found | lower.contains(word)
+    for word in sorted({keyword.strip() for keyword in keywords if keyword[0] == " "}):
+        alone = lower.contains(word) & lower.rlike(rf"(?<![0-9a-z]){word}(?![0-9a-z])")
+        if word in COMMON_WORDS:
+            alone = alone & lower.rlike("|".join(GIVEN))
+        found = found | alone
+    return F.coalesce(found, F.lit(False))
