@@ -119,42 +119,16 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select(
-        F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    docs = docs.withColumn("tie", F.xxhash64("text"))
-    # A null id has a place in the order, but no equal in a join.
-    key = F.struct("doc_id", "tie").alias("key")
-    printed = docs.select(key, "text", fingerprints.fingerprint("text").alias("fingerprint"))
-    printed = printed.repartition("key")
-    links = fingerprints.followers(docs)
-    sizes = printed.select("key", F.char_length("text").alias("n")).distinct()
-    wanted = links.join(sizes, links["key"].eqNullSafe(sizes["key"])).select(
-        F.col("next").alias("key"), links["key"].alias("of"), F.floor(F.col("n") / 2).alias("cut")
-    )
-    heads = (
-        printed.dropDuplicates(["key"])
-        .alias("p")
-        .join(wanted.alias("w"), F.col("p.key").eqNullSafe(F.col("w.key")))
-        .select(
-            "of",
-            F.substring("text", F.lit(1), F.col("cut").cast("int")).alias("head"),
-            F.col("fingerprint").alias("next_fingerprint"),
-        )
-    )
-    joined = printed.join(heads, printed["key"].eqNullSafe(heads["of"]))
+    rows = fingerprints.with_next(documents(spark, sf_dir))
     n = F.char_length("text")
-    edited = F.concat(
-        F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("head")
-    )
-    rows = joined.select(
-        F.col("key.doc_id").alias("doc_id"),
+    kept = (n - F.floor(n / 2)).cast("int")
+    rows = rows.select(
+        "doc_id",
         n.cast("long").alias("n_chars"),
-        edited.alias("edited"),
+        F.concat(F.substring("text", F.lit(1), kept), F.col("head")).alias("edited"),
         "fingerprint",
         "next_fingerprint",
-    )
-    rows = rows.select(
+    ).select(
         "doc_id",
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
