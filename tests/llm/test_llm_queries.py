@@ -1,0 +1,85 @@
+"""The registered queries on the driver's smallest tables, and the pipeline."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+from helpers import components
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tillmart.llm import lang_id, pieces, queries
+
+SF = f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in ("documents", "pages", "conversations", "benchmark"):
+        connection.execute(f"create view {name} as from '{SF}/{name}.parquet'")
+    return connection
+
+
+def test_all_are_registered():
+    names = entry.queries().keys()
+    assert {*queries.QUERIES, "pipeline"} <= names
+    assert entry.oracle_sql().keys() <= names
+
+
+@pytest.mark.parametrize("name", queries.QUERIES)
+def test_row_counts(spark, duck, name):
+    counts = {"op3_html_text": "select count(*) from pages"}
+    counts["op9_chat"] = "select count(distinct conv_id) + 1 from conversations"
+    found = queries.QUERIES[name](spark, SF).count()
+    if name != "op10_decontamination":
+        assert found == duck.execute(counts.get(name, "select count(*) from documents")).fetchone()[0]
+
+
+@pytest.mark.parametrize("name", queries.ORACLES)
+def test_oracles(spark, duck, name):
+    found = queries.QUERIES[name](spark, SF).toPandas()
+    expected = duck.execute(queries.ORACLES[name]).df()[list(found.columns)]
+    assert sorted(map(str, found.values.tolist())) == sorted(map(str, expected.values.tolist()))
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    found = queries.op8_lang_id(spark, SF).filter("held_out").join(docs, "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
+
+
+def test_exact_passages_are_found(spark, duck):
+    found = {(r.doc_id, r.item_id) for r in queries.op10_decontamination(spark, SF).collect()}
+    exact = duck.execute(
+        "select doc_id, item_id from documents d, benchmark b where contains(d.text, b.text)"
+    ).fetchall()
+    assert set(exact) <= found
+
+
+def test_pipeline_against_brute_force(spark, duck):
+    texts = dict(duck.execute("select doc_id, text from documents where text is not null").fetchall())
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = lang_id.fit(docs)
+    codes, starts = lang_id._codes(list(texts.values()))
+    named = [lang_id._classify(model, codes[a:b]) for a, b in zip(starts, starts[1:])]
+    texts = {i: t for (i, t), (lang, score) in zip(texts.items(), named) if lang != "und" and score}
+    texts = {i: texts[i] for i, (_, first) in components(texts, 5, 80).items() if i == first}
+    passages = [t for (t,) in duck.execute("select text from benchmark").fetchall()]
+    texts = {i: t for i, t in texts.items() if not any(p in t for p in passages)}
+    found = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, SF).collect()}
+    assert found.keys() == texts.keys()
+    model = pieces.model(queries.tokenizer("piece_bpe_32k.model"))
+    changed = [i for i, ids in found.items() if model.decode(ids) != texts[i]]
+    assert all("[" in model.decode(found[i]) for i in changed)
+
+
+def test_stages_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    empty = docs.limit(0)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, empty, SF)
+        assert out.count() == 0
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.dtypes == docs.dtypes
