@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmart.operators.upsert import SchemaChanged, high_water, merge_rows, newer_than
-from tillmart.plans.incremental import load_transactions, transactions_table
+from tillmart.plans.incremental import load_batch, load_transactions, transactions_table
 from tillmart.sources.schemas import STG_TRANSACTIONS
 from tillmart.streaming.incremental import load_new_files
 
@@ -310,6 +310,9 @@ def test_the_table_holds_only_its_own_columns(spark, raw, table):
     assert table.read(spark).columns == STG_TRANSACTIONS.fieldNames()
 
 
+LATE_ROWS_KEPT = sorted([*AFTER_SECOND, (3, "completed", "10:00"), (4, "completed", "09:59")])
+
+
 def test_new_files_are_loaded_once(spark, raw, table, tmp_path):
     folder, progress = str(tmp_path / "arriving"), str(tmp_path / "progress")
     raw(*FIRST).write.mode("append").parquet(folder)
@@ -318,12 +321,50 @@ def test_new_files_are_loaded_once(spark, raw, table, tmp_path):
     raw(*SECOND).write.mode("append").parquet(folder)
     for _ in range(2):
         load_new_files(spark, folder, table, progress)
-    assert held(spark, table) == AFTER_SECOND
+    assert held(spark, table) == LATE_ROWS_KEPT
 
 
 def test_files_seen_again_change_nothing(spark, raw, table, tmp_path):
     folder = str(tmp_path / "arriving")
-    raw(*FIRST).write.parquet(folder)
+    raw(*FIRST, *SECOND).write.parquet(folder)
     for run in range(2):  # as after losing the record of files seen
         load_new_files(spark, folder, table, str(tmp_path / f"progress{run}"))
+        assert held(spark, table) == LATE_ROWS_KEPT
+
+
+def test_files_without_rows_stop_nothing(spark, raw, table, tmp_path):
+    folder = str(tmp_path / "arriving")
+    raw().write.mode("append").parquet(folder)
+    load_new_files(spark, folder, table)
+    assert held(spark, table) == []
+    raw(*FIRST).write.mode("append").parquet(folder)
+    load_new_files(spark, folder, table)
     assert len(held(spark, table)) == len(FIRST)
+
+
+def test_older_versions_in_later_files_are_passed_over(spark, raw, table):
+    load_batch(raw((1, "accepted", "10:00:00"), (1, "refused", "09:00:00")), table)
+    assert held(spark, table) == [(1, "completed", "10:00")]
+    load_batch(raw((1, "cancelled", "09:59:00"), (2, "accepted", "01:00:00")), table)
+    assert held(spark, table) == [(1, "completed", "10:00"), (2, "completed", "01:00")]
+    load_batch(raw((1, "cancelled", "10:00:00")), table)  # as old: the later file counts
+    assert held(spark, table) == [(1, "cancelled", "10:00"), (2, "completed", "01:00")]
+
+
+def test_random_files_against_newest_per_id(spark, raw, table):
+    rng, newest = random.Random(3), {}
+    for _ in range(4):
+        batch = [
+            (rng.randrange(30), rng.choice(["accepted", "refused"]), f"{rng.randrange(24):02d}:00:00")
+            for _ in range(25)
+        ]
+        load_batch(raw(*batch), table)
+        best = {}
+        for key, _, at in batch:
+            best[key] = max(best.get(key, ""), at)
+        for key, at in best.items():
+            newest[key] = max(newest.get(key, ""), at)
+        assert {(k, at) for k, _, at in held(spark, table)} == {
+            (k, at[:5]) for k, at in newest.items()
+        }
+        assert len(held(spark, table)) == len(newest)

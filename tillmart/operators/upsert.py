@@ -70,6 +70,22 @@ def merge_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return untouched.unionByName(batch)
 
 
+def newest_of_each(df: DataFrame, key: str, time: str) -> DataFrame:
+    """One row per key, the one with the latest time; of equally late ones the largest by the other
+    columns. A NULL time is earlier than any other. Rows without a key are all kept."""
+    others = [name for name in df.columns if name not in (key, time)]
+    newest = F.max(F.struct(time, *others)).alias("newest")
+    chosen = df.filter(F.col(key).isNotNull()).groupBy(key).agg(newest).select(key, "newest.*")
+    return chosen.select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
+
+
+def not_older(batch: DataFrame, target: DataFrame, key: str, time: str) -> DataFrame:
+    """Batch rows for whose key the target has no later row."""
+    held = target.select(F.col(key).alias("held_key"), F.col(time).alias("held_time"))
+    later = F.coalesce(F.col("held_time") > F.col(time), F.col("held_time").isNotNull())
+    return batch.join(held, (F.col(key) == F.col("held_key")) & later, "left_anti")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A Parquet table split into folders by ranges of its integer key.
@@ -116,15 +132,20 @@ class KeyedTable:
         tables.delete(df.sparkSession, self._staging(df.sparkSession))
         self._write(self._place(df), self.path)
 
-    def merge(self, batch: DataFrame) -> None:
+    def merge(self, batch: DataFrame, late_rows: bool = False) -> None:
         """Replace rows of equal key, add the others. One merge at a time.
 
+        With `late_rows`, the batch may hold rows older than the table's: per key its newest row
+        counts, and only where the table has no later one.
+
         The batch and the rewritten folders are written out before the table is touched:
         a lost executor costs a task, and `finish_merge` completes a swap that broke off.
         """
         spark = batch.sparkSession
         self.finish_merge(spark)
         require_same_columns(self.read(spark), batch)
+        if late_rows:
+            batch = newest_of_each(batch, self.key, self.time)
         arrived_path = f"{self._staging(spark)}/arrived"
         tables.replace(self._place(batch), arrived_path)
         arrived = tables.read(spark, arrived_path)
@@ -132,6 +153,8 @@ class KeyedTable:
         touched = [row[0] for row in arrived.select(self.folder_column).distinct().collect()]
         if touched:
             current = self._read_placed(spark).filter(self._is_one_of(touched))
+            if late_rows:
+                arrived = not_older(arrived, current, self.key, self.time)
             self._write(merge_rows(current, arrived, self.key), self._merged(spark))
             log.info("%s: replacing %d folders", self.name, len(touched))
         self.finish_merge(spark)

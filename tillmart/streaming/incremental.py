@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.operators.upsert import KeyedTable
-from tillmart.plans.incremental import load_transactions
+from tillmart.plans.incremental import load_batch
 from tillmart.sources import tables
-from tillmart.sources.raw import drop_blank_rows
+from tillmart.sources.raw import apply_hints, drop_blank_rows
 from tillmart.sources.schemas import RAW_SCHEMAS
 
 
@@ -19,17 +20,26 @@ def load_new_files(
     """Load the raw Parquet transaction files that arrived since the last call, then stop.
 
     Spark remembers the files under `progress`, by default a folder of the warehouse for
-    each input folder. All new files form one batch, so their order does not matter. A batch repeated after a crash changes nothing: its rows are
-    no longer newer than the table.
+    each input folder. All new files form one batch, so their order does not matter. As they
+    are read once only, late rows count too: see `load_batch`, which a batch may also be
+    repeated with after a crash.
     """
 
+    hints = RAW_SCHEMAS["transactions"]
+    try:
+        schema = spark.read.parquet(folder).schema  # amounts may be doubles or decimals
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        schema = hints
+
     def load(batch: DataFrame, _: int) -> None:
-        load_transactions(drop_blank_rows(batch), table)
+        load_batch(apply_hints(drop_blank_rows(batch), hints), table)
 
     source = hashlib.sha256(folder.encode()).hexdigest()[:16]
     default = tables.table_path(table.warehouse, "_progress", f"{table.name}-{source}")
     query = (
-        spark.readStream.schema(RAW_SCHEMAS["transactions"])
+        spark.readStream.schema(schema)
         .parquet(folder)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", progress or default)
