@@ -10,7 +10,7 @@ import pytest
 from tillmart.__main__ import main
 from tillmart.plans import build, quality
 from tillmart.sources import tables
-from tillmart.sources.raw import read_csv
+from tillmart.sources.raw import ingest, read_csv
 from tillmart.sources.schemas import RAW_SCHEMAS
 
 STORES = "id,name,address,city,country,typology,customer_id,created_at\n"
@@ -108,6 +108,20 @@ def test_repeated_ids_are_still_counted_once(spark, raw):
     assert warehouse.table("device_efficiency").first()["total_transactions"] == 2
 
 
+def test_checks_look_at_the_view_itself(spark, raw):
+    """Staging has changed since the fact was written."""
+    warehouse = build.Warehouse(spark, raw.warehouse)
+    build.build(warehouse, raw.root, "csv")
+    raw("transactions", TRANSACTIONS, *transactions(range(6)), *transactions([3]))
+    ingest(spark, raw.warehouse, raw.root, "csv")
+    build.run(replace(warehouse, full_refresh=True), models=["stg_transactions"])
+    results = build.check(warehouse).filter("check = 'unique' and failures > 0").collect()
+    assert {(r["table"], r["failures"]) for r in results} == {
+        ("stg_transactions", 1),
+        ("int_transactions_joined", 1),
+    }
+
+
 def test_selected_tables_only(spark, raw):
     warehouse = build.Warehouse(spark, raw.warehouse, top_products_n=2)
     build.build(warehouse, raw.root, "csv")

@@ -10,10 +10,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmart.functions import utc_now
 from tillmart.operators import checks
 
 ERROR, WARN = "error", "warn"
-ROW_KINDS = ("not_null", "accepted_values", "accepted_range")
+ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "in_the_future")
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,9 @@ class ChecksFailed(RuntimeError):
     """At least one check of severity error found failing rows."""
 
 
-def _violation(check: Check) -> Column:
+def _violation(check: Check, now: Column) -> Column:
+    if check.kind == "in_the_future":
+        return F.col(check.column) > now
     if check.kind == "not_null":
         return checks.violates_not_null(check.column)
     if check.kind == "accepted_values":
@@ -107,29 +110,74 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
-def _row_checks(df: DataFrame, row_checks: list[Check]) -> DataFrame:
+def _row_checks(df: DataFrame, row_checks: list[Check], now: Column) -> DataFrame:
     """All checks that look at single rows, in one pass over the table."""
     counts = df.agg(
-        *[F.count_if(_violation(check)).alias(f"n{i}") for i, check in enumerate(row_checks)]
+        *[F.count_if(_violation(check, now)).alias(f"n{i}") for i, check in enumerate(row_checks)]
     )
-    results = [_result(check, F.col(f"n{i}")) for i, check in enumerate(row_checks)]
+    return _results(counts, row_checks)
+
+
+def _results(counts: DataFrame, of: list[Check]) -> DataFrame:
+    """The one row of counts n0, n1, ... as a row per check."""
+    results = [_result(check, F.col(f"n{i}")) for i, check in enumerate(of)]
     return counts.select(F.inline(F.array(*results)))
 
 
-def _group_check(tables: Mapping[str, DataFrame], check: Check, now: Column | None) -> DataFrame:
-    df = tables[check.table]
-    if check.kind == "unique":
-        failures = checks.unique(df, check.column).agg(F.count(F.lit(1)).alias("n"))
-    elif check.kind == "relationships":
-        parent, parent_column = check.args
-        orphans = checks.orphan_counts(df, check.column, tables[parent], parent_column)
-        failures = orphans.agg(F.sum("n_records").alias("n"))
-    elif check.kind == "created_after_first_transaction":
-        late = checks.stores_created_after_first_transaction(tables["fact_transactions"], df)
-        failures = late.agg(F.count(F.lit(1)).alias("n"))
-    else:
-        failures = checks.future_transactions(df, now).agg(F.sum("future_transactions").alias("n"))
-    return failures.select(F.inline(F.array(_result(check, F.col("n")))))
+def _key_checks(df: DataFrame, key_checks: list[Check]) -> DataFrame:
+    """Uniqueness of a column, and whether it is NULL, from its values and how often each occurs."""
+    column = F.col(key_checks[0].column)
+    values = df.groupBy(column.alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
+    known = F.col("value").isNotNull()
+    counts = {
+        "unique": F.count_if(known & (F.col("n_records") > 1)),
+        "not_null": F.sum(F.when(~known, F.col("n_records"))),
+    }
+    found = values.agg(*[counts[check.kind].alias(f"n{i}") for i, check in enumerate(key_checks)])
+    return _results(found, key_checks)
+
+
+def _parent_checks(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str, of: list[Check]
+) -> DataFrame:
+    """Whether each value has a parent, and whether that was there before the value's first
+    transaction, from one row per value."""
+    dated = any(check.kind == "created_after_first_transaction" for check in of)
+    first = [F.min("transaction_at").alias("first_transaction_at")] if dated else []
+    values = (
+        child.filter(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg(F.count(F.lit(1)).alias("n_records"), *first)
+    )
+    created = ["created_at"] if dated else []
+    parents = parent.select(F.col(parent_column).alias("parent"), *created)
+    if not dated:
+        parents = parents.distinct()
+    joined = values.join(parents, F.col(column) == F.col("parent"), "left")
+    counts = {"relationships": F.sum(F.when(F.col("parent").isNull(), F.col("n_records")))}
+    if dated:
+        late = F.col("created_at") > F.col("first_transaction_at")
+        counts["created_after_first_transaction"] = F.count_if(late)
+    found = joined.agg(*[counts[check.kind].alias(f"n{i}") for i, check in enumerate(of)])
+    return _results(found, of)
+
+
+def _passes(wanted: list[Check]) -> dict[tuple[str, ...], list[Check]]:
+    """The checks by the pass over a table that serves them."""
+    keys = {(check.table, check.column) for check in wanted if check.kind == "unique"}
+    found: dict[tuple[str, ...], list[Check]] = {}
+    for check in wanted:
+        place = (check.table, check.column)
+        if check.kind == "unique" or check.kind == "not_null" and place in keys:
+            part = ("key", *place)
+        elif check.kind == "relationships":
+            part = ("parent", *place, *check.args)
+        elif check.kind == "created_after_first_transaction":
+            part = ("parent", "fact_transactions", "store_id", check.table, "store_id")
+        else:
+            part = ("row", check.table)
+        found.setdefault(part, []).append(check)
+    return found
 
 
 def run_checks(
@@ -140,15 +188,22 @@ def run_checks(
     """One row per check: check, table, column, severity, failures.
 
     `failures` counts failing rows; for `unique`, the repeated values. Checks that need a
-    table not given are left out.
+    table not given are left out. A table is read once for all its single-row checks, once for
+    each unique column and once for each column with a parent.
     """
     wanted = [check for check in selected if check.needs() <= tables.keys()]
-    by_table: dict[str, list[Check]] = {}
-    for check in wanted:
-        if check.kind in ROW_KINDS:
-            by_table.setdefault(check.table, []).append(check)
-    parts = [_row_checks(tables[table], row_checks) for table, row_checks in by_table.items()]
-    parts += [_group_check(tables, check, now) for check in wanted if check.kind not in ROW_KINDS]
+    moment = utc_now() if now is None else now
+    parts = []
+    for (kind, table, *more), served in _passes(wanted).items():
+        if kind == "row":
+            parts.append(_row_checks(tables[table], served, moment))
+        elif kind == "key":
+            parts.append(_key_checks(tables[table], served))
+        else:
+            column, parent, parent_column = more
+            parts.append(
+                _parent_checks(tables[table], column, tables[parent], parent_column, served)
+            )
     return reduce(DataFrame.unionByName, parts)
 
 
