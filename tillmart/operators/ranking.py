@@ -24,6 +24,4 @@ def dense_top_n(df: DataFrame, n: int, *measures: str) -> DataFrame:
     same_measures: Column = reduce(
         lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"best_{name}")) for name in measures]
     )
-    # Few rows are left of each partition; collecting them in few partitions keeps a
-    # later sort from running the join a second time for its sample.
-    return df.join(ranks, same_measures).select(*df.columns, "rank").hint("rebalance")
+    return df.join(ranks, same_measures).select(*df.columns, "rank")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tillmart.functions import calendar_days, completed, count_ratio, elapsed_days, money_ratio
 from tillmart.operators.ranking import dense_top_n
-from tillmart.operators.sizes import fits_broadcast
 
 FIRST_DAYS = 90
 ACTIVATION_RANK = 5
@@ -45,6 +44,8 @@ def top_stores(fact: DataFrame, dim_stores: DataFrame, n: int = 10) -> DataFrame
     )
     return (
         ranked.join(attributes, F.col("store_id") == F.col("known_store"), "left")
+        # By the key too: sorted by rank alone, all tied rows would be in one task.
+        .orderBy("rank", "store_id")
         .select(
             F.col("known_store").alias("store_id"),
             "store_name",
@@ -55,7 +56,6 @@ def top_stores(fact: DataFrame, dim_stores: DataFrame, n: int = 10) -> DataFrame
             money_ratio(F.col("revenue"), F.col("priced")).alias("avg_transaction_amount_eur"),
             "rank",
         )
-        .orderBy("rank")
     )
 
 
@@ -69,7 +69,7 @@ def top_products(fact: DataFrame, n: int = 10) -> DataFrame:
         F.col("revenue").alias("total_revenue_eur"),
         money_ratio(F.col("revenue"), F.col("priced")).alias("avg_amount_eur"),
         "rank",
-    ).orderBy("rank")
+    ).orderBy("rank", "store_id", "product_sku")
 
 
 def transactions_by_device_type(fact: DataFrame, dim_devices: DataFrame) -> DataFrame:
@@ -215,22 +215,19 @@ def store_adoption(
     """Cumulative activity of stores by day since creation, days 0 to 90.
 
     A store counts on the days it traded; days without trade are not filled in.
-    Transactions are reduced to one row per store and date before the store's creation
-    date is joined, so a hot store is at most one row per date from there on.
+    Later days are dropped first, by a semi join with the stores' creation dates: Catalyst
+    broadcasts them where they are few, else the adaptive join splits a hot store. Then
+    transactions are reduced to one row per store and date.
     `unique_keys` as in `device_efficiency`.
     """
     distinct_count = F.count if unique_keys else F.count_distinct
     opened = dim_stores.select("store_id", "created_at")
     # Rows without a store or a date have no day offset and fall out below anyway.
     trades = fact.filter(F.col("store_id").isNotNull() & F.col("transaction_at").isNotNull())
-    if fits_broadcast(opened):
-        # Most of a long history is later than day 90: drop it before the shuffle.
-        opening = opened.select(F.col("store_id").alias("opened_store"), "created_at")
-        day = calendar_days(F.col("created_at"), F.col("transaction_at"))
-        in_first_days = day.between(0, FIRST_DAYS)
-        trades = trades.join(
-            opening, (F.col("store_id") == F.col("opened_store")) & in_first_days, "left_semi"
-        )
+    opening = opened.select(F.col("store_id").alias("opened_store"), "created_at")
+    offset = calendar_days(F.col("created_at"), F.col("transaction_at"))
+    in_first_days = (F.col("store_id") == F.col("opened_store")) & offset.between(0, FIRST_DAYS)
+    trades = trades.join(opening, in_first_days, "left_semi")
     daily = trades.groupBy("store_id", F.to_date("transaction_at").alias("traded_on")).agg(
         distinct_count("transaction_id").alias("transactions"),
         F.sum(F.when(completed(), F.col("amount_eur")).otherwise(F.lit(0))).alias("revenue"),
