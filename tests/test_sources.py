@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.functions import to_amount
 from tillmart.sources import raw, seeds, tables
 from tillmart.sources.schemas import RAW_SCHEMAS
 
@@ -29,13 +32,13 @@ def test_csv_is_typed_by_hints(spark, tmp_path):
     assert dict(df.dtypes) == {
         "id": "bigint",
         "product_sku": "string",
-        "amount": "double",
+        "amount": "decimal(18,2)",
         "card_number": "string",
         "happened_at": "timestamp_ntz",
         "note": "string",
     }
     assert sorted(map(tuple, df.collect()), key=str) == [
-        (1, "0012", 3.5, "4000123412341234", datetime(2024, 1, 1, 10), "a, b"),
+        (1, "0012", Decimal("3.50"), "4000123412341234", datetime(2024, 1, 1, 10), "a, b"),
         (None, "v1.0", None, None, None, None),
     ]
 
@@ -53,6 +56,40 @@ def test_csv_files_must_share_a_header(spark, tmp_path):
         raw.read_csv(spark, path, RAW_SCHEMAS["devices"]).collect()
 
 
+def test_cells_are_kept_whole(spark, tmp_path):
+    path = write(
+        tmp_path / "t",
+        'id,name,address\n1,"The ""Best"" Shop","Street 1\nBack door"\n2,"a\\",b\n',
+    )
+    df = raw.read_csv(spark, path, RAW_SCHEMAS["stores"])
+    assert sorted(map(tuple, df.collect())) == [
+        (1, 'The "Best" Shop', "Street 1\nBack door"),
+        (2, "a\\", "b"),
+    ]
+
+
+@pytest.mark.parametrize("row", ["1", "1,2,3", "1,2,,"])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_rows_of_another_length_are_refused(spark, tmp_path, row, multi_line):
+    path = write(tmp_path / "t", f"id,store_id\n{row}\n4,5\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        raw.read_csv(spark, path, RAW_SCHEMAS["devices"], multi_line).collect()
+
+
+def test_unlike_headers_with_a_repeated_name_are_refused(spark, tmp_path):
+    write(tmp_path / "t", "id,store_id,id\n1,2,3\n", "a.csv")
+    path = write(tmp_path / "t", "store_id,id,id\n1,2,3\n", "b.csv")
+    with pytest.raises(ValueError, match="different headers"):
+        raw.read_csv(spark, path, RAW_SCHEMAS["devices"])
+
+
+def test_large_amounts_keep_their_cents(spark, tmp_path):
+    write(tmp_path / "raw" / "transactions", "id,amount\n1,1234567890123456.78\n2,1.005\n")
+    df = raw.read_csv(spark, str(tmp_path / "raw" / "transactions"), RAW_SCHEMAS["transactions"])
+    staged = df.select("id", to_amount(F.col("amount")).alias("amount")).orderBy("id").collect()
+    assert [row["amount"] for row in staged] == [Decimal("1234567890123456.78"), Decimal("1.01")]
+
+
 def test_last_of_equal_header_names_wins(spark, tmp_path):
     path = write(tmp_path / "t", "id,type,id\n1,2,3\n")
     df = raw.read_csv(spark, path, RAW_SCHEMAS["devices"])

@@ -7,7 +7,7 @@ import os
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,9 @@ from tillmart.sources.schemas import CREATED_ON, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
 
+#: Amounts given as text; a double would lose cents of the largest.
+EXACT = T.DecimalType(18, 2)
+
 
 def raw_root(root: str | None = None) -> str:
     """The input folder: the argument, else ``RAW_DATA_PATH``, else ``data/raw``."""
@@ -51,26 +54,58 @@ def last_occurrences(header: list[str]) -> dict[str, int]:
     return {name: position for position, name in enumerate(header)}
 
 
-def read_csv(spark: SparkSession, path: str, hints: T.StructType) -> DataFrame:
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    """Cells in double quotes, a quote in a cell doubled; rows of another length than the header's
+    are an error."""
+    return spark.read.options(
+        quote='"', escape='"', multiLine=multi_line, mode="FAILFAST", columnPruning=False
+    )
+
+
+def _require_one_header(spark: SparkSession, path: str, multi_line: bool) -> None:
+    """Spark compares the files' headers by name, which takes distinct names. This looks at each
+    file, and is called only where a name repeats."""
+    headers: dict[tuple, str] = {}
+    for file in spark.read.text(path).inputFiles():
+        row = _csv(spark, multi_line).csv(file).first()
+        if row:
+            headers.setdefault(tuple(row), file)
+    if len(headers) > 1:
+        raise ValueError(f"files with different headers: {sorted(headers.values())}")
+
+
+def read_csv(
+    spark: SparkSession, path: str, hints: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """CSV files with one header line each; hinted columns typed, the others text.
 
-    All files must share one header: Spark checks that itself unless a name repeats,
-    in which case cells are taken by position.
+    All files must share one header, and all rows its length; anything else is an error. Cells
+    may hold line ends, for which each file is read by one task; files without such cells can be
+    split with `multi_line` off. Numbers with a fraction are read as exact decimals.
     """
-    first = spark.read.csv(path).first()
+    first = _csv(spark, multi_line).csv(path).first()
     header = list(first) if first else hints.fieldNames()
     kept = last_occurrences(header)
     repeated = len(kept) < len(header)
+    if repeated:
+        _require_one_header(spark, path, multi_line)
     names = [f"c{i}" for i in range(len(header))] if repeated else header
     cells = (
-        spark.read.option("header", True)
+        _csv(spark, multi_line)
+        .option("header", True)
         .option("enforceSchema", repeated)
         .schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
         .csv(path)
         .select(*[F.col(f"`{names[position]}`").alias(name) for name, position in kept.items()])
     )
-    types = {field.name: field.dataType for field in hints.fields}
-    return apply_hints(drop_blank_rows(cells, types), hints)
+    exact = T.StructType(
+        [
+            T.StructField(f.name, EXACT if isinstance(f.dataType, T.DoubleType) else f.dataType)
+            for f in hints.fields
+        ]
+    )
+    types = {field.name: field.dataType for field in exact.fields}
+    return apply_hints(drop_blank_rows(cells, types), exact)
 
 
 def read_parquet(spark: SparkSession, path: str, hints: T.StructType) -> DataFrame:
@@ -79,7 +114,13 @@ def read_parquet(spark: SparkSession, path: str, hints: T.StructType) -> DataFra
 
 
 def apply_hints(df: DataFrame, hints: T.StructType) -> DataFrame:
+    """Cast the hinted columns; exact decimals stay where a double is hinted."""
     types = {field.name: field.dataType for field in hints.fields}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.DecimalType) and isinstance(
+            types.get(field.name), T.DoubleType
+        ):
+            del types[field.name]
 
     def typed(name: str) -> Column:
         column = F.col(f"`{name}`")
