@@ -1,11 +1,12 @@
-"""Reports against join-first SQL on random tables with NULLs, orphans and repeated keys."""
+"""Reports against plain Python on random tables with NULLs, orphans and repeated keys."""
 
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
+from decimal import Decimal
 
-import duckdb
 import pytest
 from test_reports import DEVICES, FACT, STORES
 
@@ -53,100 +54,203 @@ def random_tables(seed, repeated):
     return fact, stores, devices
 
 
+def half_up(part, whole, decimals):
+    """`part / whole`, exactly, rounded half-up; both whole numbers."""
+    if part is None or not whole:
+        return None
+    scale = 10**decimals
+    return Decimal((2 * part * scale + whole) // (2 * whole)) / scale
+
+
+def cents(amount):
+    return None if amount is None else int(Decimal(amount) * 100)
+
+
+def euros(value):
+    return None if value is None else Decimal(value) / 100
+
+
+def total(values):
+    known = [v for v in values if v is not None]
+    return sum(known) if known else None
+
+
+def mean_euros(value, count):
+    return None if value is None else half_up(value, 100 * count, 2)
+
+
+class Expected:
+    """The reports by loops over the rows."""
+
+    def __init__(self, fact, stores, devices):
+        names = "id device store sku amount status at created".split()
+        self.fact = [dict(zip(names, row)) for row in fact]
+        for sale in self.fact:
+            sale["cents"], sale["done"] = cents(sale["amount"]), sale["status"] == "completed"
+        self.stores, self.devices = stores, devices
+
+    def with_stores(self, store):
+        return [s for s in self.stores if s[0] == store and store is not None] or [(None,) * 5]
+
+    def with_types(self):
+        """Each sale once for every device row it has, or with no type."""
+        for sale in self.fact:
+            types = [d[1] for d in self.devices if d[0] == sale["device"]]
+            for device_type in types or [None]:
+                yield device_type, sale
+
+    def best(self, n, *keys):
+        groups = defaultdict(list)
+        for sale in self.fact:
+            if sale["done"]:
+                groups[tuple(sale[key] for key in keys)].append(sale["cents"])
+        measures = {
+            key: (-1 if total(own) is None else total(own), len(own)) for key, own in groups.items()
+        }
+        ranks = {m: i for i, m in enumerate(sorted(set(measures.values()), reverse=True), 1)}
+        for key, own in groups.items():
+            if ranks[measures[key]] <= n:
+                priced = sum(v is not None for v in own)
+                revenue = total(own)
+                yield key, len(own), euros(revenue), mean_euros(revenue, priced), ranks[measures[key]]
+
+    def top_stores(self):
+        for (store,), *numbers in self.best(3, "store"):
+            for row in self.with_stores(store):
+                yield (*row[:4], *numbers)
+
+    def top_products(self):
+        for key, *numbers in self.best(4, "store", "sku"):
+            yield (*key, *numbers)
+
+    def by_device_type(self):
+        counts = Counter(device_type for device_type, _ in self.with_types())
+        for device_type, n in counts.items():
+            yield device_type, n, half_up(100 * n, counts.total(), 2)
+
+    def by_place(self):
+        groups = defaultdict(list)
+        for sale in self.fact:
+            for row in self.with_stores(sale["store"]):
+                groups[row[2], row[3]].append(sale["cents"])
+        for place, own in groups.items():
+            known = [v for v in own if v is not None]
+            yield (
+                *place,
+                len(own),
+                euros(total(own)),
+                mean_euros(total(own), len(known)),
+                euros(min(known, default=None)),
+                euros(max(known, default=None)),
+            )
+
+    def fifth(self):
+        days = []
+        for store in {sale["store"] for sale in self.fact} - {None}:
+            times = [sale["at"] for sale in self.fact if sale["store"] == store]
+            times.sort(key=lambda at: (at is not None, at or START))
+            for row in self.with_stores(store):
+                at = times[4] if len(times) > 4 else None
+                if at is not None and row[4] is not None and at >= row[4]:
+                    days.append((at - row[4]) // DAY)
+        yield (
+            half_up(sum(days), len(days), 2),
+            min(days, default=None),
+            max(days, default=None),
+            len(days),
+        )
+
+    def efficiency(self):
+        groups = defaultdict(list)
+        for device_type, sale in self.with_types():
+            groups[device_type].append(sale)
+        for device_type, own in groups.items():
+            stores = len({s["store"] for s in own} - {None})
+            devices = len({s["device"] for s in own} - {None})
+            ids = len({s["id"] for s in own} - {None})
+            done = len({s["id"] for s in own if s["done"]} - {None})
+            revenue = total(s["cents"] if s["done"] else 0 for s in own)
+            priced = sum(s["done"] and s["cents"] is not None for s in own)
+            yield (
+                device_type,
+                stores,
+                devices,
+                ids,
+                done,
+                half_up(100 * done, ids, 2),
+                euros(revenue),
+                mean_euros(revenue, priced),
+                half_up(ids, devices, 1),
+                mean_euros(revenue, devices),
+                half_up(ids, stores, 1),
+                mean_euros(revenue, stores),
+            )
+
+    def adoption(self):
+        daily = defaultdict(list)
+        for sale in self.fact:
+            for row in self.with_stores(sale["store"]):
+                if row[0] is not None and sale["at"] is not None:
+                    day = (sale["at"].date() - row[4].date()).days
+                    if 0 <= day <= 90:
+                        daily[row[0], day].append(sale)
+        curves = defaultdict(list)
+        for store in {store for store, _ in daily}:
+            transactions, revenue, active = 0, None, 0
+            for day in sorted(day for s, day in daily if s == store):
+                own = daily[store, day]
+                transactions += len({s["id"] for s in own} - {None})
+                revenue = total([revenue, *(s["cents"] if s["done"] else 0 for s in own)])
+                active += 1
+                curves[day].append((transactions, revenue, active))
+        for day, own in curves.items():
+            counts, revenues, actives = zip(*own)
+            known = [v for v in revenues if v is not None]
+            yield (
+                day,
+                len(own),
+                half_up(sum(counts), len(own), 1),
+                min(counts),
+                max(counts),
+                mean_euros(total(known), len(known)),
+                half_up(sum(actives), len(own), 1),
+            )
+
+    def orphans(self):
+        known = {d[0] for d in self.devices}
+        counts = Counter(s["device"] for s in self.fact if s["device"] not in known | {None})
+        yield from counts.items()
+
+
 REPORTS = {
-    "top_stores": (
-        lambda f, s, d: analysis.top_stores(f, s, 3),
-        """with t as (select store_id, count(*) n, sum(amount_eur) total, avg(amount_eur) a from f
-                      where transaction_status = 'completed' group by 1),
-                r as (select *, dense_rank() over (order by total desc nulls last, n desc) rk from t)
-           select s.store_id, store_name, store_country, store_typology, n, total, round(a, 2), rk
-           from r left join s on r.store_id = s.store_id where rk <= 3""",
-    ),
-    "top_products": (
-        lambda f, s, d: analysis.top_products(f, 4),
-        """with t as (select store_id, product_sku, count(*) n, sum(amount_eur) total,
-                             avg(amount_eur) a from f
-                      where transaction_status = 'completed' group by 1, 2),
-                r as (select *, dense_rank() over (order by total desc nulls last, n desc) rk from t)
-           select store_id, product_sku, n, total, round(a, 2), rk from r where rk <= 4""",
-    ),
-    "by_device_type": (
-        lambda f, s, d: analysis.transactions_by_device_type(f, d),
-        """select device_type, count(*), round(100 * count(*) / sum(count(*)) over (), 2)
-           from f left join d on f.device_id = d.device_id group by 1""",
-    ),
-    "by_place": (
-        lambda f, s, d: analysis.amount_by_typology_country(f, s),
-        """select store_country, store_typology, count(*), sum(amount_eur),
-                  round(avg(amount_eur), 2), min(amount_eur), max(amount_eur)
-           from f left join s on f.store_id = s.store_id group by 1, 2""",
-    ),
-    "fifth": (
-        lambda f, s, d: analysis.time_to_fifth_transaction(f, s),
-        """with r as (select *, row_number() over (partition by store_id
-                             order by transaction_at nulls first) k from f),
-                a as (select date_sub('day', created_at, transaction_at) as gap
-                      from r join s on r.store_id = s.store_id
-                      where k = 5 and transaction_at >= created_at)
-           select round(avg(gap), 2), min(gap), max(gap), count(*) from a""",
-    ),
-    "efficiency": (
-        lambda f, s, d: analysis.device_efficiency(f, d),
-        """with t as (select device_type, count(distinct f.store_id) st,
-                             count(distinct f.device_id) dv, count(distinct transaction_id) tx,
-                             count(distinct if(transaction_status = 'completed', transaction_id, null)) ok,
-                             sum(if(transaction_status = 'completed', amount_eur, 0)) eur,
-                             avg(if(transaction_status = 'completed', amount_eur, null)) a
-                      from f left join d on f.device_id = d.device_id group by 1)
-           select device_type, st, dv, tx, ok, round(100 * ok / tx, 2), eur, round(a, 2),
-                  round(tx / nullif(dv, 0), 1), round(eur / nullif(dv, 0), 2),
-                  round(tx / nullif(st, 0), 1), round(eur / nullif(st, 0), 2) from t""",
-    ),
-    "adoption": (
-        lambda f, s, d: analysis.store_adoption(f, s),
-        """with daily as (select f.store_id, created_at,
-                                 date_diff('day', created_at::date, transaction_at::date) k,
-                                 count(distinct transaction_id) tx,
-                                 sum(if(transaction_status = 'completed', amount_eur, 0)) eur
-                          from f join s on f.store_id = s.store_id group by 1, 2, 3),
-                c as (select store_id, k, sum(tx) over w tx, sum(eur) over w eur, count(*) over w n
-                      from daily where k between 0 and 90
-                      window w as (partition by store_id order by k rows unbounded preceding))
-           select k, count(distinct store_id), round(avg(tx), 1), min(tx), max(tx),
-                  round(avg(eur), 2), round(avg(n), 1) from c group by 1""",
-    ),
-    "orphans": (
-        lambda f, s, d: checks.orphan_counts(f, "device_id", d, "device_id"),
-        """select f.device_id, count(*) from f left join d on f.device_id = d.device_id
-           where d.device_id is null and f.device_id is not null group by 1""",
-    ),
+    "top_stores": lambda f, s, d: analysis.top_stores(f, s, 3),
+    "top_products": lambda f, s, d: analysis.top_products(f, 4),
+    "by_device_type": lambda f, s, d: analysis.transactions_by_device_type(f, d),
+    "by_place": lambda f, s, d: analysis.amount_by_typology_country(f, s),
+    "fifth": lambda f, s, d: analysis.time_to_fifth_transaction(f, s),
+    "efficiency": lambda f, s, d: analysis.device_efficiency(f, d),
+    "adoption": lambda f, s, d: analysis.store_adoption(f, s),
+    "orphans": lambda f, s, d: checks.orphan_counts(f, "device_id", d, "device_id"),
 }
 
 
-def in_cents(rows):
-    """Rows as sortable tuples; DuckDB divides decimals as doubles, so allow the last cent."""
+def exact(found):
+    """Sorted rows with every number as the decimal it is written as."""
     return sorted(
-        ([None if v is None else v if isinstance(v, str) else float(v) for v in row] for row in rows),
-        key=lambda row: [(v is not None, isinstance(v, str), str(v)) for v in row],
+        (
+            tuple(v if v is None or isinstance(v, str) else Decimal(str(v)).normalize() for v in row)
+            for row in found
+        ),
+        key=str,
     )
 
 
 @pytest.mark.parametrize("repeated", [False, True])
 @pytest.mark.parametrize("seed", range(3))
 def test_reports(rows, seed, repeated):
-    values = dict(zip("fsd", random_tables(seed, repeated), strict=True))
-    schemas = {"f": FACT, "s": STORES, "d": DEVICES}
-    duck = duckdb.connect()
-    frames = {}
-    for name, ddl in schemas.items():
-        frames[name] = rows(ddl, *values[name])
-        columns = ddl.replace("string", "varchar").replace("timestamp_ntz", "timestamp")
-        duck.execute(f"create table {name} ({columns})")
-        marks = ", ".join("?" * len(values[name][0]))
-        duck.executemany(f"insert into {name} values ({marks})", values[name])
-    for name, (report, sql) in REPORTS.items():
-        found = in_cents(map(tuple, report(frames["f"], frames["s"], frames["d"]).collect()))
-        expected = in_cents(duck.execute(sql).fetchall())
-        assert len(found) == len(expected), name
-        for left, right in zip(found, expected, strict=True):
-            assert left == pytest.approx(right, abs=0.0101 if name != "orphans" else 0), name
+    values = random_tables(seed, repeated)
+    frames = [rows(ddl, *own) for ddl, own in zip((FACT, STORES, DEVICES), values, strict=True)]
+    expected = Expected(*values)
+    for name, report in REPORTS.items():
+        found = exact(map(tuple, report(*frames).collect()))
+        assert found == exact(getattr(expected, name)()), name
