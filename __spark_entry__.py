@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -21,7 +20,8 @@ from tillmart.oracles import MAYBE_NULL, ORACLES
 from tillmart.plans import analysis, build, incremental, marts, quality, staging
 from tillmart.session import tune
 from tillmart.sources import tables, testdata
-from tillmart.sources.raw import drop_blank_rows, land
+from tillmart.sources.raw import drop_blank_rows, ingest
+from tillmart.streaming.incremental import load_new_files
 
 try:  # an add-on that the rest does without
     import corpus_pipeline
@@ -139,35 +139,76 @@ def _some_blank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_blank_rows(rows)
 
 
-def _new_warehouse(spark: SparkSession) -> str:
-    """A new folder under the cluster's checkpoint folder, or a local one in a local session."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tillmart-")
-    return f"{root.rstrip('/')}/tillmart-{uuid.uuid4().hex}"
+def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """An empty folder that all executors share; the same each time within a session."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    source = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    app = spark.sparkContext.applicationId
+    folder = f"{root.rstrip('/')}/tillmart-{app}/{name}-{source}"
+    tables.delete(spark, folder)
+    return folder
 
 
 @lru_cache(maxsize=None)
 def built(spark: SparkSession, sf_dir: str) -> build.Warehouse:
-    """A warehouse written from the driver's tables, once per session and folder."""
-    warehouse = build.Warehouse(spark, _new_warehouse(spark))
+    """A warehouse built from the driver's tables as raw files, once per session and folder."""
+    folder = _folder(spark, sf_dir, "build")
     for name, read in testdata.RAW_TABLES.items():
-        land(read(spark, sf_dir), warehouse.path, name)
+        tables.replace(read(spark, sf_dir), f"{folder}/raw/{name}")
+    warehouse = build.Warehouse(spark, f"{folder}/warehouse")
     # Unknown devices leave transactions without a store, which is an error to the checks.
-    build.refresh(warehouse, stop_on_error=False)
+    build.build(warehouse, f"{folder}/raw", stop_on_error=False)
     return warehouse
 
 
 def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = testdata.transactions(spark, sf_dir)
-    table = incremental.transactions_table(_new_warehouse(spark), keys_per_range=1000)
+    folder = _folder(spark, sf_dir, "incremental")
+    table = incremental.transactions_table(folder, keys_per_range=1000)
     incremental.load_transactions(_held(raw), table)
     incremental.load_transactions(_resent(raw), table)
     return table.read(spark)
 
 
+def _file_fed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sets of files that overlap in time: the second has rows older than, as old as and newer
+    than those of the first, some of its rows again, changed, and some older versions of them."""
+    raw = testdata.transactions(spark, sf_dir)
+    folder = _folder(spark, sf_dir, "files")
+    table = incremental.transactions_table(f"{folder}/warehouse", keys_per_range=1000)
+    even = F.col("id") % 2 == 0
+
+    def moved(kind: int, days: int, status: str) -> DataFrame:
+        return raw.filter(even & (F.col("id") % 5 == kind)).withColumns(
+            {
+                "created_at": F.col("created_at") + F.make_dt_interval(F.lit(days)),
+                "status": F.lit(status),
+            }
+        )
+
+    for part in (
+        raw.filter(even),
+        raw.filter(~even).unionByName(moved(0, 1, "refused")).unionByName(moved(1, -1, "cancelled")),
+    ):
+        part.write.mode("append").parquet(f"{folder}/raw")
+        load_new_files(spark, f"{folder}/raw", table)
+    return table.read(spark)
+
+
+def _from_csv(name: str) -> Query:
+    """A raw table written as CSV, ingested, and staged."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _folder(spark, sf_dir, f"csv-{name}")
+        raw = testdata.RAW_TABLES[name](spark, sf_dir)
+        raw.write.options(header=True, quote='"', escape='"').csv(f"{folder}/raw/{name}")
+        ingest(spark, f"{folder}/warehouse", f"{folder}/raw", "csv")
+        landed = build.Warehouse(spark, f"{folder}/warehouse").raw(name)
+        return staging.stg_stores(landed) if name == "stores" else staging.stg_transactions(landed)
+
+    return query
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
@@ -218,6 +259,9 @@ ON_FILES: dict[str, Query] = {
     "failing_unique": lambda spark, sf: checks.unique(_lineitem(spark, sf), "l_orderkey"),
     "ingest_blank_row_drop": _some_blank_rows,
     "incremental_load": _incremental_load,
+    "file_fed_load": _file_fed_load,
+    "ingest_csv_stores": _from_csv("stores"),
+    "ingest_csv_transactions": _from_csv("transactions"),
     "build_check_results": lambda spark, sf: tables.read(
         spark, tables.table_path(built(spark, sf).path, "quality", "check_results")
     ),

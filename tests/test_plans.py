@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -10,7 +11,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tillmart.plans import analysis, build, marts
+from tillmart.plans import analysis, build, marts, quality
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 
@@ -33,7 +34,7 @@ def report(warehouse, name):
     return build.MODELS[name].query(warehouse)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", [*entry.ON_MODELS, *entry.ON_FILES])
 def test_no_python_and_no_products_in_any_query(spark, name):
     plan = initial_plan(entry.queries()[name](spark, SF_DIR))
     for operator in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -93,9 +94,7 @@ def test_the_fact_is_aggregated_before_it_is_joined(spark, warehouse, name):
 
 
 @pytest.mark.parametrize("threshold", ["32MB", "-1"])
-def test_adoption_drops_later_days_before_the_shuffle_if_that_needs_none(
-    spark, warehouse, threshold
-):
+def test_adoption_drops_later_days_first_at_any_size(spark, warehouse, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
@@ -103,7 +102,7 @@ def test_adoption_drops_later_days_before_the_shuffle_if_that_needs_none(
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     semi_joins = re.findall(r"(\w+)Join .*LeftSemi", plan)
-    assert semi_joins == (["BroadcastHash"] if threshold != "-1" else [])
+    assert semi_joins == ["BroadcastHash" if threshold != "-1" else "SortMerge"]
 
 
 def test_unique_keys_spare_the_distinct_transactions(warehouse):
@@ -171,6 +170,39 @@ def test_no_report_ranks_or_sums_the_fact_in_one_task(warehouse):
                 assert "HashAggregate" in line
 
 
+def test_tied_rows_are_dealt_to_many_tasks(spark):
+    ties = spark.range(200_000).select(
+        F.col("id").alias("store_id"),
+        F.lit("a").alias("product_sku"),
+        F.lit("1.00").cast("decimal(18,2)").alias("amount_eur"),
+        F.lit("completed").alias("transaction_status"),
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200KB")
+    try:
+        products = analysis.top_products(ties)
+        parts = products.select(F.spark_partition_id().alias("part"), "store_id").collect()
+    finally:
+        spark.conf.set(name, before)
+    sizes = Counter(row["part"] for row in parts)
+    assert len(parts) == 200_000 and len(sizes) > 1 and max(sizes.values()) < 100_000
+    assert [row["store_id"] for row in parts] == list(range(200_000))
+
+
+def test_checks_read_the_fact_four_times(warehouse):
+    """Once for all its single-row checks, once for its key, and once for each parent."""
+    tables = {name: warehouse.table(name) for name in quality.NOT_NULL}
+    plan = initial_plan(quality.run_checks(tables))
+    places = [line for line in plan.splitlines() if "FileScan" in line]
+    scans = Counter(
+        next((t for t in ("fact_transactions", "stg_transactions") if f"/{t}" in line), "other")
+        for line in places
+    )
+    assert scans["fact_transactions"] == 4
+    assert scans["stg_transactions"] == 3  # two of its own, one of the view
+
+
 def test_analysis_has_no_hints():
     """Join strategy is left to the optimizer's size check."""
     import inspect

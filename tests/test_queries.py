@@ -48,3 +48,15 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
+
+
+def test_queries_leave_no_folders_behind(spark):
+    """Written again, not beside what is there."""
+    root = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    counts = []
+    for _ in range(2):
+        QUERIES["incremental_load"](spark, SF_DIR)
+        entry.built.cache_clear()
+        entry.built(spark, SF_DIR)
+        counts.append(sum(len(folders) for _, folders, _ in os.walk(root)))
+    assert counts[0] == counts[1]

@@ -377,6 +377,18 @@ ORACLES["upsert_transactions"] = _sql(
     _CHANGED,
 )
 ORACLES["incremental_load"] = ORACLES["upsert_transactions"]
+ORACLES["ingest_csv_stores"] = ORACLES["stg_stores"]
+ORACLES["ingest_csv_transactions"] = ORACLES["stg_transactions"]
+# Of the rows sent again, only those dated a day later count.
+ORACLES["file_fed_load"] = _sql(
+    f"""select {PAYMENT} from (
+        select * replace (
+            if(transaction_id % 10 = 0, 'failed', transaction_status) as transaction_status,
+            if(transaction_id % 10 = 0, record_created_at + to_days(1), record_created_at)
+                as record_created_at)
+        from payment
+    )"""
+)
 
 
 # Whole numbers that can be NULL, by query. Both sides give them as doubles, since pandas
