@@ -150,6 +150,7 @@ _TABLES = {
     "fact_transactions": "sale",
 }
 _AUDITED = {"dbt_loaded_at", "dbt_updated_at"}
+# Columns that must not be NULL, the key first.
 _REQUIRED = {
     "stg_stores": "store_id store_name store_country customer_id created_at dbt_loaded_at",
     "stg_devices": "device_id device_type store_id dbt_loaded_at",
