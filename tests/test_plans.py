@@ -177,23 +177,32 @@ def test_tied_rows_are_dealt_to_many_tasks(spark):
         F.lit("1.00").cast("decimal(18,2)").alias("amount_eur"),
         F.lit("completed").alias("transaction_status"),
     )
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "200KB")
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "50KB",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
         products = analysis.top_products(ties)
         parts = products.select(F.spark_partition_id().alias("part"), "store_id").collect()
     finally:
-        spark.conf.set(name, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     sizes = Counter(row["part"] for row in parts)
     assert len(parts) == 200_000 and len(sizes) > 1 and max(sizes.values()) < 100_000
     assert [row["store_id"] for row in parts] == list(range(200_000))
 
 
-def test_checks_read_the_fact_four_times(warehouse):
+def test_checks_read_the_fact_four_times(spark, warehouse):
     """Once for all its single-row checks, once for its key, and once for each parent."""
     tables = {name: warehouse.table(name) for name in quality.NOT_NULL}
-    plan = initial_plan(quality.run_checks(tables))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = initial_plan(quality.run_checks(tables))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     places = [line for line in plan.splitlines() if "FileScan" in line]
     scans = Counter(
         next((t for t in ("fact_transactions", "stg_transactions") if f"/{t}" in line), "other")
