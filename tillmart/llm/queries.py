@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillmart.llm import (
     chat,
@@ -162,9 +161,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         "conv_id", "turn", "role", "text"
     )
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in turns.schema.fields])
-    more = spark.createDataFrame(
-        [(CONVERSATION, 0, "user", INJECTED), (CONVERSATION, 1, "assistant", INJECTED)], schema
+    more = spark.range(2).select(
+        F.lit(CONVERSATION).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(INJECTED).alias("text"),
     )
     return chat.conversation_digests(chat.format_examples(turns.union(more)))
 
