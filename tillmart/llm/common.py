@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +113,21 @@ def shingle_hashes(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(shingles) if shingles else words[:0]), offsets
 
 
+def text_slices(batch, at: int, most: int = 2**21) -> Iterator:
+    """Slices of an Arrow batch whose texts in column `at` have at most so many bytes together, one
+    row at least: few rows of long texts, many of short ones."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All of `start, start + 1, ...` of each length, in a row."""
     before = np.cumsum(lengths) - lengths

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import hash_strings
+from tillmart.llm.common import hash_strings, text_slices
 
 #: Passages that are compared with the documents at a time.
 BLOCK = 4096
@@ -104,8 +104,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
 
         total, rows_seen = np.zeros(len(terms), np.int64), 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                rows = batch.slice(begin, 2000)
+            for rows in text_slices(batch, 0):
                 distinct, index, starts = words_of(rows.column(0))
                 place = _places(terms, distinct)[index]
                 doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
@@ -369,8 +368,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             import pyarrow as pa
 
             for batch in batches:
-                for begin in range(0, batch.num_rows, 1000):
-                    some = batch.slice(begin, 1000)
+                for some in text_slices(batch, 1):
                     hits = find_leaks(block, some.column(1))
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -395,8 +393,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             import pyarrow as pa
 
             for batch in batches:
-                for begin in range(0, batch.num_rows, 1000):
-                    some = batch.slice(begin, 1000)
+                for some in text_slices(batch, at):
                     kept = np.ones(some.num_rows, bool)
                     kept[[h[0] for h in find_leaks(block, some.column(at))]] = False
                     yield some.filter(pa.array(kept))

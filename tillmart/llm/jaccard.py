@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import shingle_hashes, written
+from tillmart.llm.common import shingle_hashes, text_slices, written
 
 FRAGMENT_BITS = 4
 #: Frequent n-grams that are ordered by frequency: those seen in at least `LEAST` documents of a
@@ -38,10 +38,9 @@ SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long
 SEGMENTS = "digest binary, fragment int, grams array<long>"
 
 
-def _texts(batches, rows: int = 2000) -> Iterator:
+def _texts(batches, at: int = 0) -> Iterator:
     for batch in batches:
-        for begin in range(0, batch.num_rows, rows):
-            yield batch.slice(begin, rows)
+        yield from text_slices(batch, at, 2**22)
 
 
 def frequent_grams(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +89,7 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        for rows in _texts(batches):
+        for rows in _texts(batches, 1):
             grams, starts = shingle_hashes(rows.column(1), size)
             rank = np.zeros(len(grams), np.int64)
             if len(known):
@@ -160,7 +159,7 @@ def _segments(docs: DataFrame, size: int) -> DataFrame:
         import xxhash
 
         bounds = np.arange(1, 2**FRAGMENT_BITS, dtype=np.uint64) << np.uint64(64 - FRAGMENT_BITS)
-        for rows in _texts(batches, 500):
+        for rows in _texts(batches):
             grams, starts = shingle_hashes(rows.column(0), size)
             digests, fragments, cuts = [], [], [0]
             for a, b in zip(starts.tolist(), starts[1:].tolist()):

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import text_slices
+
 UNKNOWN = "und"
 COUNTS = "lang string, gram long, n long"
 #: Characters beyond it share codes; three codes fit into 63 bits with room to spare.
@@ -67,24 +69,33 @@ def _count(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_grams(codes), return_counts=True)
 
 
+def _added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]):
+    grams, place = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    numbers = np.zeros(len(grams), np.int64)
+    np.add.at(numbers, place, np.concatenate([a[1], b[1]]))
+    return grams, numbers
+
+
 def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """How often each language has each n-gram, over all rows; (lang, gram, n)."""
 
     def count(batches) -> Iterator:
         import pyarrow as pa
 
+        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                rows = batch.slice(begin, 2000)
+            for rows in text_slices(batch, 1):
                 langs = np.array(rows.column(0).to_pylist(), object)
                 codes, starts = _codes(rows.column(1).to_pylist())
                 for name in sorted(set(langs.tolist())):
                     own = [codes[starts[i] : starts[i + 1]] for i in np.flatnonzero(langs == name)]
-                    grams, numbers = _count(np.concatenate(own))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(grams)), pa.array(grams), pa.array(numbers)],
-                        ["lang", "gram", "n"],
-                    )
+                    found = _count(np.concatenate(own))
+                    totals[name] = _added(totals[name], found) if name in totals else found
+        for name, (grams, numbers) in totals.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(grams)), pa.array(grams), pa.array(numbers)],
+                ["lang", "gram", "n"],
+            )
 
     labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -152,8 +163,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                rows = batch.slice(begin, 2000)
+            for rows in text_slices(batch, at):
                 codes, starts = _codes(rows.column(at).to_pylist())
                 found = [_classify(model, codes[a:b]) for a, b in zip(starts, starts[1:])]
                 yield pa.RecordBatch.from_arrays(

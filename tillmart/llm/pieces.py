@@ -23,13 +23,15 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
+from tillmart.llm.common import ranges, text_slices
+
 SPACE = "▁"
 #: Stands for a U+2581 of the text where pieces are looked up; no text has half a surrogate pair.
 NO_SPACE = "\ud800"
 #: How much worse a byte is than the last piece.
 BYTE_PENALTY = 10.0
-#: Distinct words whose ids a Python worker keeps between batches.
-KEPT_WORDS = 400_000
+#: Bytes of text that are encoded together.
+TOGETHER = 2**23
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -52,7 +54,6 @@ class PieceModel:
                 self.automaton.add_word(piece, (len(piece), i, score))
         self.automaton.make_automaton()
         self.single = {piece for piece, _ in pieces if len(piece) == 1}
-        self.known: dict[str, np.ndarray] = {}
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -116,22 +117,13 @@ class PieceModel:
         return at + 1
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        known = self.known
-        for word in words:
-            if word not in known:
-                known[word] = np.array(self.viterbi(word), np.int32)
-        found = [known[word] for word in words]
-        if len(known) > KEPT_WORDS:
-            self.known = {}
-        return found
+        return [np.array(self.viterbi(word), np.int32) for word in words]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and where each begins, with the total at the end."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        from tillmart.llm.common import ranges
-
         marked = [
             (" " + text).replace(SPACE, NO_SPACE).replace(" ", SPACE) if text else ""
             for text in texts
@@ -175,7 +167,7 @@ def model(path: str) -> PieceModel:
     return PieceModel.load(path)
 
 
-def _mapped(df: DataFrame, column: str, into: str, kind, convert) -> DataFrame:
+def _mapped(df: DataFrame, column: str, into: str, kind, convert, texts: bool) -> DataFrame:
     from pyspark.sql import types as T
 
     kept = df.drop(into) if into != column else df
@@ -191,8 +183,8 @@ def _mapped(df: DataFrame, column: str, into: str, kind, convert) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                rows = batch.slice(begin, 1000)
+            slices = text_slices(batch, at, TOGETHER) if texts else [batch]
+            for rows in slices:
                 columns = list(rows.columns)
                 new = convert(columns[at])
                 if into == column:
@@ -219,7 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
             pa.array(starts.astype(np.int32)), pa.array(ids), mask=mask
         )
 
-    return _mapped(docs, text, into, T.ArrayType(T.IntegerType()), convert)
+    return _mapped(docs, text, into, T.ArrayType(T.IntegerType()), convert, texts=True)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -240,7 +232,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "text") -> Da
             pa.string(),
         )
 
-    return _mapped(df, ids, into, T.StringType(), convert)
+    return _mapped(df, ids, into, T.StringType(), convert, texts=False)
 
 
 def _lengths(column) -> list[tuple[bool, int]]:
