@@ -21,19 +21,21 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import scratch_folder, written
+from tillmart.llm.common import ranges, scratch_folder, text_slices, written
 
 NULL_ID = -(2**63)
 INDEX = "shard long, doc_id long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: Distinct chunks whose ids a Python worker keeps between batches.
-KEPT_CHUNKS = 400_000
+#: Bytes of text that are encoded together.
+TOGETHER = 2**23
+NOTHING: list[int] = []
 
 
 class TokenFiles(NamedTuple):
@@ -42,6 +44,11 @@ class TokenFiles(NamedTuple):
     bits: int
 
 
+def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+
 class ChunkEncoder:
     """Encodes whole texts, each distinct piece between spaces once.
 
@@ -59,53 +66,73 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.bound = re.compile(r"\s \s|\s \Z")
-        self.known: dict[str, np.ndarray] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32) for x in found]
+        # How byte-level models write bytes: printable ones as they are, the others from 256 on.
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        moved = [byte for byte in range(256) if byte not in set(kept)]
+        self.mapped = {byte: 256 + i for i, byte in enumerate(moved)}
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return _joined(ids)
+
+    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of letters alone are one pre-token, which the model takes as it is."""
+        tokenize, mapped = self.tokenizer.model.tokenize, self.mapped
+        found: list[list[int]] = []
+        others, at = [], []
+        for i, chunk in enumerate(chunks):
+            if chunk.lstrip(" ").isalpha() and chunk.find(" ", 1) < 0:
+                written = chunk.encode().decode("latin-1").translate(mapped)
+                found.append([token.id for token in tokenize(written)])
+            else:
+                found.append(NOTHING)
+                others.append(chunk)
+                at.append(i)
+        rest = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for i, x in zip(at, rest):
+            found[i] = x.ids
+        return _joined(found)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, `end_id` after each, and where each text's ids begin."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        from tillmart.llm.common import ranges
-
-        whole = {i for i, text in enumerate(texts) if self.bound.search(text)}
-        split = ["" if i in whole else text for i, text in enumerate(texts)]
+        whole = [i for i, text in enumerate(texts) if self.bound.search(text)]
+        split = list(texts)
+        for i in whole:
+            split[i] = ""
         pieces = pc.split_pattern(pa.array(split, pa.large_string()), " ")
         encoded = pieces.flatten().dictionary_encode()
         index = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         begins = pieces.offsets.to_numpy()
-        # The first piece of a text has no space before it; its key says so.
+        # The first piece of a text has no space before it.
         distinct = encoded.dictionary.to_pylist()
         firsts, first_index = np.unique(index[begins[:-1]], return_inverse=True)
-        keys = [" " + piece for piece in distinct]
-        index[begins[:-1]] = first_index + len(keys)
-        keys += [distinct[i] for i in firsts.tolist()]
-        known = self.known
-        new = list({key for key in keys if key not in known})
-        known.update(zip(new, self._encode(new)))
-        tables = [known[key] for key in keys]
-        lengths = np.array([len(x) for x in tables], np.int64)
-        flat = np.concatenate(tables) if tables else np.empty(0, np.uint32)
-        if len(known) > KEPT_CHUNKS:
-            self.known = {}
+        index[begins[:-1]] = first_index + len(distinct)
+        chunks = [" " + piece for piece in distinct] + [distinct[i] for i in firsts.tolist()]
+        flat, lengths = self._encode_chunks(chunks)
         sizes = lengths[index]
         body = flat[ranges((np.cumsum(lengths) - lengths)[index], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[begins]
-        per_text = [body[a:b] for a, b in zip(ends, ends[1:])]
-        for i, ids in zip(sorted(whole), self._encode([texts[i] for i in sorted(whole)])):
-            per_text[i] = ids
-        end = np.array([end_id], np.uint32)
-        starts = np.cumsum([0] + [len(x) + 1 for x in per_text])
-        return np.concatenate([x for ids in per_text for x in (ids, end)] or [end[:0]]), starts
+        if whole:
+            apart, apart_sizes = self._encode([texts[i] for i in whole])
+            per_text = [body[a:b] for a, b in zip(ends, ends[1:])]
+            for i, ids in zip(whole, np.split(apart, np.cumsum(apart_sizes)[:-1])):
+                per_text[i] = ids
+            body = np.concatenate(per_text)
+            ends = np.cumsum([0] + [len(x) for x in per_text])
+        # One more place after each text, for its end.
+        starts = ends + np.arange(len(ends))
+        ids = np.full(int(starts[-1]), end_id, np.uint32)
+        ids[ranges(starts[:-1], np.diff(ends))] = body
+        return ids, starts
 
 
 @lru_cache(maxsize=1)
 def _chunk_encoder(path: str) -> ChunkEncoder:
-    """One for each Python worker, so that later tasks know the chunks of earlier ones."""
+    """One for each Python worker; loading the vocabulary takes a while."""
     return ChunkEncoder(path)
 
 
@@ -132,9 +159,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, bits: int, text: str):
         drafts = {x: f"{name}.{task.taskAttemptId()}" for x, name in names.items()}
         files, encoder, total = {}, None, 0
         for batch in batches:
-            # A few MB of text at a time.
-            for begin in range(0, batch.num_rows, 2000):
-                rows = batch.slice(begin, 2000)
+            for rows in text_slices(batch, batch.schema.get_field_index(text), TOGETHER):
                 if encoder is None:
                     encoder = _chunk_encoder(tokenizer)
                     system.create_dir(path, recursive=True)
