@@ -10,8 +10,12 @@ nothing); its labels are the four kinds and "none". Potentials:
 * of skip edges: two tokens with the same key (digits without punctuation, or the address in lower
   case) or similar keys (the same last seven digits; the same mailbox name) want the same label
 
-Skip edges join each occurrence with the one before it, so a token that comes a thousand times
-costs a thousand edges. Sum-product messages go round until they settle or `rounds` are over. A
+Every unobserved token has skip edges to the nearest observed one with its key and to the nearest with
+a similar key, so that evidence reaches it over one edge however often the key is repeated. Observed
+tokens keep their label whatever they are sent. Among each other, unobserved tokens with the same key
+are joined with the one before; they have the same evidence, so copies can only confirm each other.
+Words with digits that can be no entity have no skip edges. A token that comes a thousand times costs
+a few thousand edges. Sum-product messages go round until they settle, or `rounds` are over. A
 token that is more probably of a kind than anything else, and no base span holds it, is added as a
 span of that kind. So a number that is written once as "+1 (504) 555-2652" is found again as
 "5045552652"; a number that stands alone and fits no pattern is left.
@@ -134,25 +138,40 @@ def _shape(node: _Node, weights: Weights) -> np.ndarray:
     if node.base >= 0:
         scores[node.base] += weights.observed
         return scores
-    digits, size = _digits(node.text), len(node.text)
-    plain = all(c in "0123456789+().-" for c in node.text)
+    digits = _digits(node.text)
+    plain = _plain(node)
     scores[1] += weights.shape if node.text.count("@") == 1 else -weights.observed
     scores[2] += weights.shape if plain and node.text.count(".") == 3 else -weights.shape
     scores[3] += weights.shape if plain and 13 <= len(digits) <= 19 else -weights.shape
     scores[4] += weights.shape if plain and 7 <= len(digits) <= 15 else -weights.shape
-    if not plain and "@" not in node.text or size > 64 or len(digits) < 4 and "@" not in node.text:
-        scores[0] += weights.observed  # words with digits, short numbers, encoded data
+    if _ruled_out(node):
+        scores[0] += weights.observed
     return scores
 
 
+def _plain(node: _Node) -> bool:
+    return all(c in "0123456789+().-" for c in node.text)
+
+
+def _ruled_out(node: _Node) -> bool:
+    """Words with digits, short numbers, encoded data."""
+    if node.base >= 0:
+        return False
+    number = _plain(node) and len(_digits(node.text)) >= 4
+    return len(node.text) > 64 or not number and "@" not in node.text
+
+
 def _key(node: _Node) -> tuple[str | None, str | None]:
     """What makes a token the same as, or similar to, another.
 
     A token of a base span stands for the whole span, so that groups match the number in one piece.
     """
+    if _ruled_out(node):
+        return None, None
     if "@" in node.whole:
         address = node.whole.lower()
-        return address, address.split("@")[0] or None
+        mailbox = address[: address.index("@") + 1]
+        return address, mailbox if len(mailbox) > 1 else None
     digits = _digits(node.whole)
     return (digits, digits[-7:]) if len(digits) >= 7 else (None, None)
 
@@ -165,31 +184,61 @@ def _edges(
         between = text[nodes[i - 1].end : nodes[i].start]
         if len(between) <= 2 and not between.strip(" ()"):
             edges.append((i - 1, i, weights.neighbour))
+    last: dict[str, int] = {}
+    for i, (key, _) in enumerate(keys):
+        if key is not None and nodes[i].base < 0:
+            if key in last:
+                edges.append((last[key], i, weights.same))
+            last[key] = i
     for place, weight in ((0, weights.same), (1, weights.similar)):
-        last: dict[str, int] = {}
-        for i, key in enumerate(keys):
-            if key[place] is None:
-                continue
-            j = last.get(key[place])
-            if j is not None and not (place and keys[j][0] == key[0]):
-                edges.append((j, i, weight))
-            last[key[place]] = i
+        edges += [(j, i, weight) for i, j in _evidence(nodes, keys, place).items()]
     return edges
 
 
-def _beliefs(unary: np.ndarray, edges: list[tuple[int, int, float]], rounds: int) -> np.ndarray:
-    """Loopy sum-product; an edge's potential is `exp(weight)` for equal labels, else 1."""
+def _evidence(
+    nodes: list[_Node], keys: list[tuple[str | None, str | None]], place: int
+) -> dict[int, int]:
+    """For each unobserved node the nearest observed one with the same key (place 0), or with a
+    similar key that is not the same (place 1)."""
+    nearest: dict[int, int] = {}
+    for order in (range(len(nodes)), range(len(nodes) - 1, -1, -1)):
+        # The last one seen, and the last one whose own key is not that one's.
+        seen: dict[str, tuple[int, int | None]] = {}
+        for i in order:
+            key = keys[i][place]
+            if key is None:
+                continue
+            j, other = seen.get(key, (None, None))
+            if nodes[i].base >= 0:
+                changed = j is not None and keys[j][0] != keys[i][0]
+                seen[key] = (i, j if changed else other)
+                continue
+            if place and j is not None and keys[j][0] == keys[i][0]:
+                j = other
+            if j is not None and (i not in nearest or abs(j - i) < abs(nearest[i] - i)):
+                nearest[i] = j
+    return nearest
+
+
+def _beliefs(
+    unary: np.ndarray, known: np.ndarray, edges: list[tuple[int, int, float]], rounds: int
+) -> np.ndarray:
+    """Loopy sum-product; an edge's potential is `exp(weight)` for equal labels, else 1.
+
+    What `known` nodes send does not depend on what they are sent.
+    """
     if not edges:
         return unary
     source = np.array([e[0] for e in edges] + [e[1] for e in edges])
     target = np.array([e[1] for e in edges] + [e[0] for e in edges])
     gain = np.expm1(np.array([e[2] for e in edges] * 2))[:, None]
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+    fixed = known[source][:, None]
     messages = np.zeros((len(source), unary.shape[1]))
     for _ in range(rounds):
         beliefs = unary.copy()
         np.add.at(beliefs, target, messages)
-        out = beliefs[source] - messages[back]
+        out = np.where(fixed, unary[source], beliefs[source] - messages[back])
         out = np.exp(out - out.max(1, keepdims=True))
         new = np.log(out.sum(1, keepdims=True) + gain * out)
         new -= new.max(1, keepdims=True)
@@ -203,7 +252,7 @@ def _beliefs(unary: np.ndarray, edges: list[tuple[int, int, float]], rounds: int
 
 
 def find_spans(
-    text: str | None, weights: Weights = Weights(), rounds: int = 20
+    text: str | None, weights: Weights = Weights(), rounds: int = 1000
 ) -> list[tuple[str, int, int, bool]]:
     """All spans of a text by kind as listed, then start; the last field marks base spans."""
     if not text:
@@ -215,7 +264,8 @@ def find_spans(
         if any(node.base < 0 for node in nodes):
             edges = _edges(nodes, [_key(node) for node in nodes], text, weights)
             unary = np.array([_shape(node, weights) for node in nodes])
-            labels = _beliefs(unary, edges, rounds).argmax(1)
+            known = np.array([node.base >= 0 for node in nodes])
+            labels = _beliefs(unary, known, edges, rounds).argmax(1)
             spans += [
                 (KINDS[label - 1], node.start, node.end, False)
                 for node, label in zip(nodes, labels.tolist())
