@@ -140,6 +140,54 @@ def test_a_page_without_an_article_gives_its_dense_region():
     assert text.count("\n") == 5 and text.startswith("long text") and "x" not in text.split("\n")[0][:5]
 
 
+STORY = "".join(f"<p>Paragraph {i} {'of the story, with many words ' * 5}</p>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="layout with-sidebar"><article>{STORY}</article></div>',
+        f'<main class="no-comments">{STORY}</main>',
+        f'<main class="comments">{STORY}</main>',
+        f'<article class="post header-fixed">{STORY}</article>',
+        f'<article class="post social">{STORY}</article>',
+        f'<div id="content" class="ad-free">{STORY}</div>',
+        f'<div id="content" class="search">{STORY}</div><div class="ad"><p>Buy this now, it is good</div>',
+        f'<div class="sidebar"><div class="right-sidebar"><main>{STORY}</main></div></div>',
+        f'<div class="layout sidebar"><article>{STORY}</article></div>'
+        '<div class="more"><article>Another one</article></div>',
+        f'<main><div class="post-body widget">{STORY}</div><div class="share">Tell others</div></main>',
+        f'<div class="share"><article class="a promo">{STORY}</article><div class="promo">x</div></div>',
+    ],
+)
+def test_names_do_not_drop_the_article(page):
+    text = html_text.main_text(f"<body><nav>Home</nav>{page}<footer>Site</footer></body>")
+    assert all(f"Paragraph {i} of the story" in text for i in range(4))
+    assert not any(word in text for word in ("Home", "Site", "Buy", "Tell others"))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["comments", "comment-list", "post-comments", "post__comments", "Comments closed", "comment-12"],
+)
+def test_comments_stay_out_even_if_they_are_most_of_the_page(name):
+    comment = f'<article class="comment-body"><p>A reader {"says a lot about it " * 9}</p></article>'
+    for page in (
+        f'<article>{STORY}<section class="{name}">{comment * 30}</section></article>',
+        f'<div class="layout sidebar"><article>{STORY}</article><ol id="{name}">{comment * 30}</ol></div>',
+        f'<div class="story">{STORY}</div><div class="{name}"><div>{comment * 30}</div></div>',
+    ):
+        text = html_text.main_text(f"<body>{page}</body>")
+        assert text.count("Paragraph") == 4 and "reader" not in text
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "site-header", "cookie-notice", "div-gpt-ad-12"])
+def test_known_names_stay_out(name):
+    named = f'<div class="{name}"><p>Buy this now, it is good and not dear at all</p></div>'
+    text = html_text.main_text(f"<body>{named}<div class=story>{STORY}{named}</div></body>")
+    assert text.count("Paragraph") == 4 and "Buy" not in text
+
+
 @pytest.mark.parametrize(
     "html,text",
     [

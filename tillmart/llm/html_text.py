@@ -7,8 +7,10 @@ among long ones is carried by its neighbours, and those above a threshold (a sha
 deviation) form clusters. The elements whose lines are in the clusters are the content regions; a
 region is taken whole, as a one-word paragraph in it is part of the text.
 
-Lines inside navigation, headers, footers, sidebars, forms, scripts, styles, and elements whose class,
-id or role names them as adverts, notices, comments or the like, are never content.
+Lines inside navigation, headers, footers, sidebars, forms, scripts and styles are never content. Nor
+are those in elements whose class, id or role names them as adverts, notices, comments or the like, by a
+whole name or a known compound. But names are only hints: a name does not count where the element is or
+holds the main element, all articles or most of the dense lines (`_believed`).
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ CLOSED_BY = {
     "th": frozenset({"td", "th", "tr"}),
     "tr": frozenset({"tr"}),
 }
-#: Words in class, id or role of what is not the article.
+#: Names in class, id or role of what is not the article.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs"
     " comment comments commentlist consent cookie cookies copyright disclaimer disqus footer gdpr"
@@ -52,6 +54,15 @@ BOILERPLATE = frozenset(
     " search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe"
     " subscription toolbar widget widgets".split()
 )
+#: What readers write below an article is often longer than it.
+THREADS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: What else a compound of those names may hold: where it is, or in what form.
+AROUND = frozenset(
+    "area article articles aside blog body bottom box button buttons center container content div"
+    " dfp entry footer form global google gpt group header icons inline inner item items layer left"
+    " links list main meta news outer overlay page panel post posts primary right row secondary"
+    " section site slot story text thread top unit wrap wrapper".split()
+)
 WORD = re.compile(r"[a-z]+")
 TAG = re.compile(r"<[A-Za-z/!?]")
 #: The white space of HTML and of str.split alike.
@@ -62,8 +73,9 @@ class Line(NamedTuple):
     text: str
     tags: int
     region: int  # the element it stands in
-    content: bool  # not inside boilerplate
+    content: bool  # not inside an element that is boilerplate by its tag
     named: bool  # inside an article or main element
+    hint: int  # the innermost element that is boilerplate by its name, or 0
 
 
 class _Open(NamedTuple):
@@ -71,6 +83,14 @@ class _Open(NamedTuple):
     region: int
     content: bool
     named: bool
+    hint: int
+
+
+class Hint(NamedTuple):
+    """An element that its class, id or role names as boilerplate."""
+
+    outer: int  # the next such element around it, or 0
+    thread: bool  # of comments
 
 
 class LineParser(HTMLParser):
@@ -79,7 +99,9 @@ class LineParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[_Open] = [_Open("", 0, True, False)]
+        self.open: list[_Open] = [_Open("", 0, True, False, 0)]
+        self.hints: list[Hint] = [Hint(0, False)]
+        self.mains: set[int] = set()  # the innermost hints around a main element
         self.parts: list[str] = []
         self.tags = 0
         self.regions = 1
@@ -88,7 +110,9 @@ class LineParser(HTMLParser):
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             top = self.open[-1]
-            self.lines.append(Line(text, max(1, self.tags), top.region, top.content, top.named))
+            self.lines.append(
+                Line(text, max(1, self.tags), top.region, top.content, top.named, top.hint)
+            )
             self.tags = 0
         self.parts.clear()
 
@@ -102,12 +126,21 @@ class LineParser(HTMLParser):
         if tag in VOID:
             return
         top = self.open[-1]
-        content = top.content and tag not in SKIPPED and not self._is_boilerplate(tag, attrs)
-        region, named = top.region, top.named
-        if tag in REGIONS and content or not named and tag in ("div", "section", "td", "body"):
+        content = top.content and tag not in SKIPPED
+        region, named, hint = top.region, top.named, top.hint
+        found = _boilerplate_names(attrs) if content and tag not in ("html", "body", "main") else None
+        comment = False
+        if found:
+            # An article named so among comments is one of them.
+            comment = tag == "article" and found <= THREADS and self.hints[hint].thread
+            self.hints.append(Hint(hint, found <= THREADS))
+            hint = len(self.hints) - 1
+        if tag == "main" and content:
+            self.mains.add(hint)
+        if tag in REGIONS and content and not comment or not named and tag in ("div", "section", "td", "body"):
             self.regions += 1
             region, named = self.regions, named or tag in REGIONS
-        self.open.append(_Open(tag, region, content, named))
+        self.open.append(_Open(tag, region, content, named, hint))
 
     def _close_implied(self, tag: str) -> None:
         """Close a paragraph or item that a new block ends, with what is inline in it."""
@@ -119,13 +152,6 @@ class LineParser(HTMLParser):
             if inner in BLOCKS or inner in SKIPPED:
                 return
 
-    @staticmethod
-    def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ("html", "body"):
-            return False
-        names = " ".join(value or "" for key, value in attrs if key in ("class", "id", "role"))
-        return bool(names) and not BOILERPLATE.isdisjoint(WORD.findall(names.lower()))
-
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
@@ -149,6 +175,53 @@ class LineParser(HTMLParser):
         return self.lines
 
 
+def _boilerplate_names(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The words of BOILERPLATE that a class, id or role consists of, alone or in a known compound.
+
+    Of "block__element--modifier" the element counts.
+    """
+    found: set[str] = set()
+    for key, value in attrs:
+        if key in ("class", "id", "role") and value:
+            for name in value.lower().split():
+                words = set(WORD.findall(name.split("--")[0].split("__")[-1]))
+                own = words & BOILERPLATE
+                if own and words - own <= AROUND:
+                    found |= own
+    return found
+
+
+def _believed(hints: list[Hint], mains: set[int], lines: list[Line], dense: np.ndarray) -> list[bool]:
+    """Which elements are the boilerplate that their name says.
+
+    Not those that hold the main element, or without which no line of the articles would be left if there
+    are any; nor those with more than half of the dense text, by characters. Comments are often more
+    than that, so they have to hold all of it. If nothing dense is left then, no name counts.
+    """
+    inside = np.zeros((len(hints), 2))  # characters of articles, of dense lines
+    for line, is_dense in zip(lines, dense):
+        inside[line.hint] += len(line.text) * np.array([line.named, is_dense])
+    holds_main = [i in mains for i in range(len(hints))]
+    for i in range(len(hints) - 1, 0, -1):  # inner ones come after outer ones
+        inside[hints[i].outer] += inside[i]
+        holds_main[hints[i].outer] |= holds_main[i]
+    article, total = inside[0]
+    gone = [False] * len(hints)
+    for i, hint in enumerate(hints[1:], 1):
+        most = inside[i, 1] == total if hint.thread else 2 * inside[i, 1] > total
+        believed = not (holds_main[i] or article and inside[i, 0] == article or most)
+        gone[i] = gone[hint.outer] or believed
+    if not any(is_dense and not gone[line.hint] for line, is_dense in zip(lines, dense)):
+        return [False] * len(hints)
+    return gone
+
+
+def _dense(lines: list[Line], radius: int, share: float) -> np.ndarray:
+    """Which lines' smoothed ratios reach the threshold."""
+    ratios = smoothed(np.array([len(line.text) / line.tags for line in lines]), radius)
+    return ratios >= min(share * ratios.std(), ratios.max())
+
+
 def smoothed(ratios: np.ndarray, radius: int) -> np.ndarray:
     """Gaussian average over `radius` lines to either side; at the ends over those there are."""
     offsets = np.arange(-radius, radius + 1)
@@ -169,13 +242,17 @@ def main_text(html: str | None, radius: int = 2, share: float = 0.5) -> str:
     parser = LineParser()
     parser.feed(html)
     lines = [line for line in parser.finish() if line.content]
+    if lines and len(parser.hints) > 1:
+        # Most of the dense text is asked of the articles, if there are any.
+        asked = [line for line in lines if line.named] or lines
+        gone = _believed(parser.hints, parser.mains, asked, _dense(asked, radius, share))
+        lines = [line for line in lines if not gone[line.hint]]
     if any(line.named for line in lines):
         lines = [line for line in lines if line.named]
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(line.text) / line.tags for line in lines]), radius)
-    threshold = min(share * ratios.std(), ratios.max())
-    regions = {line.region for line, ratio in zip(lines, ratios) if ratio >= threshold}
+    dense = _dense(lines, radius, share)
+    regions = {line.region for line, is_dense in zip(lines, dense) if is_dense}
     return "\n".join(line.text for line in lines if line.region in regions)
 
 
