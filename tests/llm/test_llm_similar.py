@@ -234,6 +234,95 @@ def test_candidates_recall_against_brute_force(spark):
     assert len(found & truth) >= 0.9 * len(truth) and truth
 
 
+def plain_aligned(a, b):
+    """The table in full: words in order, less a fourth for each word put in."""
+    rows = [[0.0] * (len(a) + 1)]
+    for y in b:
+        before, row = rows[-1], [0.0]
+        for i, x in enumerate(a):
+            row.append(max(before[i] + (x == y), before[i + 1] - 1 / decontamination.PUT_IN, row[i], 0))
+        rows.append(row)
+    return max(row[-1] for row in rows)
+
+
+def plain_leak(passage, words):
+    """Over the whole document, without windows or dense runs."""
+    own, answer, size = passage.words.tolist(), passage.answer.tolist(), len(passage.words)
+    points = plain_aligned(own, words) / size
+    if points >= decontamination.ALONE or points < decontamination.WITH_ANSWER:
+        return points >= decontamination.ALONE
+    run = len(answer) + len(answer) // 4 + 1
+    least = decontamination.ANSWER * len(answer)
+    return any(plain_lcs(answer, words[k : k + run]) >= least for k in range(len(words)))
+
+
+def test_alignment_against_the_table():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = rng.integers(0, 6, rng.integers(1, 20)), rng.integers(0, 6, rng.integers(0, 60))
+        points, found = decontamination.aligned(a, b)
+        assert points == plain_aligned(a.tolist(), b.tolist())
+        assert points <= found <= plain_lcs(a, b)
+
+
+def scattered(seed):
+    """Passages with an answer; documents by what was done to a passage, and others without any."""
+    rng = random.Random(seed)
+    words = ["the", "of", "and", "in"] * 600 + [f"term{i}" for i in range(20_000)]
+
+    def text(n):
+        return " ".join(rng.choices(words, k=n))
+
+    items = [(i, f"{text(rng.randint(30, 50))}. {text(8)}.") for i in range(12)]
+    docs, kinds = [], ("answer far behind", "answer before", "half, no answer", "put in", "many put in")
+    for d in range(60):
+        item, passage = items[d % 12]
+        body, answer = passage[:-1].split(". ")
+        own, kind = body.split(), kinds[d % 5]
+        part = " ".join(own[: int(0.7 * len(own))])
+        middle = {
+            "answer far behind": f"{part} {text(100)} {answer}",
+            "answer before": f"{answer} {text(100)} {part}",
+            "half, no answer": part,
+            "put in": " ".join(f"{w} {text(1)}" for w in passage.split()),
+            "many put in": " ".join(f"{w} {text(4)}" for w in passage.split()),
+        }[kind]
+        docs.append((d, f"{text(rng.randint(0, 150))} {middle} {text(rng.randint(0, 150))}"))
+    docs += [(d, text(100)) for d in range(60, 400)]
+    leaked = {(d, d % 12) for d in range(60) if kinds[d % 5] not in ("half, no answer", "many put in")}
+    return items, docs, leaked
+
+
+def test_answers_elsewhere_and_words_put_in(spark):
+    items, docs, leaked = scattered(11)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.leaks(documents(spark, docs), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == leaked
+    for row in found:
+        assert row.share >= decontamination.WITH_ANSWER
+        assert row.answer == (row.doc_id % 5 < 2)  # with words put in, it is no sentence any more
+
+
+def test_leaks_against_whole_documents(spark):
+    """Nothing but a full table for each passage and document."""
+    import pyarrow as pa
+
+    items, docs, leaked = scattered(12)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    (block,) = decontamination.blocks(documents(spark, docs), benchmark)
+    texts = pa.array([t for _, t in docs])
+    distinct, index, starts = decontamination.words_of(texts)
+    truth = {
+        (i, p.item_id)
+        for i in range(80)
+        for p in block.passages
+        if plain_leak(p, distinct[index[starts[i] : starts[i + 1]]].tolist())
+    }
+    found = {(t, item) for t, item, _, _ in decontamination.find_leaks(block, texts)}
+    assert truth == leaked
+    assert found == truth
+
+
 def test_leaks_of_awkward_tables(spark):
     items, docs, _ = passages()
     benchmark = spark.createDataFrame(items, "item_id long, text string")

@@ -5,9 +5,11 @@ randomised singular value decomposition gives them a latent space: tasks multipl
 random matrix and back, term by term sums meet in a shuffle, and the driver orthonormalises a matrix
 whose size is that of the benchmark's vocabulary. Windows of every document are folded into the same
 space and compared with all passages by cosine; near ones are candidates. A candidate counts as a
-leak if the longest common subsequence of its words and the document's holds enough of the passage,
-or somewhat less together with the passage's answer, its last sentence. So passages with words
-changed, left out or put in are found.
+leak if the longest common subsequence of its words and the document's around the window holds enough
+of the passage, or somewhat less together with the passage's answer, its last sentence, anywhere in the
+document. The subsequence is taken in the run of words that is densest in the passage's, and in a wider
+stretch where words put in count against it. So passages with words changed, left out or put in, up to
+one for each of their own, are found.
 
 The passages are the side that is indexed, in blocks of bounded size; documents are only read.
 """
@@ -37,6 +39,10 @@ COMMON, RAREST = 0.02, 8
 TERMS, COSINE, HELD, REACH = 2, 0.3, 0.25, 64
 #: Share of a passage's words in common: alone; with the answer in the document too.
 ALONE, WITH_ANSWER, ANSWER = 0.7, 0.5, 0.9
+#: What a word put in takes from the words in common: one in so many. Put-in words that outweigh
+#: `1 - WITH_ANSWER` of the passage leave no leak, so no stretch is longer than `WIDE` passages.
+PUT_IN = 4
+WIDE = 1 + PUT_IN * (1 - WITH_ANSWER)
 #: Passages with fewer words have to be there as they are.
 SHORT = 8
 LEAKS = "doc_id long, item_id long, share double, answer boolean"
@@ -270,6 +276,65 @@ def judge(passage: Passage, words: np.ndarray) -> tuple[bool, float, bool]:
     return share >= ALONE or bool(answer), share, bool(answer)
 
 
+def aligned(a: np.ndarray, b: np.ndarray) -> tuple[float, int]:
+    """Words of `a` found in order in `b`, less a `PUT_IN`th for each word put in between them; and the
+    words found.
+
+    A word of `b` that stands for one of `a` which is left out is changed, not put in. A row of the
+    table is kept for each word of `b`: the best that ends by each word of `a`. Points and words are
+    held in one number.
+    """
+    point = 1 << 20
+    gain = PUT_IN * point + 1
+    row = np.zeros(len(a) + 1, np.int64)
+    best = 0
+    hits = {x: gain * (a == x) for x in np.intersect1d(a, b).tolist()}
+    for x in b.tolist():
+        diagonal = row[:-1] + hits[x] if x in hits else row[:-1]
+        row[1:] = np.maximum(diagonal, row[1:] - point)
+        np.maximum(row, 0, out=row)
+        np.maximum.accumulate(row, out=row)
+        best = max(best, int(row[-1]))
+    return (best >> 20) / PUT_IN, best & (point - 1)
+
+
+def holds_answer(answer: np.ndarray, words: np.ndarray) -> bool:
+    """Whether some run of the words, a quarter longer than the answer, has enough of it in order."""
+    if not len(answer):
+        return False
+    least, size = ANSWER * len(answer), len(answer) + len(answer) // 4 + 1
+    inside = np.isin(words, answer)
+    sums = np.concatenate([[0], np.cumsum(inside)])
+    ends = np.minimum(np.arange(len(words)) + size, len(words))
+    # A run that holds it can begin with its first word in common.
+    starts = np.flatnonzero(inside & (sums[ends] - sums[:-1] >= least))
+    return any(lcs(answer, words[s : s + size]) >= least for s in starts.tolist())
+
+
+def judge_around(
+    passage: Passage, words: np.ndarray, first: int, last: int
+) -> tuple[bool, float, bool]:
+    """As `judge`, around the words from `first` to `last` of a document; its answer anywhere."""
+    size = len(passage.words)
+    near = _densest(passage, words[max(0, first - size) : last + size])
+    leaked, share, answer = judge(passage, near)
+    if size < SHORT or leaked and answer:
+        return leaked, share, answer
+    reach = int(WIDE * size)
+    wide = words[max(0, first - reach) : last + reach]
+    # No part of the stretch has more in common than all of it.
+    most = lcs(passage.words, wide) / size
+    if most < WITH_ANSWER:
+        return False, share, False
+    answer = holds_answer(passage.answer, words)
+    enough = WITH_ANSWER if answer else ALONE
+    if not leaked and share < enough <= most:
+        points, found = aligned(passage.words, wide)
+        if points >= enough * size:
+            share = found / size
+    return share >= enough, share, answer
+
+
 def _candidates(block: Block, place: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
     """(text, first half window, passage) of windows that are near a passage."""
     known = np.flatnonzero(place >= 0)
@@ -311,13 +376,12 @@ def find_leaks(block: Block, texts) -> list[tuple[int, int, float, bool]]:
     distinct, index, starts = words_of(texts)
     place = _places(block.terms, distinct)[index]
     best: dict[tuple[int, int], tuple[float, bool]] = {}
+    held, words = -1, distinct[:0]
     for text, half, j in _candidates(block, place, starts):
         passage = block.passages[j]
-        size = len(passage.words)
-        # The window, and as far around it as the passage may reach.
-        first = max(starts[text], starts[text] + half * STEP - size)
-        last = min(starts[text + 1], starts[text] + (half + 2) * STEP + size)
-        leaked, share, answer = judge(passage, _densest(passage, distinct[index[first:last]]))
+        if text != held:
+            held, words = text, distinct[index[starts[text] : starts[text + 1]]]
+        leaked, share, answer = judge_around(passage, words, half * STEP, (half + 2) * STEP)
         key = (text, passage.item_id)
         if leaked and (share, answer) > best.get(key, (0.0, False)):
             best[key] = (share, answer)
@@ -357,7 +421,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     into a row of `docs` (doc_id, text).
 
     `share` is the part of the passage's words found in order, `answer` whether its last sentence is
-    there. Null and empty texts, in either table, have no leaks. Repeated documents are told each;
+    anywhere in the document. Null and empty texts, in either table, have no leaks. Repeated documents are told each;
     of equal items with the same id one. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
