@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from helpers import AWKWARD, documents
 
-from tillmart.llm import pieces, token_files
+from tillmart.llm import pieces, queries, token_files
 
 P = pytest.importorskip("public_tokenizers")
 BPE, SP = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
@@ -34,6 +34,23 @@ def test_chunks_give_the_ids_of_whole_texts():
         assert ids[starts[i] : starts[i + 1]].tolist() == [*encode(text), 0], repr(text)
 
 
+def test_the_query_gives_the_ids_of_the_library_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(BPE)
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"a{end}{end}  b ", f"some words {end[:-1]} {end[1:]}", "plain words", None]
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op1_token_files(spark, str(tmp_path)).collect()}
+    start = 0
+    for i, text in enumerate(texts):
+        own = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        crc = zlib.crc32(np.array(own, "<u4").tobytes())
+        assert (found[i].start, found[i].n_tokens, found[i].ids_crc32) == (start, len(own), crc)
+        start += len(own)
+    assert found[0].n_tokens == 2
+
+
 def test_files_hold_every_row_in_order(spark, tmp_path):
     files = token_files.write_token_files(documents(spark), BPE, str(tmp_path / "ids"))
     found = token_files.read_token_files(files).collect()

@@ -28,7 +28,7 @@ def tokenizer(name: str) -> str:
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(
-        documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end_id=0
+        documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end_id=0, plain=False
     )
     return token_files.read_token_files(files)
 

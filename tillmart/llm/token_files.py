@@ -54,18 +54,22 @@ class ChunkEncoder:
 
     A byte-level pre-tokenizer never joins what stands before a space to that space, unless the
     space lies within a run of white space. So " word" can be encoded by itself; texts with a space
-    that has white space before it and white space or nothing behind it are encoded whole.
+    that has white space before it and white space or nothing behind it are encoded whole, and so are
+    those that contain the string of an added token. Strings of special tokens are ordinary text if
+    `plain` is set, else they give the special token's id, as the library does by itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = True):
         import re
 
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.bound = re.compile(r"\s \s|\s \Z")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if token.content]
         # How byte-level models write bytes: printable ones as they are, the others from 256 on.
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [byte for byte in range(256) if byte not in set(kept)]
@@ -99,7 +103,11 @@ class ChunkEncoder:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        whole = [i for i, text in enumerate(texts) if self.bound.search(text)]
+        whole = [
+            i
+            for i, text in enumerate(texts)
+            if self.bound.search(text) or any(token in text for token in self.added)
+        ]
         split = list(texts)
         for i in whole:
             split[i] = ""
@@ -131,9 +139,9 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=1)
-def _chunk_encoder(path: str) -> ChunkEncoder:
+def _chunk_encoder(path: str, plain: bool) -> ChunkEncoder:
     """One for each Python worker; loading the vocabulary takes a while."""
-    return ChunkEncoder(path)
+    return ChunkEncoder(path, plain)
 
 
 def _filesystem(folder: str):
@@ -145,7 +153,7 @@ def _filesystem(folder: str):
     )
 
 
-def _writer(folder: str, tokenizer: str, end_id: int, bits: int, text: str):
+def _writer(folder: str, tokenizer: str, end_id: int, bits: int, text: str, plain: bool):
     kind = np.dtype(f"<u{bits // 8}")
 
     def write(batches) -> Iterator:
@@ -161,7 +169,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, bits: int, text: str):
         for batch in batches:
             for rows in text_slices(batch, batch.schema.get_field_index(text), TOGETHER):
                 if encoder is None:
-                    encoder = _chunk_encoder(tokenizer)
+                    encoder = _chunk_encoder(tokenizer, plain)
                     system.create_dir(path, recursive=True)
                     files = {x: system.open_output_stream(name) for x, name in drafts.items()}
                 texts = [x or "" for x in rows.column(text).to_pylist()]
@@ -194,12 +202,14 @@ def write_token_files(
     folder: str | None = None,
     end_id: int = 0,
     text: str = "text",
+    plain: bool = True,
 ) -> TokenFiles:
     """Encode `text` of every row and write it in ascending `doc_id` order.
 
     `tokenizer` is a file of the tokenizers library with byte-level pre-tokenization. Rows with the
     same `doc_id` are ordered by their text and all kept; null ids come first; a null text is
     empty and still gets its end id. An empty table gives no shards. Other columns are ignored.
+    Strings of special tokens are ordinary text, unless `plain` is false.
     """
     from tokenizers import Tokenizer
 
@@ -211,7 +221,7 @@ def write_token_files(
         "doc_id", F.xxhash64("text"), "text"
     )
     index = written(
-        ordered.mapInArrow(_writer(folder, tokenizer, end_id, bits, "text"), INDEX), "token-index"
+        ordered.mapInArrow(_writer(folder, tokenizer, end_id, bits, "text", plain), INDEX), "token-index"
     )
     shards = index.groupBy("shard").agg(
         F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
