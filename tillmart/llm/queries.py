@@ -9,12 +9,15 @@ from tillmart.llm import (
     chat,
     decontamination,
     fingerprints,
+    hard_negatives,
     html_text,
     jaccard,
     lang_id,
     licenses,
     pieces,
     pii,
+    ppm,
+    spelling,
     token_files,
 )
 from tillmart.llm.common import code_points, documents
@@ -175,6 +178,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
+def op11_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    return ppm.score(documents(spark, sf_dir), ~held_out).select(
+        "doc_id",
+        (~F.col("learns")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.vectors(rows.select("vec_id", moved.alias("label"), "embedding"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.spellings(documents(spark, sf_dir), drop_every=97)
+    words = words.filter((F.char_length("word") >= 5) & (F.col("n") >= 3))
+    return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -188,6 +217,9 @@ QUERIES = {
         op8_lang_id,
         op9_chat,
         op10_decontamination,
+        op11_ppm,
+        op12_hard_negatives,
+        op13_spelling,
     )
 }
 
@@ -265,4 +297,96 @@ ORACLES = {
                 as formatted_chars
         from sums group by conv_id
     """,
+    "op12_hard_negatives": r"""
+        with usable as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scores as (
+            select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+                cast(list_dot_product(a.v, b.v) as bigint) as score
+            from usable a join usable b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+        ),
+        positives as (
+            select anchor_id, id as positive_id, score as positive_score from scores where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+        )
+        select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score,
+            cast(row_number() over (
+                partition by anchor_id, positive_id order by score desc, id
+            ) as integer) as rank
+        from positives join scores using (anchor_id)
+        where not same
+            and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3
+    """,
+    "op13_spelling": r"""
+        with recursive bits as (
+            select i, 0 as step, cast(i as bigint) as c from range(256) t(i)
+            union all
+            select i, step + 1,
+                case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end
+            from bits where step < 8
+        ),
+        crc as (select list(c order by i) as t from bits where step = 8),
+        runs as (
+            select coalesce(cast(doc_id as varchar), '') as id,
+                unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[A-Za-z\x{00C0}-\x{00FF}]+')) as run
+            from documents
+        ),
+        counted as (select id, run, count(*) as n from runs group by all),
+        hashed as (
+            select run, n, xor(list_reduce(
+                list_prepend(4294967295::bigint, list_transform(
+                    regexp_extract_all(hex(encode(id || ':' || run)), '..'),
+                    lambda pair: cast('0x' || pair as bigint))),
+                lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) as h
+            from counted, crc
+        ),
+        spelt as (
+            select case when h % 97 = 0
+                then run[:cast(h % len(run) as bigint)] || run[cast(h % len(run) as bigint) + 2:]
+                else run end as word, n
+            from hashed
+        ),
+        words as (
+            select word, cast(sum(n) as bigint) as n from spelt
+            where len(word) >= 5 group by word having sum(n) >= 3
+        ),
+        cuts as (
+            select word, n, i, word[:i - 1] || word[i + 1:] as cut
+            from (select word, n, unnest(range(1, len(word) + 1)) as i from words)
+        ),
+        pairs as (
+            select c.word, c.n, w.word as near, w.n as near_n from cuts c join words w on c.cut = w.word
+            union
+            select w.word, w.n, c.word, c.n from cuts c join words w on c.cut = w.word
+            union
+            select a.word, a.n, b.word, b.n from cuts a join cuts b using (i, cut)
+            where a.word <> b.word
+        ),
+        best as (
+            select word, count(*) as n_near, max(near_n) as most,
+                first(near order by near_n desc, near) as near
+            from pairs group by word
+        ),
+        formed as (
+            select words.word, words.n, coalesce(n_near, 0) as n_near,
+                case when most >= 2 * words.n then near end as form,
+                case when most >= 2 * words.n then most end as form_n
+            from words left join best using (word)
+        ),
+        walks as (
+            select word, word as reached, form as next from formed
+            union all
+            select walks.word, next, f.form from walks join formed f on f.word = next
+        )
+        select formed.word, form, reached as root, n, n_near, form_n
+        from formed join walks on walks.word = formed.word and next is null
+    """,
 }
