@@ -66,8 +66,8 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(lengths > 0, lengths, 1)[:, None]
 
 
-def buckets(rows: DataFrame) -> DataFrame:
-    """Length buckets of (id, label, vector), with their sorted coordinate lists; `place` counts them
+def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
+    """Length buckets of `size` rows of (id, label, vector), with their sorted coordinate lists; `place` counts them
     from 0, the longest first.
 
     Dealt out by range of length and id, so that many rows of one length are many buckets. Vectors of
@@ -106,11 +106,11 @@ def buckets(rows: DataFrame) -> DataFrame:
         for batch in batches:
             held.append(batch)
             count += batch.num_rows
-            while count >= BUCKET:
+            while count >= size:
                 table = pa.Table.from_batches(held).combine_chunks()
-                yield packed(table.slice(0, BUCKET).combine_chunks().to_batches()[0])
+                yield packed(table.slice(0, size).combine_chunks().to_batches()[0])
                 bucket += 1
-                held, count = table.slice(BUCKET).to_batches(), count - BUCKET
+                held, count = table.slice(size).to_batches(), count - size
         if count:
             yield packed(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
@@ -276,6 +276,7 @@ def mine(
     negatives: int = 3,
     least: int = 50,
     largest: int = 95,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """Hard negatives of the rows for which `anchors` is true, from (id, label, vector) with integer
     components: anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
@@ -292,7 +293,7 @@ def mine(
         raise ValueError("least must be from 0 to largest")
     one = rows.groupBy("id").agg(F.min(F.struct("label", "vector")).alias("x"))
     rows = written(one.select("id", "x.*"), "lemp-rows")
-    cells = buckets(rows)
+    cells = buckets(rows, bucket)
     asked = rows.filter(anchors)
 
     def windows(tag: str, low: str, high: str, same: bool) -> Column:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import hash_strings, ranges, text_slices, word_hashes, written
@@ -36,8 +36,11 @@ ORDER = 4
 START, END = 0xFF, 0xFE
 #: The bytes that UTF-8 uses, and the end.
 SYMBOLS = 243 + 1
-#: Bytes of text a block has at most, or one text; and those looked at together.
-BLOCK, TOGETHER = 2**23, 2**21
+#: Bytes of text after which a block is full, and those looked at together. The larger a block, the
+#: fewer of its strings are new.
+BLOCK, TOGETHER = 2**25, 2**20
+#: Keys a block collects before it counts them again.
+COLLECTED = 2**20
 WORD, GRAM = 0, 1
 ASKS = "block long, kind int, key long, n long"
 SCORES = "row_id long, n_bytes long, n_tokens long, n_known long, base double, score double"
@@ -87,7 +90,7 @@ class _Asked:
     """The distinct keys of one kind in a block, and how often its learning texts have them."""
 
     def __init__(self):
-        self.keys, self.numbers = [], []
+        self.keys, self.numbers, self.size = [], [], 0
 
     def add(self, keys: np.ndarray, starts: np.ndarray, learns: np.ndarray) -> None:
         learning = np.repeat(learns, np.diff(starts))
@@ -96,6 +99,10 @@ class _Asked:
                 found, numbers = np.unique(part, return_counts=True)
                 self.keys.append(found)
                 self.numbers.append(numbers if counts else np.zeros(len(found), np.int64))
+                self.size += len(found)
+        if self.size > COLLECTED and len(self.keys) > 2:
+            keys, numbers = self.merged()
+            self.keys, self.numbers, self.size = [keys], [numbers], 0
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
@@ -107,25 +114,25 @@ class _Asked:
         return keys[firsts], np.add.reduceat(numbers, firsts)
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Number the rows and give each its block."""
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """Number the rows and give each its block: texts in a row, up to `size` bytes and the end of one."""
 
     def deal(batches) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        block, row = TaskContext.get().partitionId() << 32, TaskContext.get().partitionId() << 40
+        task, row, total = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for part in text_slices(batch, batch.schema.get_field_index("text"), BLOCK):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(part.num_rows, block)),
-                        pa.array(np.arange(row, row + part.num_rows)),
-                        *part.columns,
-                    ],
-                    ["block", "row_id", *part.schema.names],
-                )
-                block, row = block + 1, row + part.num_rows
+            sizes = pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)
+            before = total + np.cumsum(sizes) - sizes
+            own = [
+                pa.array((task << 32) + before // size),
+                pa.array((task << 40) + np.arange(row, row + len(sizes))),
+            ]
+            names = ["block", "row_id", *batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*own, *batch.columns], names)
+            row, total = row + len(sizes), total + int(sizes.sum())
 
     types = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     return rows.mapInArrow(deal, f"block long, row_id long, {types}")
@@ -222,11 +229,16 @@ def trie(grams: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def log10_probabilities(grams: DataFrame, nodes: DataFrame, order: int = ORDER) -> DataFrame:
-    """(key, value): for each row (key) of `grams`, strings of `order + 1` bytes, the log10 of the
-    probability that the model gives its last byte after the others."""
+    """(key, value): for each row (key, n) of `grams`, strings of `order + 1` bytes and how often learning
+    texts have them, the log10 of the probability that the model gives its last byte after the
+    others."""
+    # Most are known in full, and need no more than those that share their context.
+    context = Window.partitionBy(F.shiftright("key", 8))
+    whole = F.sum("n").over(context) + F.count("*").over(context)
+    seen = grams.filter("n > 0").select("key", (F.log10("n") - F.log10(whole)).alias("value"))
     roles = [
         F.struct(F.lit(f"n{k}").alias("role"), _node(k, _ending("key", k)).alias("node"))
-        for k in range(1, order + 2)
+        for k in range(1, order + 1)
     ] + [
         F.struct(
             F.lit(f"c{k}").alias("role"),
@@ -234,17 +246,18 @@ def log10_probabilities(grams: DataFrame, nodes: DataFrame, order: int = ORDER)
         )
         for k in range(order + 1)
     ]
-    asked = grams.select("key", F.explode(F.array(*roles)).alias("x")).select("key", "x.*")
+    unseen = grams.filter("n = 0").select("key", F.explode(F.array(*roles)).alias("x"))
+    asked = unseen.select("key", "x.*")
     known = asked.join(nodes, "node", "left")
 
     def of(role: str, name: str) -> Column:
         return F.max(F.when(F.col("role") == role, F.col(name))).alias(f"{name}_{role}")
 
     wide = known.groupBy("key").agg(
-        *[of(f"n{k}", "n") for k in range(1, order + 2)],
+        *[of(f"n{k}", "n") for k in range(1, order + 1)],
         *[of(f"c{k}", name) for k in range(order + 1) for name in ("total", "kinds", "shadow")],
     )
-    return wide.select("key", _chain(order).alias("value"))
+    return seen.union(wide.select("key", _chain(order).alias("value")))
 
 
 def _chain(order: int) -> Column:
@@ -258,7 +271,8 @@ def _chain(order: int) -> Column:
     begun = -F.log10(F.lit(float(SYMBOLS)))  # where not even the shortest context is known
     below = uniform
     for k in range(order + 1):
-        n = F.coalesce(F.col(f"n_n{k + 1}"), F.lit(0))
+        # In the longest context it never followed.
+        n = F.coalesce(F.col(f"n_n{k + 1}"), F.lit(0)) if k < order else F.lit(0)
         total, kinds = F.col(f"total_c{k}"), F.col(f"kinds_c{k}")
         begun = F.when(total.isNull(), begun).otherwise(
             F.when(n > 0, F.log10(n) - F.log10(total + kinds)).otherwise(
@@ -311,6 +325,7 @@ def _scored(texts: DataFrame, answers: DataFrame, order: int) -> DataFrame:
                     ]
                 )
         columns = [pa.array(np.concatenate(x)) for x in zip(*parts)]
+        pa.default_memory_pool().release_unused()
         names = ["row_id", "n_bytes", "n_tokens", "n_known", "base", "score"]
         return pa.Table.from_arrays(columns, names)
 
@@ -318,7 +333,7 @@ def _scored(texts: DataFrame, answers: DataFrame, order: int) -> DataFrame:
     return left.cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)
 
 
-def score(docs: DataFrame, learns: Column, order: int = ORDER) -> DataFrame:
+def score(docs: DataFrame, learns: Column, order: int = ORDER, block: int = BLOCK) -> DataFrame:
     """Scores every row of `docs` (doc_id, text) by a model of those rows for which `learns` is true.
 
     Returns a row for each, with its doc_id and learns (false for null), and: n_bytes; n_tokens, words
@@ -337,7 +352,7 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER) -> DataFrame:
         F.coalesce(learns, F.lit(False)).alias("learns"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    texts = written(_dealt(rows), "ppm-texts")
+    texts = written(_dealt(rows, block), "ppm-texts")
     asks = written(_asks(texts, order), "ppm-asks")
     counts = written(asks.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
     grams = counts.filter(F.col("kind") == GRAM).select("key", "n")
@@ -345,7 +360,7 @@ def score(docs: DataFrame, learns: Column, order: int = ORDER) -> DataFrame:
     words = counts.filter(F.col("kind") == WORD).select("key", "n")
     n, v = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
     values = words.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value"))
-    found = log10_probabilities(grams.select("key"), nodes, order)
+    found = log10_probabilities(grams, nodes, order)
     values = values.union(found.select(F.lit(GRAM).alias("kind"), "key", "value"))
     answers = asks.drop("n").join(written(values, "ppm-values"), ["kind", "key"])
     scored = _scored(texts, answers.select("block", "kind", "key", "value"), order)
