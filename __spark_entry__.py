@@ -211,6 +211,29 @@ def _from_csv(name: str) -> Query:
     return query
 
 
+def _ingest_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores as CSV with line ends and quotes in cells, and columns that no hint names."""
+    folder = _folder(spark, sf_dir, "csv-inferred")
+    cells = testdata.stores(spark, sf_dir).selectExpr(
+        "cast(id as string) as id",
+        "concat('Floor ', id % 3, '\n\n\"Door\", ', id % 5) as address",
+        "cast(id * 1000003 as string) as staff",
+        "if(id % 7 = 0, null, concat(id % 1000, '.', id % 10)) as rent",
+        "cast(created_at as string) as opened",
+        "lpad(cast(id as string), 9, '0') as code",
+    )
+    cells.write.options(header=True, quote='"', escape='"').csv(f"{folder}/raw/stores")
+    ingest(spark, f"{folder}/warehouse", f"{folder}/raw", "csv")
+    landed = build.Warehouse(spark, f"{folder}/warehouse").raw("stores")
+    return landed.select(
+        "*",
+        *[
+            F.lit(landed.schema[name].dataType.typeName()).alias(f"{name}_type")
+            for name in ("staff", "rent", "opened", "code")
+        ],
+    )
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
@@ -264,6 +287,7 @@ ON_FILES: dict[str, Query] = {
     "file_fed_load": _file_fed_load,
     "ingest_csv_stores": _from_csv("stores"),
     "ingest_csv_transactions": _from_csv("transactions"),
+    "ingest_inferred": _ingest_inferred,
     "build_check_results": lambda spark, sf: tables.read(
         spark, tables.table_path(built(spark, sf).path, "quality", "check_results")
     ),

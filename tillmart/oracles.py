@@ -380,6 +380,17 @@ ORACLES["upsert_transactions"] = _sql(
 ORACLES["incremental_load"] = ORACLES["upsert_transactions"]
 ORACLES["ingest_csv_stores"] = ORACLES["stg_stores"]
 ORACLES["ingest_csv_transactions"] = ORACLES["stg_transactions"]
+ORACLES["ingest_inferred"] = _sql(
+    """select store_id as id,
+        'Floor ' || (store_id % 3) || chr(10) || chr(10) || '"Door", ' || (store_id % 5) as address,
+        store_id * 1000003 as staff,
+        if(store_id % 7 = 0, null, cast(store_id % 1000 as double)
+            + cast(store_id % 10 as double) / 10) as rent,
+        created_at as opened, printf('%09d', store_id) as code,
+        'long' as staff_type, 'decimal' as rent_type, 'timestamp_ntz' as opened_type,
+        'string' as code_type
+    from seller"""
+)
 # Of the rows sent again, only those dated a day later count.
 ORACLES["file_fed_load"] = _sql(
     f"""select {PAYMENT} from (

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.sources import tables
+from tillmart.sources import csv_rows, tables
+from tillmart.sources.infer import infer_types
 from tillmart.sources.schemas import CREATED_ON, RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
@@ -54,58 +56,55 @@ def last_occurrences(header: list[str]) -> dict[str, int]:
     return {name: position for position, name in enumerate(header)}
 
 
-def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
-    """Cells in double quotes, a quote in a cell doubled; rows of another length than the header's
-    are an error."""
-    return spark.read.options(
-        quote='"', escape='"', multiLine=multi_line, mode="FAILFAST", columnPruning=False
-    )
-
-
-def _require_one_header(spark: SparkSession, path: str, multi_line: bool) -> None:
-    """Spark compares the files' headers by name, which takes distinct names. This looks at each
-    file, and is called only where a name repeats."""
-    headers: dict[tuple, str] = {}
-    for file in spark.read.text(path).inputFiles():
-        row = _csv(spark, multi_line).csv(file).first()
-        if row:
-            headers.setdefault(tuple(row), file)
-    if len(headers) > 1:
-        raise ValueError(f"files with different headers: {sorted(headers.values())}")
+#: Cells in double quotes, a quote in a cell doubled.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
+def _cells(spark: SparkSession, path: str, width: int, scratch: str | None) -> DataFrame:
+    """The cells of all rows but the files' headers, as texts in columns `c0`, `c1`, ..."""
+    columns = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    lines = csv_rows.read_lines(spark, path)
+    header = F.from_csv("first", columns.simpleString(), CSV_OPTIONS)
+    survey = csv_rows.survey(lines).withColumn("header", F.xxhash64(header))
+    splits = survey.withColumn("headed", F.col("first").isNotNull()).drop("first").collect()
+    if not any(split["open"] for split in splits):
+        if len({split["header"] for split in splits if split["headed"]}) > 1:
+            raise ValueError("files with different headers")
+        # No cell has a line end, so Spark can split the files by itself.
+        reader = spark.read.options(header=True, mode="FAILFAST", columnPruning=False, **CSV_OPTIONS)
+        return reader.schema(columns).csv(path)
+    name = f"csv-rows-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    inside = {(split["file"], split["start"]): split["inside"] for split in splits}
+    rows = csv_rows.whole_rows(lines, inside, scratch or tables.session_path(spark, name))
+    strict = F.from_csv("record", columns.simpleString(), {**CSV_OPTIONS, "mode": "FAILFAST"})
+    rows = rows.select(strict.alias("cells"), "is_first")
+    if len(rows.filter("is_first").select("cells").distinct().take(2)) > 1:
+        raise ValueError("files with different headers")
+    return rows.filter("not is_first").select("cells.*")
 
 
 def read_csv(
-    spark: SparkSession, path: str, hints: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, hints: T.StructType, scratch: str | None = None
 ) -> DataFrame:
-    """CSV files with one header line each; hinted columns typed, the others text.
+    """CSV files with one header line each; hinted columns typed, the types of the others inferred.
 
-    All files must share one header, and all rows its length; anything else is an error. Cells
-    may hold line ends, for which each file is read by one task; files without such cells can be
-    split with `multi_line` off. Numbers with a fraction are read as exact decimals.
+    All files must share one header, and all rows its length; anything else is an error. Files are
+    split, also where cells hold line ends: their rows are then written to the folder `scratch`
+    first, which the result reads (by default one of the session). Numbers with a fraction are read as
+    exact decimals.
     """
-    first = _csv(spark, multi_line).csv(path).first()
+    # Only the first row of the first file.
+    first = spark.read.options(multiLine=True, **CSV_OPTIONS).csv(path).first()
     header = list(first) if first else hints.fieldNames()
+    cells = _cells(spark, path, len(header), scratch)
     kept = last_occurrences(header)
-    repeated = len(kept) < len(header)
-    if repeated:
-        _require_one_header(spark, path, multi_line)
-    names = [f"c{i}" for i in range(len(header))] if repeated else header
-    cells = (
-        _csv(spark, multi_line)
-        .option("header", True)
-        .option("enforceSchema", repeated)
-        .schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
-        .csv(path)
-        .select(*[F.col(f"`{names[position]}`").alias(name) for name, position in kept.items()])
-    )
-    exact = T.StructType(
-        [
-            T.StructField(f.name, EXACT if isinstance(f.dataType, T.DoubleType) else f.dataType)
-            for f in hints.fields
-        ]
-    )
-    types = {field.name: field.dataType for field in exact.fields}
-    return apply_hints(drop_blank_rows(cells, types), exact)
+    cells = cells.select(*[F.col(f"c{position}").alias(name) for name, position in kept.items()])
+    hinted = {
+        f.name: EXACT if isinstance(f.dataType, T.DoubleType) else f.dataType for f in hints.fields
+    }
+    inferred = infer_types(cells, [name for name in kept if name not in hinted])
+    types = T.StructType([T.StructField(*field) for field in (hinted | inferred).items()])
+    return apply_hints(drop_blank_rows(cells, hinted | inferred), types)
 
 
 def read_parquet(spark: SparkSession, path: str, hints: T.StructType) -> DataFrame:
@@ -129,16 +128,15 @@ def apply_hints(df: DataFrame, hints: T.StructType) -> DataFrame:
     return df.select(*map(typed, df.columns))
 
 
-READERS = {"csv": read_csv, "parquet": read_parquet}
-
-
 def load_table(
-    spark: SparkSession, table: str, root: str, fmt: str = "parquet"
+    spark: SparkSession, table: str, root: str, fmt: str = "parquet", scratch: str | None = None
 ) -> DataFrame | None:
     """One raw table from ``root/<table>`` or ``root/<table>.<fmt>``; None if there are no files."""
     for path in (f"{root}/{table}", f"{root}/{table}.{fmt}"):
         try:
-            return READERS[fmt](spark, path, RAW_SCHEMAS[table])
+            if fmt == "csv":
+                return read_csv(spark, path, RAW_SCHEMAS[table], scratch)
+            return read_parquet(spark, path, RAW_SCHEMAS[table])
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -163,10 +161,13 @@ def ingest(
     source = raw_root(root)
     loaded = []
     for table in RAW_SCHEMAS:
-        df = load_table(spark, table, source, fmt)
+        of = hashlib.sha256(f"{warehouse}/{table}".encode()).hexdigest()[:16]
+        scratch = tables.scratch_path(spark, warehouse, f"csv-{table}-{of}")
+        df = load_table(spark, table, source, fmt, scratch)
         if df is None:
             log.warning("no %s input under %s, table skipped", table, source)
             continue
         land(df, warehouse, table)
+        tables.delete(spark, scratch)
         loaded.append(table)
     return loaded

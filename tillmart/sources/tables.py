@@ -30,6 +30,13 @@ def scratch_path(spark: SparkSession, warehouse: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def session_path(spark: SparkSession, name: str) -> str:
+    """A path of this session on storage every executor sees: below the checkpoint folder, else below
+    the warehouse folder, one of which the cluster has to share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tillmart-{spark.sparkContext.applicationId}/{name}"
+
+
 def delete(spark: SparkSession, path: str) -> None:
     file_system, folder = _hadoop(spark, path)
     file_system.delete(folder, True)
