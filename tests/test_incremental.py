@@ -10,8 +10,15 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.operators.upsert import SchemaChanged, high_water, merge_rows, newer_than
+from tillmart.operators.upsert import (
+    KeyedTable,
+    SchemaChanged,
+    high_water,
+    merge_rows,
+    newer_than,
+)
 from tillmart.plans.incremental import load_batch, load_transactions, transactions_table
+from tillmart.sources import tables
 from tillmart.sources.schemas import STG_TRANSACTIONS
 from tillmart.streaming.incremental import load_new_files
 
@@ -41,12 +48,9 @@ def table(tmp_path):
 
 
 def held(spark, table):
-    return sorted(
-        tuple(row)
-        for row in table.read(spark)
-        .select("transaction_id", "transaction_status", F.date_format("record_created_at", "HH:mm"))
-        .collect()
-    )
+    columns = ["transaction_id", "transaction_status", F.date_format("record_created_at", "HH:mm")]
+    rows = [tuple(row) for row in table.read(spark).select(*columns).collect()]
+    return sorted(rows, key=lambda row: (row[0] is None, row[0] or 0))
 
 
 FIRST = [(1, "accepted", "09:00:00"), (2, "refused", "10:00:00"), (35, "cancelled", "08:00:00")]
@@ -188,6 +192,108 @@ def test_a_merge_that_broke_off_while_staging_is_repeated(spark, raw, table, mon
     assert held(spark, table) == AFTER_SECOND
 
 
+class Breaks:
+    """Lets the n-th step that touches files fail, before or after it is done."""
+
+    def __init__(self, monkeypatch, at, after):
+        self.at, self.after, self.done = at, after, 0
+        for owner, name in ((tables, "touch"), (tables, "delete"), (KeyedTable, "_store")):
+            monkeypatch.setattr(owner, name, self.wrapped(getattr(owner, name)))
+
+    def wrapped(self, step):
+        def run(*args):
+            number, self.done = self.done, self.done + 1
+            if number == self.at and not self.after:
+                raise Lost
+            step(*args)
+            if number == self.at:
+                raise Lost
+
+        return run
+
+
+WITHOUT_IDS = [(None, "accepted", "10:04:00"), (None, "accepted", "10:04:00")]
+
+
+@pytest.mark.parametrize("first", [[], FIRST], ids=["into nothing", "into a table"])
+def test_a_merge_may_break_off_at_every_step(spark, raw, tmp_path, monkeypatch, first):
+    """The batch is then repeated, and everything is there once, rows without an id included."""
+    batch = SECOND + WITHOUT_IDS
+    whole = transactions_table(str(tmp_path / "whole"), keys_per_range=10, folders=4)
+    if first:
+        load_batch(raw(*first), whole, "files-0")
+    load_batch(raw(*batch), whole, "files-1")
+    expected = held(spark, whole)
+    assert len(expected) == len({k for k, *_ in [*first, *SECOND]}) + 2
+    at, broken = 0, True
+    while broken:
+        for after in (False, True) if first else (True,):
+            table = transactions_table(str(tmp_path / f"{at}-{after}"), keys_per_range=10, folders=4)
+            if first:
+                load_batch(raw(*first), table, "files-0")
+            with monkeypatch.context() as patch:
+                Breaks(patch, at, after)
+                try:
+                    load_batch(raw(*batch), table, "files-1")
+                    broken = False
+                except Lost:
+                    pass
+            load_batch(raw(*batch), table, "files-1")
+            assert held(spark, table) == expected, (at, after)
+            assert not staged(spark, table)
+        at += 1
+    assert at > 5
+
+
+def null_ids(*times):
+    return [(None, "accepted", time) for time in times]
+
+
+@pytest.mark.parametrize("load", [load_transactions, load_batch])
+def test_a_batch_of_null_ids_alone_and_the_next_ones(spark, raw, table, load):
+    load(raw(*FIRST), table)
+    load(raw(*null_ids("10:30:00", "10:31:00")), table)
+    assert len(held_keys(spark, table)) == len(FIRST) + 2
+    load(raw((50, "accepted", "10:40:00"), *null_ids("10:41:00")), table)
+    assert held_keys(spark, table).count(None) == 3
+    assert 50 in held_keys(spark, table)
+
+
+@pytest.mark.parametrize("load", [load_transactions, load_batch])
+def test_a_first_load_of_null_ids_alone(spark, raw, table, load):
+    load(raw(*null_ids("09:00:00")), table)
+    load(raw(*null_ids("10:30:00")), table)
+    load(raw((1, "accepted", "10:31:00")), table)
+    assert sorted(held_keys(spark, table), key=str) == [1, None, None]
+
+
+def held_keys(spark, table):
+    return [row[0] for row in table.read(spark).select("transaction_id").collect()]
+
+
+def test_batches_of_several_sources_are_told_apart(spark, raw, table):
+    for name in ("a-0", "b-0", "a-1", "a-1", "b-0"):
+        load_batch(raw(*null_ids("09:00:00")), table, name)
+    assert len(held_keys(spark, table)) == 3
+    marks = [n for n in os.listdir(f"{table.path}/_merged_batches") if not n.startswith(".")]
+    assert sorted(marks) == ["a-1.batch", "b-0.batch"]
+
+
+def test_files_without_ids_are_loaded_once_though_their_batch_is_repeated(
+    spark, raw, table, tmp_path, monkeypatch
+):
+    """The merge is done, but Spark loses its note of it."""
+    folder = str(tmp_path / "files")
+    raw(*FIRST, *null_ids("09:00:00")).write.parquet(folder)
+    load_new_files(spark, folder, table)
+    before = sorted(held_keys(spark, table), key=str)
+    (progress,) = (tmp_path / "warehouse" / "_progress").iterdir()
+    for file in (progress / "commits").iterdir():
+        file.unlink()
+    load_new_files(spark, folder, table)
+    assert sorted(held_keys(spark, table), key=str) == before
+
+
 def test_a_first_load_that_broke_off_is_repeated(spark, raw, table):
     load_transactions(raw(*FIRST[:1]), table)
     os.remove(f"{table.path}/_SUCCESS")  # as if the other files had not been committed

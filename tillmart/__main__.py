@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--tags", nargs="*", default=[], help="staging, marts, facts, ...")
     parser.add_argument("--top-stores-n", type=int, default=10)
     parser.add_argument("--top-products-n", type=int, default=10)
+    parser.add_argument("--publish", metavar="DATABASE", help="catalog database for the tables")
     return parser
 
 
@@ -51,6 +52,8 @@ def main(words: Sequence[str] | None = None) -> None:
         quality.raise_on_error(results)
     else:
         build.build(warehouse, args.raw, args.format)
+    if args.publish:
+        warehouse.publish(args.publish)
 
 
 if __name__ == "__main__":

@@ -16,6 +16,9 @@ from tillmart.sources import tables
 
 log = logging.getLogger(__name__)
 
+#: The folder of a table that holds the marks of merged batches, and how their names end.
+MARKS, MARK = "_merged_batches", ".batch"
+
 
 class SchemaChanged(ValueError):
     """The batch does not have the target's columns."""
@@ -132,44 +135,76 @@ class KeyedTable:
         tables.delete(df.sparkSession, self._staging(df.sparkSession))
         self._write(self._place(df), self.path)
 
-    def merge(self, batch: DataFrame, late_rows: bool = False) -> None:
+    def merge(self, batch: DataFrame, late_rows: bool = False, batch_id: str | None = None) -> None:
         """Replace rows of equal key, add the others. One merge at a time.
 
         With `late_rows`, the batch may hold rows older than the table's: per key its newest row
-        counts, and only where the table has no later one.
+        counts, and only where the table has no later one. A table that does not exist yet is made.
 
         The batch and the rewritten folders are written out before the table is touched:
-        a lost executor costs a task, and `finish_merge` completes a swap that broke off.
+        a lost executor costs a task, and `finish_merge` completes a swap that broke off. With a
+        `batch_id`, of the form `<source>-<number>`, the merge leaves a mark of it in the table, and a
+        batch whose mark is there is passed over: so rows without a key are added just once, too.
         """
         spark = batch.sparkSession
         self.finish_merge(spark)
-        require_same_columns(self.read(spark), batch)
+        if batch_id and self._has_merged(spark, batch_id):
+            return
+        held = self.exists(spark)
+        if held:
+            require_same_columns(self.read(spark), batch)
+        else:
+            tables.delete(spark, self.path)  # what a first load left that broke off
         if late_rows:
             batch = newest_of_each(batch, self.key, self.time)
         arrived_path = f"{self._staging(spark)}/arrived"
-        tables.replace(self._place(batch), arrived_path)
-        arrived = tables.read(spark, arrived_path)
+        self._place(batch).write.mode("overwrite").parquet(arrived_path)
+        arrived = spark.read.parquet(arrived_path)
         # At most one value per folder of the table.
         touched = [row[0] for row in arrived.select(self.folder_column).distinct().collect()]
-        if touched:
+        if held and touched:
             current = self._read_placed(spark).filter(self._is_one_of(touched))
             if late_rows:
                 arrived = not_older(arrived, current, self.key, self.time)
-            self._write(merge_rows(current, arrived, self.key), self._merged(spark))
-            log.info("%s: replacing %d folders", self.name, len(touched))
+            arrived = merge_rows(current, arrived, self.key)
+        log.info("%s: replacing %d folders", self.name, len(touched))
+        self._write(arrived, self._merged(spark))
+        if batch_id:
+            # Before the marker of the whole, by which a broken swap is known and finished.
+            tables.touch(spark, f"{self._staging(spark)}/{batch_id}{MARK}")
+        tables.touch(spark, self._staged(spark))
         self.finish_merge(spark)
 
     def finish_merge(self, spark: SparkSession) -> None:
         """Swap in the folders of a merge, this one's or one that broke off while swapping.
 
-        Doing it again changes nothing. What was staged incompletely is dropped: the table
-        has not been touched then.
+        Each step can be done again and changes nothing then. What was staged incompletely is
+        dropped: the table has not been touched then.
         """
-        if tables.is_complete(spark, self._merged(spark)):
+        if tables.exists(spark, self._staged(spark)):
             # The staged files are of even size already, each of one folder.
-            self._store(tables.read(spark, self._merged(spark)), self.path, "dynamic")
+            merged = self._read_folders(spark, self._merged(spark))
+            self._store(merged, self.path, "dynamic")
+            # Spark leaves this only where it overwrites all of a table.
+            tables.touch(spark, f"{self.path}/_SUCCESS")
+            for name in tables.names(spark, self._staging(spark)):
+                if name.endswith(MARK):
+                    self._mark(spark, name)
+            # First, so that nothing half deleted is ever taken for a whole merge.
+            tables.delete(spark, self._staged(spark))
         tables.delete(spark, self._staging(spark))
 
+    def _has_merged(self, spark: SparkSession, batch_id: str) -> bool:
+        return tables.exists(spark, f"{self.path}/{MARKS}/{batch_id}{MARK}")
+
+    def _mark(self, spark: SparkSession, name: str) -> None:
+        """Note the batch, and forget the ones before of its source: they do not come again."""
+        tables.touch(spark, f"{self.path}/{MARKS}/{name}")
+        source = name.rpartition("-")[0]
+        for old in tables.names(spark, f"{self.path}/{MARKS}"):
+            if old.rpartition("-")[0] == source and old != name:
+                tables.delete(spark, f"{self.path}/{MARKS}/{old}")
+
     def _staging(self, spark: SparkSession) -> str:
         table = hashlib.sha256(self.path.encode()).hexdigest()[:16]
         return tables.scratch_path(spark, self.warehouse, f"{self.name}-{table}")
@@ -177,6 +212,10 @@ class KeyedTable:
     def _merged(self, spark: SparkSession) -> str:
         return f"{self._staging(spark)}/merged"
 
+    def _staged(self, spark: SparkSession) -> str:
+        """There once all of a merge is staged."""
+        return f"{self._staging(spark)}/whole"
+
     def _place(self, df: DataFrame) -> DataFrame:
         """Add the folder of each row, and the date that `high_water` goes by."""
         folder = f"pmod(`{self.key}` div {self.keys_per_range}, {self.folders})"
@@ -185,12 +224,16 @@ class KeyedTable:
         )
 
     def _read_placed(self, spark: SparkSession) -> DataFrame:
+        return self._read_folders(spark, self.path)
+
+    def _read_folders(self, spark: SparkSession, path: str) -> DataFrame:
         try:
-            df = tables.read(spark, self.path)
+            df = spark.read.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             return self._place(spark.createDataFrame([], self.schema))  # written without a row
+        # Folder names alone do not tell the column's type: that of the folder of NULL is none.
         return df.withColumn(self.folder_column, F.col(self.folder_column).cast("bigint"))
 
     def _is_one_of(self, folders: list[int | None]) -> Column:

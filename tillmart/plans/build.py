@@ -48,6 +48,20 @@ class Warehouse:
         for name in [*VIEWS, *MODELS]:
             self.table(name).createOrReplaceTempView(name)
 
+    def publish(self, database: str) -> None:
+        """Have an external table in a catalog's database for each raw table, dimension, fact and report
+        that is written, and point it at the present version.
+
+        The merged table has no versions; it and the views are left to `register`.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        layers = [("raw", name) for name in RAW_SCHEMAS]
+        layers += [(model.layer, name) for name, model in MODELS.items() if model.query]
+        for layer, name in layers:
+            path = tables.table_path(self.path, layer, name)
+            if tables.is_complete(self.spark, path):
+                tables.publish(self.spark, path, f"{database}.{name}")
+
 
 @dataclass(frozen=True)
 class Model:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillmart.operators.upsert import KeyedTable, newer_than, newest_of_each
+from tillmart.operators.upsert import KeyedTable, newer_than
 from tillmart.plans.staging import stg_transactions
 from tillmart.sources.schemas import CREATED_ON, STG_TRANSACTIONS
 
@@ -36,15 +36,11 @@ def load_transactions(raw: DataFrame, table: KeyedTable, full_refresh: bool = Fa
     table.merge(stg_transactions(new))
 
 
-def load_batch(raw: DataFrame, table: KeyedTable) -> None:
+def load_batch(raw: DataFrame, table: KeyedTable, batch_id: str | None = None) -> None:
     """Raw transactions that are not handed in again: none is passed over for being late.
 
     Per id the latest created row counts, within the batch and against the table; a batch that is
-    loaded twice changes nothing. Rows without an id are kept in the first load and added by
-    each later one.
+    loaded twice changes nothing. Rows without an id are all kept; with a `batch_id`, of the form
+    `<source>-<number>`, those of the source's latest batch are not added again.
     """
-    staged = stg_transactions(raw)
-    if table.exists(raw.sparkSession):
-        table.merge(staged, late_rows=True)
-    else:
-        table.replace(newest_of_each(staged, table.key, table.time))
+    table.merge(stg_transactions(raw), late_rows=True, batch_id=batch_id)

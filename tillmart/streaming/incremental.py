@@ -21,8 +21,8 @@ def load_new_files(
 
     Spark remembers the files under `progress`, by default a folder of the warehouse for
     each input folder. All new files form one batch, so their order does not matter. As they
-    are read once only, late rows count too: see `load_batch`, which a batch may also be
-    repeated with after a crash.
+    are read once only, late rows count too: see `load_batch`. A batch that Spark repeats after a
+    crash changes nothing, nor does it add rows without an id again.
     """
 
     hints = RAW_SCHEMAS["transactions"]
@@ -33,11 +33,14 @@ def load_new_files(
             raise
         schema = hints
 
-    def load(batch: DataFrame, _: int) -> None:
-        load_batch(apply_hints(drop_blank_rows(batch), hints), table)
-
     source = hashlib.sha256(folder.encode()).hexdigest()[:16]
     default = tables.table_path(table.warehouse, "_progress", f"{table.name}-{source}")
+
+    def load(batch: DataFrame, number: int) -> None:
+        # Batches are numbered anew where Spark's progress was deleted, under another name then.
+        stream = spark.read.json(f"{progress or default}/metadata").first()["id"]
+        load_batch(apply_hints(drop_blank_rows(batch), hints), table, f"{stream}-{number}")
+
     query = (
         spark.readStream.schema(schema)
         .parquet(folder)
