@@ -145,6 +145,37 @@ def test_each_document_meets_the_next(spark, tmp_path):
         assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
 
 
+@pytest.mark.parametrize("per_range", [50, 700, 10**6])
+def test_ranges_do_not_change_who_is_next(spark, per_range):
+    """Also where ids repeat or are missing, and where a range has one document."""
+    rows = [(i * 7 % 101, f"text number {i} " + "some more words " * (i % 9)) for i in range(101)]
+    rows += [(50, "other"), (50, "other"), (50, "third")] + [(None, f"no id {k}") for k in range(5)]
+    found = fingerprints.with_next(documents(spark, rows), per_range).collect()
+    whole = fingerprints.with_next(documents(spark, rows), 10**9).collect()
+    assert sorted(map(str, found)) == sorted(map(str, whole))
+    assert len(found) == len(rows)
+    prints = {r.text: r.fingerprint for r in found}
+    for r in found:
+        after = [t for t, p in prints.items() if p == r.next_fingerprint and t.startswith(r.head)]
+        assert len(r.head) <= len(r.text) // 2 and after
+        if r.doc_id is not None and r.doc_id not in (49, 50):
+            successor = (r.doc_id + 1) if r.doc_id < 100 else None
+            assert any((successor, t) in rows for t in after)
+
+
+def test_ranges_are_searched_for_as_plainly(spark):
+    keys = spark.range(300).selectExpr(
+        "struct(if(id % 20 = 0, null, id * 37 % 101) as doc_id, id * 13 % 29 as tie) as key"
+    )
+    ordered = [r.key for r in keys.distinct().orderBy("key").collect()]
+    for step in (1, 3, 50, 299):
+        bounds = ordered[::step]
+        found = keys.select("key", fingerprints._part(F.col("key"), bounds).alias("part")).collect()
+        for r in found:
+            before = ordered[: ordered.index(r.key) + 1]
+            assert r.part == sum(b in before for b in bounds) - 1
+
+
 def test_no_documents_have_no_fingerprints(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert queries.op7_fingerprints(spark, str(tmp_path)).count() == 0

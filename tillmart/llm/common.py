@@ -128,6 +128,47 @@ def text_slices(batch, at: int, most: int = 2**21) -> Iterator:
         begin = end
 
 
+class WordTable:
+    """What words are encoded to, each of them encoded once; emptied when it holds `most` words.
+
+    `encode` gives the ids of a list of words in a row and how many each has.
+    """
+
+    def __init__(self, encode, most: int = 2**18):
+        self.encode, self.most = encode, most
+        self.places: dict[str, int] = {}
+        self.flat = self.lengths = np.empty(0, np.int64)
+
+    def joined(self, words: list[str], index: np.ndarray, sizes_at=None) -> tuple:
+        """The ids of `words[i]` for each `i` of `index`, in a row, and how many each has.
+
+        `words` are distinct. At the places `sizes_at` of `index` nothing is taken.
+        """
+        new = [word for word in words if word not in self.places]
+        if len(self.places) + len(new) > self.most:
+            self.places, new = {}, words
+            self.flat = self.lengths = np.empty(0, np.int64)
+        if new:
+            flat, lengths = self.encode(new)
+            first = len(self.places)
+            self.places.update(zip(new, range(first, first + len(new))))
+            self.flat = np.concatenate([self.flat.astype(flat.dtype), flat])
+            self.lengths = np.concatenate([self.lengths, lengths])
+        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))[index]
+        sizes = self.lengths[places]
+        if sizes_at is not None:
+            sizes[sizes_at] = 0
+        begins = (np.cumsum(self.lengths) - self.lengths)[places]
+        return self.flat[ranges(begins, sizes)], sizes
+
+
+def give_back() -> None:
+    """Let the system have what Arrow keeps for later; the worker lives on, the task ends."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All of `start, start + 1, ...` of each length, in a row."""
     before = np.cumsum(lengths) - lengths

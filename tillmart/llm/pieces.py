@@ -10,20 +10,21 @@ no log probabilities; there the score is that of Zipf's law, `-log(rank * (1 + 1
 A space is written as U+2581, and one is put before a text that is not empty. A U+2581 of the text
 itself is written as bytes, so decoding gives back every text exactly. As no piece goes on from
 another character into a U+2581, best paths can be found piecewise between spaces, and each distinct
-word of a batch is encoded once.
+word is encoded once as long as a table of bounded size remembers it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tillmart.llm.common import ranges, text_slices
+from tillmart.llm.common import WordTable, give_back, text_slices
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text where pieces are looked up; no text has half a surrogate pair.
@@ -31,7 +32,7 @@ NO_SPACE = "\ud800"
 #: How much worse a byte is than the last piece.
 BYTE_PENALTY = 10.0
 #: Bytes of text that are encoded together.
-TOGETHER = 2**23
+TOGETHER = 2**20
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -54,6 +55,7 @@ class PieceModel:
                 self.automaton.add_word(piece, (len(piece), i, score))
         self.automaton.make_automaton()
         self.single = {piece for piece, _ in pieces if len(piece) == 1}
+        self.table = WordTable(self.encode_words)
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -116,8 +118,14 @@ class PieceModel:
                 best[at + 1], came[at + 1] = value, (at, -1)
         return at + 1
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(self.viterbi(word), np.int32) for word in words]
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has."""
+        flat, lengths = array("i"), array("q")
+        for word in words:
+            ids = self.viterbi(word)
+            flat.extend(ids)
+            lengths.append(len(ids))
+        return np.frombuffer(flat, np.int32), np.frombuffer(lengths, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and where each begins, with the total at the end."""
@@ -129,31 +137,23 @@ class PieceModel:
             for text in texts
         ]
         if not self.words_apart:
-            words = [[text] if text else [] for text in marked]
-        elif any(SPACE * 2 in text or NO_SPACE in text for text in marked):
+            ids, sizes = self.encode_words(marked)
+            return ids, np.concatenate([[0], np.cumsum(sizes)])
+        if any(SPACE * 2 in text or NO_SPACE in text for text in marked):
             words = [CHUNK.findall(text) for text in marked]
-        else:
-            words = None
-        if words is None:
-            # Each word with its one space; far faster than the general expression.
-            pieces = pc.split_pattern(pa.array(marked, pa.large_string()), SPACE)
-            flat, begins = pieces.flatten().dictionary_encode(), pieces.offsets.to_numpy()
-            index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            distinct = flat.dictionary.to_pylist()
-            tables = self.encode_words([SPACE + word for word in distinct])
-            lengths = np.array([len(x) for x in tables], np.int64)
-            sizes = lengths[index]
-            sizes[begins[:-1]] = 0  # what stands before the first space: nothing
-        else:
             places: dict[str, int] = {}
             order = [places.setdefault(w, len(places)) for ws in words for w in ws]
             begins = np.cumsum([0] + [len(ws) for ws in words])
-            index = np.array(order, np.int64)
-            tables = self.encode_words(list(places))
-            lengths = np.array([len(x) for x in tables], np.int64)
-            sizes = lengths[index]
-        table = np.concatenate(tables) if tables else np.empty(0, np.int32)
-        ids = table[ranges((np.cumsum(lengths) - lengths)[index], sizes)]
+            ids, sizes = self.table.joined(list(places), np.array(order, np.int64))
+        else:
+            # Each word with its one space; far faster than the general expression.
+            split = pc.split_pattern(pa.array(marked, pa.large_string()), SPACE)
+            del marked
+            flat, begins = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+            index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            distinct = [SPACE + word for word in flat.dictionary.to_pylist()]
+            # What stands before a text's first space is nothing.
+            ids, sizes = self.table.joined(distinct, index, begins[:-1])
         return ids, np.concatenate([[0], np.cumsum(sizes)])[begins]
 
     def decode(self, ids) -> str:
@@ -192,6 +192,7 @@ def _mapped(df: DataFrame, column: str, into: str, kind, convert, texts: bool) -
                 else:
                     columns.append(new)
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+                give_back()
 
     return kept.mapInArrow(run, T.StructType(fields))
 
@@ -208,7 +209,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
         ids, starts = model(path).encode([x or "" for x in texts])
         mask = pa.array([x is None for x in texts]) if column.null_count else None
         return pa.ListArray.from_arrays(
-            pa.array(starts.astype(np.int32)), pa.array(ids), mask=mask
+            pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()), mask=mask
         )
 
     return _mapped(docs, text, into, T.ArrayType(T.IntegerType()), convert, texts=True)

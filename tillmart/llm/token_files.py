@@ -28,14 +28,24 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import ranges, scratch_folder, text_slices, written
+from tillmart.llm.common import (
+    WordTable,
+    give_back,
+    ranges,
+    scratch_folder,
+    text_slices,
+    written,
+)
 
 NULL_ID = -(2**63)
 INDEX = "shard long, doc_id long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Bytes of text that are encoded together.
-TOGETHER = 2**23
-NOTHING: list[int] = []
+TOGETHER = 2**22
+#: Chunks that are encoded as one text, and those a worker remembers.
+RUN, REMEMBERED = 2**14, 2**19
+#: How byte-level models write a space.
+BYTE_SPACE = "Ġ"
 
 
 class TokenFiles(NamedTuple):
@@ -50,7 +60,7 @@ def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ChunkEncoder:
-    """Encodes whole texts, each distinct piece between spaces once.
+    """Encodes whole texts, each distinct piece between spaces once as long as a table remembers it.
 
     A byte-level pre-tokenizer never joins what stands before a space to that space, unless the
     space lies within a run of white space. So " word" can be encoded by itself; texts with a space
@@ -70,10 +80,11 @@ class ChunkEncoder:
         self.bound = re.compile(r"\s \s|\s \Z")
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content for token in added if token.content]
-        # How byte-level models write bytes: printable ones as they are, the others from 256 on.
-        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        moved = [byte for byte in range(256) if byte not in set(kept)]
-        self.mapped = {byte: 256 + i for i, byte in enumerate(moved)}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.after_space = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, i in vocabulary.items():
+            self.after_space[i] = token[:1] == BYTE_SPACE
+        self.table = WordTable(self._encode_chunks, REMEMBERED)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
@@ -81,22 +92,26 @@ class ChunkEncoder:
         return _joined(ids)
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Chunks of letters alone are one pre-token, which the model takes as it is."""
-        tokenize, mapped = self.tokenizer.model.tokenize, self.mapped
-        found: list[list[int]] = []
-        others, at = [], []
-        for i, chunk in enumerate(chunks):
-            if chunk.lstrip(" ").isalpha() and chunk.find(" ", 1) < 0:
-                written = chunk.encode().decode("latin-1").translate(mapped)
-                found.append([token.id for token in tokenize(written)])
-            else:
-                found.append(NOTHING)
-                others.append(chunk)
-                at.append(i)
-        rest = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        for i, x in zip(at, rest):
-            found[i] = x.ids
-        return _joined(found)
+        """The ids of chunks that may stand behind each other as they stand before a space in texts.
+
+        Those that begin with a space are encoded as one text. As there is no space within them, a
+        token that begins with a space begins a chunk.
+        """
+        spaced = [chunk[:1] == " " for chunk in chunks]
+        together = [chunk for chunk, is_spaced in zip(chunks, spaced) if is_spaced]
+        runs = ["".join(together[a : a + RUN]) for a in range(0, len(together), RUN)]
+        flat, _ = self._encode(runs)
+        begins = np.flatnonzero(self.after_space[flat])
+        sizes = np.diff(np.append(begins, len(flat)))
+        if len(together) == len(chunks):
+            return flat, sizes
+        apart, apart_sizes = self._encode([c for c, is_spaced in zip(chunks, spaced) if not is_spaced])
+        order = np.argsort(~np.array(spaced, bool), kind="stable")  # where each of both comes from
+        place = np.empty(len(chunks), np.int64)
+        place[order] = np.arange(len(chunks))
+        all_sizes = np.concatenate([sizes, apart_sizes])
+        starts = np.cumsum(all_sizes) - all_sizes
+        return np.concatenate([flat, apart])[ranges(starts[place], all_sizes[place])], all_sizes[place]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, `end_id` after each, and where each text's ids begin."""
@@ -120,9 +135,7 @@ class ChunkEncoder:
         firsts, first_index = np.unique(index[begins[:-1]], return_inverse=True)
         index[begins[:-1]] = first_index + len(distinct)
         chunks = [" " + piece for piece in distinct] + [distinct[i] for i in firsts.tolist()]
-        flat, lengths = self._encode_chunks(chunks)
-        sizes = lengths[index]
-        body = flat[ranges((np.cumsum(lengths) - lengths)[index], sizes)]
+        body, sizes = self.table.joined(chunks, index)
         ends = np.concatenate([[0], np.cumsum(sizes)])[begins]
         if whole:
             apart, apart_sizes = self._encode([texts[i] for i in whole])
@@ -187,6 +200,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, bits: int, text: str, plai
                     ],
                     ["shard", "doc_id", "n_tokens"],
                 )
+                give_back()
         if files:
             files["offsets"].write(np.array([total], "<u8").tobytes())
         for x, file in files.items():
@@ -274,5 +288,7 @@ def _reader(folder: str, bits: int):
 
 def read_token_files(files: TokenFiles) -> DataFrame:
     """Per document: its id, place, length and the checksum of its ids as 32-bit integers."""
-    shards = files.manifest.select("shard", "base").repartition("shard")
+    shards = files.manifest.select("shard", "base")
+    # With their number, as adaptive execution would join so few small rows in one task.
+    shards = shards.repartitionByRange(max(1, shards.count()), "shard")
     return shards.mapInPandas(_reader(files.folder, files.bits), READ)
