@@ -9,7 +9,8 @@ are counted:
   that puts frequent n-grams last. How far down the shared n-gram stands also bounds the overlap.
 * Before sets are fetched, pairs are held against parity sketches: a bit for each range of hashes
   that says whether an odd number of n-grams falls there. Two sets differ in at least as many
-  n-grams as their sketches do in bits, so pairs with too many different bits are left out.
+  n-grams as their sketches do in bits, so pairs with too many different bits are left out. Short
+  sketches of one length stand beside the n-grams themselves, so that such pairs are not even made.
 * The nodes that share a prefix n-gram are not all paired. First each is paired with one of them,
   the one with the fewest rare n-grams of its own. Only where a prefix n-gram then still joins nodes
   that are not connected yet are those paired too, across components. So a large group of near
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import shingle_hashes, text_slices, written
+from tillmart.llm.common import give_back, shingle_hashes, text_slices, written
 
 FRAGMENT_BITS = 4
 #: Frequent n-grams that are ordered by frequency: those seen in at least `LEAST` documents of a
@@ -34,13 +35,16 @@ FRAGMENT_BITS = 4
 LEAST, MOST = 4, 2**19
 #: N-grams that are counted at a time.
 COUNTED = 2**21
-SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long>"
+SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long>, short array<long>"
+#: 64-bit words of the sketch that pairs are held against while they are made.
+SHORT = 8
 SEGMENTS = "digest binary, fragment int, grams array<long>"
 
 
 def _texts(batches, at: int = 0) -> Iterator:
     for batch in batches:
-        yield from text_slices(batch, at, 2**22)
+        yield from text_slices(batch, at, 2**21)
+        give_back()
 
 
 def frequent_grams(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +99,8 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
             if len(known):
                 at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
                 rank = np.where(known[at] == grams, ranks[at], 0)
-            digests, prefixes, parities, sizes = [], [], [], np.diff(starts)
+            digests, prefixes, parities, shorts = [], [], [], []
+            sizes = np.diff(starts)
             for a, b in zip(starts.tolist(), starts[1:].tolist()):
                 digests.append(xxhash.xxh3_128_digest(grams[a:b].tobytes()))
                 own = rank[a:b]
@@ -103,6 +108,7 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
                 order = np.argsort(own, kind="stable") if own.any() else slice(None)
                 prefixes.append(grams[a:b][order][: prefix_size(b - a, percent) if b > a else 0])
                 parities.append(parity(grams[a:b]))
+                shorts.append(parity(grams[a:b], 64 * SHORT))
 
             def lists(arrays):
                 cuts = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
@@ -116,16 +122,18 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
                     pa.array(digests, pa.binary()),
                     lists(prefixes),
                     lists(parities),
+                    lists(shorts),
                 ],
-                ["doc_id", "n", "digest", "prefix", "parity"],
+                ["doc_id", "n", "digest", "prefix", "parity", "short"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(build, SETS)
 
 
-def parity(grams: np.ndarray) -> np.ndarray:
-    """A set's parity sketch, in 64-bit words: the next power of two of at least a bit a gram."""
-    bits = max(64, 1 << (len(grams) - 1).bit_length()) if len(grams) else 64
+def parity(grams: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """A set's parity sketch, in 64-bit words: of so many bits, a power of two; by default the next of at
+    least a bit a gram."""
+    bits = bits or (max(64, 1 << (len(grams) - 1).bit_length()) if len(grams) else 64)
     odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -197,6 +205,16 @@ def _possible(percent: int, a: dict[str, Column], b: dict[str, Column]) -> Colum
     )
 
 
+def _short_sketches_allow(percent: int, a: str, b: str) -> Column:
+    """Whether the short sketches of two sides of a join differ in few enough bits."""
+    different = sum(
+        F.bit_count(F.get(f"{a}.short", F.lit(i)).bitwiseXOR(F.get(f"{b}.short", F.lit(i))))
+        for i in range(SHORT)
+    )
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return different * (100 + percent) <= both * (100 - percent)
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches leave it open that they are similar enough."""
     right = nodes.select(F.col("node").alias("b"), F.col("parity").alias("right"))
@@ -298,6 +316,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
             F.min("doc_id").alias("first"),
             F.any_value("prefix").alias("prefix"),
             F.any_value("parity").alias("parity"),
+            F.any_value("short").alias("short"),
         )
     )
     # Numbers are given once, as the table is written.
@@ -330,13 +349,15 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     mixed = tagged.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = mixed.filter("low < high").select("gram")
     left = written(tagged.join(mixed, "gram", "semi"), "unconnected")
+    left = left.join(nodes.select("node", "short"), "node")
     x, y = left.alias("x"), left.alias("y")
     sides = [{"n": F.col(f"{s}.n"), "pos": F.col(f"{s}.pos")} for s in "xy"]
     across = x.join(
         y,
         (F.col("x.gram") == F.col("y.gram"))
         & (F.col("x.label") < F.col("y.label"))
-        & _possible(percent, *sides),
+        & _possible(percent, *sides)
+        & _short_sketches_allow(percent, "x", "y"),
     ).select(
         F.col("x.node").alias("a"),
         F.col("y.node").alias("b"),

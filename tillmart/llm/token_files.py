@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import (
-    WordTable,
     give_back,
     ranges,
     scratch_folder,
@@ -41,9 +40,9 @@ NULL_ID = -(2**63)
 INDEX = "shard long, doc_id long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Bytes of text that are encoded together.
-TOGETHER = 2**22
-#: Chunks that are encoded as one text, and those a worker remembers.
-RUN, REMEMBERED = 2**14, 2**19
+TOGETHER = 2**23
+#: Chunks that are encoded as one text.
+RUN = 2**10
 #: How byte-level models write a space.
 BYTE_SPACE = "Ġ"
 
@@ -60,7 +59,7 @@ def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ChunkEncoder:
-    """Encodes whole texts, each distinct piece between spaces once as long as a table remembers it.
+    """Encodes whole texts, each distinct piece between spaces once.
 
     A byte-level pre-tokenizer never joins what stands before a space to that space, unless the
     space lies within a run of white space. So " word" can be encoded by itself; texts with a space
@@ -84,7 +83,6 @@ class ChunkEncoder:
         self.after_space = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         for token, i in vocabulary.items():
             self.after_space[i] = token[:1] == BYTE_SPACE
-        self.table = WordTable(self._encode_chunks, REMEMBERED)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
@@ -135,7 +133,9 @@ class ChunkEncoder:
         firsts, first_index = np.unique(index[begins[:-1]], return_inverse=True)
         index[begins[:-1]] = first_index + len(distinct)
         chunks = [" " + piece for piece in distinct] + [distinct[i] for i in firsts.tolist()]
-        body, sizes = self.table.joined(chunks, index)
+        flat, lengths = self._encode_chunks(chunks)
+        sizes = lengths[index]
+        body = flat[ranges((np.cumsum(lengths) - lengths)[index], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[begins]
         if whole:
             apart, apart_sizes = self._encode([texts[i] for i in whole])
