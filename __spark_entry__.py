@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.operators import checks
+from tillmart.operators.positions import with_positions
 from tillmart.operators.upsert import high_water, merge_rows, newer_than
 from tillmart.oracles import MAYBE_NULL, ORACLES
 from tillmart.plans import analysis, build, incremental, marts, quality, staging
@@ -234,6 +235,17 @@ def _ingest_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _positions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Reports and the fact with each row's place in their order."""
+    models, folder = Models(spark, sf_dir), _folder(spark, sf_dir, f"positions-{name}")
+    if name == "products":
+        best = analysis.top_products(models.fact_transactions)
+        best = best.select("store_id", "product_sku", "rank")
+        return with_positions(best, [F.asc("rank")], folder)
+    fact = models.fact_transactions.select("transaction_id", "store_id", "amount_eur", "transaction_at")
+    return with_positions(fact, [F.desc("amount_eur"), F.asc("transaction_at")], folder)
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
@@ -288,6 +300,8 @@ ON_FILES: dict[str, Query] = {
     "ingest_csv_stores": _from_csv("stores"),
     "ingest_csv_transactions": _from_csv("transactions"),
     "ingest_inferred": _ingest_inferred,
+    "top_10_products_positions": lambda spark, sf: _positions(spark, sf, "products"),
+    "fact_positions": lambda spark, sf: _positions(spark, sf, "fact"),
     "build_check_results": lambda spark, sf: tables.read(
         spark, tables.table_path(built(spark, sf).path, "quality", "check_results")
     ),

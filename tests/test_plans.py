@@ -110,6 +110,15 @@ def test_unique_keys_spare_the_distinct_transactions(warehouse):
     unchecked = initial_plan(report(warehouse, "device_efficiency"))
     assert "transaction_id" not in checked
     assert "transaction_id" in unchecked
+    moved = [line for line in unchecked.splitlines() if "Exchange" in line]
+    assert moved and not any("transaction_id" in line for line in moved)
+
+
+def test_ids_that_are_no_numbers_are_counted_too(warehouse):
+    fact, devices = warehouse.table("fact_transactions"), warehouse.table("dim_devices")
+    texts = fact.withColumn("transaction_id", fact["transaction_id"].cast("string"))
+    found = [analysis.device_efficiency(f, devices).collect() for f in (fact, texts)]
+    assert found[0] == found[1]
 
 
 def test_outer_join_of_adoption_needs_no_nulls(spark):

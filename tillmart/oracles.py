@@ -391,6 +391,16 @@ ORACLES["ingest_inferred"] = _sql(
         'string' as code_type
     from seller"""
 )
+ORACLES["top_10_products_positions"] = f"""select store_id, product_sku, "rank",
+    row_number() over (order by "rank", store_id nulls first, product_sku) as position
+from ({ORACLES["top_10_products"]})"""
+ORACLES["fact_positions"] = _sql(
+    """select transaction_id, store_id, cast(amount_eur as double) as amount_eur, transaction_at,
+        row_number() over (
+            order by amount_eur desc nulls last, transaction_at nulls first, transaction_id
+        ) as position
+    from sale"""
+)
 # Of the rows sent again, only those dated a day later count.
 ORACLES["file_fed_load"] = _sql(
     f"""select {PAYMENT} from (
@@ -411,6 +421,8 @@ MAYBE_NULL = {
     "top_10_stores": ["store_id"],
     "top_5_stores": ["store_id"],
     "top_10_products": ["store_id"],
+    "top_10_products_positions": ["store_id"],
+    "fact_positions": ["store_id"],
     "top_5_products": ["store_id"],
     "percentage_transactions_by_device": ["device_type"],
     "device_efficiency": ["device_type"],

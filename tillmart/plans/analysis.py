@@ -2,16 +2,18 @@
 
 Each one aggregates the fact by its own keys first and joins a dimension to the far
 smaller result, so a hot store or device shrinks to one row per task before anything
-moves. The one exception is the count of distinct transactions per device type, where
-ids are not known to be unique.
+moves. The count of distinct transactions per device type moves bitmaps of ids where ids are
+not known to be unique, and the ids themselves only where they are no whole numbers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmart.functions import calendar_days, completed, count_ratio, elapsed_days, money_ratio
+from tillmart.operators.bitmaps import distinct_counts
 from tillmart.operators.ranking import dense_top_n
 
 FIRST_DAYS = 90
@@ -141,6 +143,30 @@ def time_to_fifth_transaction(fact: DataFrame, dim_stores: DataFrame) -> DataFra
     )
 
 
+def _distinct_transactions(typed: DataFrame) -> DataFrame:
+    """Distinct ids, and distinct ids with a success, per type: by bitmaps if ids are whole numbers.
+    Otherwise equal ids are brought together by (type, id), carrying nothing but a flag."""
+    if isinstance(typed.schema["transaction_id"].dataType, T.IntegralType):
+        return distinct_counts(
+            typed,
+            ["counted_type"],
+            "transaction_id",
+            total_transactions=F.lit(True),
+            successful_transactions=F.col("success"),
+        )
+    return (
+        typed.groupBy("counted_type", "transaction_id")
+        .agg(F.max("success").alias("success"))
+        .groupBy("counted_type")
+        .agg(
+            F.count("transaction_id").alias("total_transactions"),
+            F.count(F.when(F.col("success"), F.col("transaction_id"))).alias(
+                "successful_transactions"
+            ),
+        )
+    )
+
+
 def device_efficiency(
     fact: DataFrame, dim_devices: DataFrame, unique_keys: bool = False
 ) -> DataFrame:
@@ -148,8 +174,8 @@ def device_efficiency(
 
     Everything but the transaction counts comes from one row per device, store and task.
     Pass `unique_keys` where the uniqueness checks on the fact and the device dimension
-    have passed: the transaction counts then come from there as well. Otherwise equal
-    transaction ids are brought together by (type, id), carrying nothing but a flag.
+    have passed: the transaction counts then come from there as well. Otherwise they are those
+    of distinct ids, see `_distinct_transactions`.
     """
     types = dim_devices.select("device_id", "device_type")
     per_type = (
@@ -172,21 +198,14 @@ def device_efficiency(
         )
     )
     if not unique_keys:
-        counted = (
-            fact.select("device_id", "transaction_id", completed().alias("success"))
-            .join(types, "device_id", "left")
-            .groupBy(F.col("device_type").alias("counted_type"), "transaction_id")
-            .agg(F.max("success").alias("success"))
-            .groupBy("counted_type")
-            .agg(
-                F.count("transaction_id").alias("total_transactions"),
-                F.count(F.when(F.col("success"), F.col("transaction_id"))).alias(
-                    "successful_transactions"
-                ),
-            )
+        typed = fact.select("device_id", "transaction_id", completed().alias("success")).join(
+            types, "device_id", "left"
         )
-        per_type = per_type.drop("total_transactions", "successful_transactions").join(
-            counted, F.col("device_type").eqNullSafe(F.col("counted_type"))
+        counted = _distinct_transactions(typed.withColumnRenamed("device_type", "counted_type"))
+        per_type = (
+            per_type.drop("total_transactions", "successful_transactions")
+            .join(counted, F.col("device_type").eqNullSafe(F.col("counted_type")), "left")
+            .fillna(0, ["total_transactions", "successful_transactions"])
         )
 
     transactions, devices = F.col("total_transactions"), F.col("unique_devices")
