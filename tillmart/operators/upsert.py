@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 
 #: The folder of a table that holds the marks of merged batches, and how their names end.
 MARKS, MARK = "_merged_batches", ".batch"
+#: How Spark names the folder of NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class SchemaChanged(ValueError):
@@ -128,6 +130,21 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._read_placed(spark).drop(self.folder_column, self.day_column)
 
+    def read_folders(self, spark: SparkSession, folders: list[int | None]) -> DataFrame:
+        """The rows of some folders, with the folder of each; the other folders are not read."""
+        placed = self._read_placed(spark).filter(self._is_one_of(folders))
+        return placed.drop(self.day_column)
+
+    def files(self, spark: SparkSession) -> dict[int | None, list[str]]:
+        """The names of the files in each folder; a merge that rewrites a folder gives it new ones."""
+        found: dict[int | None, list[str]] = {}
+        for name in tables.names(spark, self.path):
+            column, _, value = name.partition("=")
+            if column == self.folder_column:
+                folder = None if value == NO_VALUE else int(value)
+                found[folder] = sorted(tables.names(spark, f"{self.path}/{name}"))
+        return found
+
     def high_water(self, spark: SparkSession) -> datetime | None:
         return high_water(self._read_placed(spark), self.time, self.day_column)
 

@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.plans import analysis, marts, quality, staging
+from tillmart.plans.folder_checks import run_folder_checks, served
 from tillmart.plans.incremental import load_transactions, transactions_table
 from tillmart.sources import tables
 from tillmart.sources.raw import ingest
@@ -186,12 +187,22 @@ def _write(warehouse: Warehouse, name: str) -> None:
 
 
 def check(warehouse: Warehouse) -> DataFrame:
-    """Run every check on the written tables; returns the results, one row per check."""
+    """Run every check on the written tables; returns the results, one row per check.
+
+    Of the merged table, only folders that changed since the last run are read for its own checks.
+    """
+    spark, merged = warehouse.spark, transactions_table(warehouse.path)
     checked = {name: warehouse.table(name) for name in quality.NOT_NULL}
+    by_folder = [c for c in quality.CHECKS if served(merged, c)]
+    others = [c for c in quality.CHECKS if c not in by_folder]
+    counts_path = tables.table_path(warehouse.path, "quality", "counts_by_folder")
+    results = run_folder_checks(spark, merged, by_folder, counts_path).unionByName(
+        quality.run_checks(checked, others)
+    )
     # Written once, so that looking at the results does not run the checks again.
     results_path = tables.table_path(warehouse.path, "quality", "check_results")
-    tables.replace(quality.run_checks(checked).coalesce(1), results_path)
-    return tables.read(warehouse.spark, results_path)
+    tables.replace(results.coalesce(1), results_path)
+    return tables.read(spark, results_path)
 
 
 def refresh(warehouse: Warehouse, stop_on_error: bool = True) -> DataFrame:

@@ -90,7 +90,8 @@ class ChecksFailed(RuntimeError):
     """At least one check of severity error found failing rows."""
 
 
-def _violation(check: Check, now: Column) -> Column:
+def violation(check: Check, now: Column) -> Column:
+    """Whether a row fails a check that looks at single rows."""
     if check.kind == "in_the_future":
         return F.col(check.column) > now
     if check.kind == "not_null":
@@ -113,7 +114,7 @@ def _result(check: Check, failures: Column) -> Column:
 def _row_checks(df: DataFrame, row_checks: list[Check], now: Column) -> DataFrame:
     """All checks that look at single rows, in one pass over the table."""
     counts = df.agg(
-        *[F.count_if(_violation(check, now)).alias(f"n{i}") for i, check in enumerate(row_checks)]
+        *[F.count_if(violation(check, now)).alias(f"n{i}") for i, check in enumerate(row_checks)]
     )
     return _results(counts, row_checks)
 
