@@ -34,6 +34,18 @@ def test_chunks_give_the_ids_of_whole_texts():
         assert ids[starts[i] : starts[i + 1]].tolist() == [*encode(text), 0], repr(text)
 
 
+def test_chunks_that_stand_together_in_a_run_stay_apart():
+    """Pieces that end or begin with white space, or are empty, behind each other in any order."""
+    encode, encoder = whole_encoder(), token_files.ChunkEncoder(BPE)
+    for seed in range(200):
+        rng = random.Random(seed)
+        pieces_ = ["", "a", "\n", "b\n", "\nc", "\u00a0d", "e\t", "'s", "1", "\x1c", ".", "\u3000"]
+        texts = [" ".join(rng.choices(pieces_, k=rng.randint(1, 5))) for _ in range(rng.randint(1, 30))]
+        ids, starts = encoder.encode(texts, 0)
+        for i, text in enumerate(texts):
+            assert ids[starts[i] : starts[i + 1]].tolist() == [*encode(text), 0], repr(text)
+
+
 def test_the_query_gives_the_ids_of_the_library_call(spark, tmp_path):
     from tokenizers import Tokenizer
 

@@ -89,27 +89,34 @@ class ChunkEncoder:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return _joined(ids)
 
-    def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks that may stand behind each other as they stand before a space in texts.
+    def _encode_chunks(self, behind: list[str], first: list[str]) -> tuple:
+        """The ids of pieces that stand behind a space, with it, and of pieces that begin a text: ids in a
+        row, and for each piece where its ids begin there and how many they are.
 
-        Those that begin with a space are encoded as one text. As there is no space within them, a
-        token that begins with a space begins a chunk.
+        Pieces behind a space are encoded as runs of text; a token that begins with a space begins
+        one. Those that are empty or begin with white space, which a run might join to what stands
+        before them, are encoded apart.
         """
-        spaced = [chunk[:1] == " " for chunk in chunks]
-        together = [chunk for chunk, is_spaced in zip(chunks, spaced) if is_spaced]
-        runs = ["".join(together[a : a + RUN]) for a in range(0, len(together), RUN)]
+        odd = [i for i, piece in enumerate(behind) if not piece or piece[0].isspace()]
+        plain = behind
+        if odd:
+            plain = list(behind)
+            for i in odd:
+                plain[i] = "."
+        runs = [" " + " ".join(plain[a : a + RUN]) for a in range(0, len(plain), RUN)]
         flat, _ = self._encode(runs)
         begins = np.flatnonzero(self.after_space[flat])
+        if len(begins) != len(behind):
+            raise RuntimeError("this tokenizer joins words or drops the space before them")
         sizes = np.diff(np.append(begins, len(flat)))
-        if len(together) == len(chunks):
-            return flat, sizes
-        apart, apart_sizes = self._encode([c for c, is_spaced in zip(chunks, spaced) if not is_spaced])
-        order = np.argsort(~np.array(spaced, bool), kind="stable")  # where each of both comes from
-        place = np.empty(len(chunks), np.int64)
-        place[order] = np.arange(len(chunks))
-        all_sizes = np.concatenate([sizes, apart_sizes])
-        starts = np.cumsum(all_sizes) - all_sizes
-        return np.concatenate([flat, apart])[ranges(starts[place], all_sizes[place])], all_sizes[place]
+        apart, apart_sizes = self._encode([" " + behind[i] for i in odd] + first)
+        apart_begins = len(flat) + np.cumsum(apart_sizes) - apart_sizes
+        begins[odd], sizes[odd] = apart_begins[: len(odd)], apart_sizes[: len(odd)]
+        return (
+            np.concatenate([flat, apart]),
+            np.concatenate([begins, apart_begins[len(odd) :]]),
+            np.concatenate([sizes, apart_sizes[len(odd) :]]),
+        )
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, `end_id` after each, and where each text's ids begin."""
@@ -132,10 +139,10 @@ class ChunkEncoder:
         distinct = encoded.dictionary.to_pylist()
         firsts, first_index = np.unique(index[begins[:-1]], return_inverse=True)
         index[begins[:-1]] = first_index + len(distinct)
-        chunks = [" " + piece for piece in distinct] + [distinct[i] for i in firsts.tolist()]
-        flat, lengths = self._encode_chunks(chunks)
+        first = [distinct[i] for i in firsts.tolist()]
+        flat, places, lengths = self._encode_chunks(distinct, first)
         sizes = lengths[index]
-        body = flat[ranges((np.cumsum(lengths) - lengths)[index], sizes)]
+        body = flat[ranges(places[index], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[begins]
         if whole:
             apart, apart_sizes = self._encode([texts[i] for i in whole])
