@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from helpers import ASCII_LOWER, AWKWARD, LONG, documents
 
@@ -375,3 +378,127 @@ def test_out_of_place_distance(spark):
         (distance, lang), most = plain_distance(model, text)
         found, score = lang_id._classify(model, codes[starts[0] : starts[1]])
         assert found == lang and score == pytest.approx(1 - distance / most)
+
+
+def plain_detections(words, ordered):
+    """(label, start, end, priority) by `re`, and every pair of them compared."""
+    hits = sorted(
+        (m.start(), -m.end(), rule.priority, i, rule.label)
+        for i, rule in enumerate(ordered)
+        if rule.keyword in words
+        for m in re.finditer(rule.pattern, words)
+    )
+    return [
+        (label, start, -until, priority)
+        for k, (start, until, priority, _, label) in enumerate(hits)
+        if not any(p <= priority and -u >= -until for _, u, p, _, _ in hits[:k])
+    ]
+
+
+def test_detections_are_those_of_plain_rules(spark):
+    rng, ordered = random.Random(11), licenses.rules()
+    parts = (
+        "mit license, general public license, gnu lesser, version 2, version 3, 2.0, or later, apache,"
+        " apache license, bsd 3-clause license, creative commons, cc by sa 4.0, licensed under the,"
+        " released under, mozilla public license, spdx-license-identifier:, gpl v3, any word, mit"
+    ).split(",")
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(300)]
+    texts += ["MIT License. " * 40 + "GNU General Public License, version 3 or later; " * 25, "", None]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    df = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string"))
+    words = df.select("doc_id", "detections", licenses.normal_words("text").alias("words"))
+    found = 0
+    for row in words.collect():
+        expected = plain_detections(row.words, ordered)
+        assert [tuple(hit) for hit in row.detections] == expected, row.words
+        found += len(expected)
+    assert found > 3000
+
+
+def test_a_megabyte_of_license_names_takes_seconds(spark):
+    text = "mit license " * 85_000
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    begun = time.monotonic()
+    (row,) = licenses.scan(df).collect()
+    assert (row.n_base, len(row.detections)) == (85_000, 85_000)
+    assert time.monotonic() - begun < 60
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" + "<b>" * 90_000 + "</i>x" * 90_000,
+        "<i><div>" + "<b>" * 90_000 + "</i>" * 90_000 + "x",
+        "<div>" + "<b>" * 90_000 + "<hr>" * 90_000 + "x",
+        "<div>" * 60_000 + "x" + "</p>" * 60_000,
+        "<p>x" * 120_000,
+    ],
+)
+def test_a_megabyte_of_unclosed_elements_takes_seconds(page):
+    begun = time.monotonic()
+    assert "x" in html_text.main_text(page)
+    assert time.monotonic() - begun < 20
+
+
+class StackWalker(html_text.LineParser):
+    """Looks for what a tag closes by walking over all open elements."""
+
+    def _shut(self, place):
+        html_text.LineParser._close(self, place)
+
+    def _close_implied(self, tag):
+        for place in range(len(self.open) - 1, 0, -1):
+            inner = self.open[place].tag
+            if tag in html_text.CLOSED_BY.get(inner, ()):
+                return self._shut(place)
+            if inner in html_text.BLOCKS or inner in html_text.SKIPPED:
+                return None
+
+    def handle_endtag(self, tag):
+        blocks, skipped = html_text.BLOCKS, html_text.SKIPPED
+        for place in range(len(self.open) - 1, 0, -1):
+            if self.open[place].tag == tag:
+                if any(x.tag in blocks or x.tag in skipped for x in self.open[place:]):
+                    self._cut()
+                return self._shut(place)
+            if tag not in blocks and tag not in skipped and self.open[place].tag in blocks:
+                return None
+
+
+def test_open_elements_are_found_as_by_walking_the_stack():
+    rng = random.Random(4)
+    tags = "div p b i li ul td tr table main article aside script hr br span dd dt h1".split()
+    for _ in range(3000):
+        bits = [
+            rng.choice(["<{}>", "<{}>", "</{}>", "x{} "]).format(rng.choice(tags))
+            for _ in range(rng.randint(1, 30))
+        ]
+        page = "".join(bits)
+        parsers = [html_text.LineParser(), StackWalker()]
+        for parser in parsers:
+            parser.feed(page)
+        assert parsers[0].finish() == parsers[1].finish(), page
+
+
+def test_smoothing_and_clusters_against_plain_sums():
+    rng = random.Random(6)
+    for _ in range(200):
+        lines = [
+            html_text.Line("x" * rng.randint(1, 200), rng.randint(1, 9), rng.randint(0, 3), True, False, 0)
+            for _ in range(rng.randint(1, 12))
+        ]
+        radius, share = rng.randint(0, 3), rng.random()
+        ratios = [len(line.text) / line.tags for line in lines]
+        sigma = max(radius / 2, 0.5)
+        smooth = []
+        for i in range(len(ratios)):
+            near = [j for j in range(len(ratios)) if abs(i - j) <= radius]
+            weights = [math.exp(-((i - j) ** 2) / (2 * sigma**2)) for j in near]
+            smooth.append(sum(w * ratios[j] for w, j in zip(weights, near)) / sum(weights))
+        assert html_text.smoothed(np.array(ratios), radius) == pytest.approx(smooth)
+        mean = sum(smooth) / len(smooth)
+        deviation = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
+        threshold = min(share * deviation, max(smooth))
+        dense = html_text._dense(lines, radius, share).tolist()
+        for is_dense, value in zip(dense, smooth):
+            assert is_dense == (value >= threshold) or value == pytest.approx(threshold)

@@ -100,6 +100,10 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[_Open] = [_Open("", 0, True, False, 0)]
+        # Where each tag's open elements stand there; and all blocks, and all that cut lines.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.cutting: list[int] = []
         self.hints: list[Hint] = [Hint(0, False)]
         self.mains: set[int] = set()  # the innermost hints around a main element
         self.parts: list[str] = []
@@ -140,28 +144,44 @@ class LineParser(HTMLParser):
         if tag in REGIONS and content and not comment or not named and tag in ("div", "section", "td", "body"):
             self.regions += 1
             region, named = self.regions, named or tag in REGIONS
+        place = len(self.open)
         self.open.append(_Open(tag, region, content, named, hint))
+        self.places.setdefault(tag, []).append(place)
+        for listed in self._lists(tag):
+            listed.append(place)
+
+    def _lists(self, tag: str) -> Iterator[list[int]]:
+        """Those of the lists of places that have elements of this tag."""
+        if tag in BLOCKS:
+            yield self.blocks
+        if tag in BLOCKS or tag in SKIPPED:
+            yield self.cutting
+
+    def _close(self, place: int) -> None:
+        """Close the open element at this place and all in it."""
+        while len(self.open) > place:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            for listed in self._lists(tag):
+                listed.pop()
 
     def _close_implied(self, tag: str) -> None:
         """Close a paragraph or item that a new block ends, with what is inline in it."""
-        for i in range(len(self.open) - 1, 0, -1):
-            inner = self.open[i].tag
-            if tag in CLOSED_BY.get(inner, ()):
-                del self.open[i:]
-                return
-            if inner in BLOCKS or inner in SKIPPED:
-                return
+        if self.cutting and tag in CLOSED_BY.get(self.open[self.cutting[-1]].tag, ()):
+            self._close(self.cutting[-1])
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                if any(x.tag in BLOCKS or x.tag in SKIPPED for x in self.open[i:]):
-                    self._cut()
-                del self.open[i:]
-                return
-            # A stray end tag of an inline element ends no block.
-            if tag not in BLOCKS and tag not in SKIPPED and self.open[i].tag in BLOCKS:
-                return
+        places = self.places.get(tag)
+        if not places:
+            return
+        place = places[-1]
+        # A stray end tag of an inline element ends no block.
+        inline = tag not in BLOCKS and tag not in SKIPPED
+        if inline and self.blocks and self.blocks[-1] > place:
+            return
+        if self.cutting and self.cutting[-1] >= place:
+            self._cut()
+        self._close(place)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].content:

@@ -183,6 +183,45 @@ def _words_before(words: Column, at: Column) -> Column:
     )
 
 
+def _let(value: Column, use) -> Column:
+    """`use(value)` with `value` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(items: Column, zero: Column, add, merge, out, kind: str) -> Column:
+    """For each of `items` what `out` makes of it and of the fold of all before it.
+
+    `add` takes a fold and an item, `merge` two folds. An array that grows is copied at each step, so the
+    items are cut into about as many parts as each part has items: each part's fold is taken first,
+    then that of all parts before, and arrays grow only within a part.
+    """
+
+    def by_part(own: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(own))).cast("int")
+        starts = F.sequence(F.lit(1), F.size(own), step)
+        parts = F.transform(starts, lambda start: F.slice(own, start, step))
+        folds = F.transform(parts, lambda part: F.aggregate(part, zero, add))
+
+        def inside(all_parts: Column, all_folds: Column) -> Column:
+            def one(part: Column, i: Column) -> Column:
+                before = F.aggregate(F.slice(all_folds, F.lit(1), i), zero, merge)
+                begin = F.struct(before.alias("fold"), F.array().cast(kind).alias("made"))
+
+                def go_on(state: Column, item: Column) -> Column:
+                    made = F.concat(state["made"], F.array(out(state["fold"], item)))
+                    return F.struct(add(state["fold"], item).alias("fold"), made.alias("made"))
+
+                return F.aggregate(part, begin, go_on, lambda state: state["made"])
+
+            return F.flatten(F.transform(all_parts, one))
+
+        return _let(parts, lambda p: _let(folds, lambda f: inside(p, f)))
+
+    return _let(
+        items, lambda own: F.when(F.size(own) > 0, by_part(own)).otherwise(F.array().cast(kind))
+    )
+
+
 def _matches(words: Column, pattern: Column) -> Column:
     """(start, end) of every match, 0-based and exclusive, from the pieces between the matches."""
     pieces = F.split(words, pattern, -1)
@@ -194,17 +233,19 @@ def _matches(words: Column, pattern: Column) -> Column:
             F.char_length(piece).alias("gap"), F.char_length(match).alias("size")
         ),
     )
-    none = F.array().cast("array<struct<start:int,end:int>>")
-
-    def add(state: Column, size: Column) -> Column:
-        start = state["at"] + size["gap"]
-        place = F.struct(start.alias("start"), (start + size["size"]).alias("end"))
-        return F.struct(
-            place["end"].alias("at"), F.concat(state["found"], F.array(place)).alias("found")
-        )
 
-    begin = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    return F.aggregate(sizes, begin, add, lambda state: state["found"])
+    def place(at: Column, size: Column) -> Column:
+        start = at + size["gap"]
+        return F.struct(start.alias("start"), (start + size["size"]).alias("end"))
+
+    return _running(
+        sizes,
+        F.lit(0),
+        lambda at, size: at + size["gap"] + size["size"],
+        lambda at, more: at + more,
+        place,
+        "array<struct<start:int,end:int>>",
+    )
 
 
 def _detections(words: Column, ordered: list[Rule]) -> Column:
@@ -246,34 +287,37 @@ def _suppressed(found: Column, levels: int) -> Column:
     In order of start, a container comes before what it contains, so it is enough to know how far
     the intervals of each priority have reached.
     """
-    none = F.array().cast("array<struct<label:string,start:int,end:int,priority:int>>")
-    begin = F.struct(F.array_repeat(F.lit(0), levels).alias("reach"), none.alias("kept"))
 
-    def add(state: Column, hit: Column) -> Column:
-        end = -hit["until"]
-        inside = F.exists(
-            F.slice(state["reach"], F.lit(1), hit["priority"]), lambda reach: reach >= end
+    def further(reach: Column, hit: Column) -> Column:
+        return F.transform(
+            reach,
+            lambda old, i: F.when(
+                i == hit["priority"] - 1, F.greatest(old, -hit["until"])
+            ).otherwise(old),
         )
-        kept = F.struct(
+
+    def kept(reach: Column, hit: Column) -> Column:
+        end = -hit["until"]
+        inside = F.exists(F.slice(reach, F.lit(1), hit["priority"]), lambda far: far >= end)
+        return F.struct(
             hit["label"].alias("label"),
             hit["start"].alias("start"),
             end.alias("end"),
             hit["priority"].alias("priority"),
-        )
-        reach = F.transform(
-            state["reach"],
-            lambda old, i: F.when(
-                i == hit["priority"] - 1, F.greatest(old, end)
-            ).otherwise(old),
-        )
-        return F.struct(
-            reach.alias("reach"),
-            F.when(inside, state["kept"])
-            .otherwise(F.concat(state["kept"], F.array(kept)))
-            .alias("kept"),
+            inside.alias("inside"),
         )
 
-    return F.aggregate(found, begin, add, lambda state: state["kept"])
+    marked = _running(
+        found,
+        F.array_repeat(F.lit(0), levels),
+        further,
+        lambda reach, more: F.zip_with(reach, more, lambda a, b: F.greatest(a, b)),
+        kept,
+        "array<struct<label:string,start:int,end:int,priority:int,inside:boolean>>",
+    )
+    return F.transform(
+        F.filter(marked, lambda hit: ~hit["inside"]), lambda hit: hit.dropFields("inside")
+    )
 
 
 def scan(
