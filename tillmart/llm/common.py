@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import itertools
 from collections.abc import Iterator
 
@@ -10,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _NUMBERS = itertools.count()
+_APPLICATIONS: set[str] = set()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,11 +22,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A folder that driver and executors share and that no other run uses.
 
-    It lies in `spark.checkpoint.dir`, else in the warehouse folder.
+    It lies in `spark.checkpoint.dir`, else in the warehouse folder, one of which a cluster has to share.
+    All of an application's are deleted as its driver exits, as lazy results read them until then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/tillmart/{app}/{name}-{next(_NUMBERS)}"
+    own = f"{root.rstrip('/')}/tillmart/{spark.sparkContext.applicationId}"
+    if own not in _APPLICATIONS:
+        _APPLICATIONS.add(own)
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        atexit.register(_delete, files, path)
+    return f"{own}/{name}-{next(_NUMBERS)}"
+
+
+def _delete(files, path) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone before
+        files.delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

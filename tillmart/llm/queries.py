@@ -44,7 +44,7 @@ def _joined(spans: Column) -> Column:
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = pii.with_spans(docs)
+    found = pii.with_spans(docs, model=pii.fit(docs), secrets=True)
     base = F.filter("pii_spans", lambda s: s["base"])
 
     def number(kind: str) -> Column:
