@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -24,11 +25,19 @@ from tillmart.sources import tables, testdata
 from tillmart.sources.raw import drop_blank_rows, ingest
 from tillmart.streaming.incremental import load_new_files
 
-try:  # an add-on that the rest does without
-    import corpus_pipeline
+
+def _is_there(name: str) -> bool:
+    """Whether there is a module of that name; a folder without one is none."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
+corpus_pipeline = llm_queries = None
+if _is_there("tillmart.llm"):  # an add-on that the rest does without
     from tillmart.llm import queries as llm_queries
-except ImportError:
-    corpus_pipeline = llm_queries = None
+
+    if _is_there("corpus_pipeline"):
+        import corpus_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,7 +338,9 @@ def queries() -> dict[str, Query]:
         name: on_files(name) for name in ON_FILES
     }
     if llm_queries:
-        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        found |= llm_queries.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
@@ -338,6 +349,6 @@ def oracle_sql() -> dict[str, str]:
     found = dict(ORACLES)
     if llm_queries:
         found |= llm_queries.ORACLES
-        if corpus_pipeline.ORACLE_SQL:
-            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
