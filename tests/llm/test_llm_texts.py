@@ -502,3 +502,41 @@ def test_smoothing_and_clusters_against_plain_sums():
         dense = html_text._dense(lines, radius, share).tolist()
         for is_dense, value in zip(dense, smooth):
             assert is_dense == (value >= threshold) or value == pytest.approx(threshold)
+
+
+#: Public notices, as they stand in files, and what they say.
+NOTICES = {
+    "gpl-3": "This program is free software: you can redistribute it and/or modify it under the terms of the"
+    " GNU General Public License as published by the Free Software Foundation, either version 3 of the License,"
+    " or (at your option) any later version.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the"
+    " GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the"
+    " License, or (at your option) any later version.",
+    "agpl-3": "under the terms of the GNU Affero General Public License as published by the Free Software"
+    " Foundation, either version 3 of the License",
+    "apache-2.0": "you may not use this file except in compliance with the License. You may obtain a copy at\n"
+    "   http://www.apache.org/licenses/LICENSE-2.0",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.",
+    "bsd": "Redistributions of source code must retain the above copyright notice, this list of conditions",
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to"
+    " endorse or promote products derived from this software",
+    "mit": "The above copyright notice and this permission notice shall be included in all copies or"
+    " substantial portions of the Software.",
+    "isc": "provided that the above copyright notice and this permission notice appear in all copies.",
+    "zlib": "Altered source versions must be plainly marked as such, and must not be misrepresented",
+    "cc-by-sa-4.0": "see https://creativecommons.org/licenses/by-sa/4.0/ for details",
+    "cc0": "http://creativecommons.org/publicdomain/zero/1.0/",
+    "unlicense": "For more information, please refer to <https://unlicense.org/>",
+}
+
+
+def test_notices_without_a_name_are_known_by_their_sentences(spark):
+    rows = list(enumerate(NOTICES.values()))
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).orderBy("doc_id").collect()
+    for label, row in zip(NOTICES, found):
+        assert label in row.labels.split(","), (label, row.labels)
+
+
+def test_rules_are_hundreds():
+    assert len(licenses.rules()) > 300
+    assert len(licenses.SIGNATURES) + len(licenses.SENTENCES) > 60
