@@ -100,6 +100,51 @@ def test_components_of_edges(spark):
     assert jaccard.components(df.limit(0)).count() == 0
 
 
+def template_group(rng, size):
+    """Texts of one template, each with words of its own: all alike, none enough."""
+    base = [f"t{i}" for i in range(200)]
+    texts = []
+    for k in range(size):
+        own = list(base)
+        for at in rng.sample(range(200), 12):
+            own[at] = f"own{k}x{at}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_pairs_of_a_template_group_that_is_not_alike_enough_stay_few(spark, monkeypatch):
+    """Five-word sets of which 0.4 to 0.6 are in common, and a link is asked for at 0.8."""
+    pairs = {}
+
+    def counted(df, name, original=jaccard.written):
+        found = original(df, name)
+        if name in ("across", "first-pairs"):
+            pairs[name] = pairs.get(name, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    numbers = []
+    for size in (40, 160):
+        pairs.clear()
+        rows = list(enumerate(template_group(random.Random(1), size)))
+        found = jaccard.similar_groups(documents(spark, rows)).collect()
+        assert all(r.component_id == r.doc_id for r in found)
+        numbers.append(sum(pairs.values()))
+    assert numbers[1] <= 4 * numbers[0] + 40
+
+
+def test_short_sketches_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        universe = rng.integers(0, 2**63, 400).astype(np.uint64)
+        size = int(rng.integers(5, 300))
+        a = np.unique(rng.choice(universe, size, replace=False))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.choice(universe, 3)]))
+        different = np.bitwise_count(jaccard.parity(a, 512) ^ jaccard.parity(b, 512)).sum()
+        assert different <= len(np.setxor1d(a, b))
+        assert len(jaccard.parity(a, 64 * jaccard.SHORT)) == jaccard.SHORT
+
+
 def test_fingerprints_estimate_jaccard(spark):
     rng = random.Random(7)
     pairs, truth = [], []

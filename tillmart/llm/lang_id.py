@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import text_slices
+from tillmart.llm.common import give_back, text_slices
 
 UNKNOWN = "und"
 COUNTS = "lang string, gram long, n long"
@@ -84,13 +84,14 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
 
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for rows in text_slices(batch, 1):
+            for rows in text_slices(batch, 1, 2**20):
                 langs = np.array(rows.column(0).to_pylist(), object)
                 codes, starts = _codes(rows.column(1).to_pylist())
                 for name in sorted(set(langs.tolist())):
                     own = [codes[starts[i] : starts[i + 1]] for i in np.flatnonzero(langs == name)]
                     found = _count(np.concatenate(own))
                     totals[name] = _added(totals[name], found) if name in totals else found
+            give_back()
         for name, (grams, numbers) in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(grams)), pa.array(grams), pa.array(numbers)],
@@ -163,7 +164,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for rows in text_slices(batch, at):
+            for rows in text_slices(batch, at, 2**20):
                 codes, starts = _codes(rows.column(at).to_pylist())
                 found = [_classify(model, codes[a:b]) for a, b in zip(starts, starts[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -174,6 +175,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     ],
                     names,
                 )
+            give_back()
 
     return kept.mapInArrow(classify, schema)
 
