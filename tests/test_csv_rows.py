@@ -52,15 +52,15 @@ def one_task(spark, path):
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
-@pytest.mark.parametrize("size", [30, 150, 2**20])
+@pytest.mark.parametrize("size", [60, 300, 2**20])
 def test_rows_are_those_of_one_task(spark, tmp_path, small_splits, size, end):
     rng = random.Random(size)
     letters = ["a", '"', "\n", "\n\n", ",", "b c", "é", "\n\"", " "]
     files = {}
     for f in range(3):
         rows = [["id", "cell", "more"]]
-        for k in range(rng.randint(20, 60)):
-            cell = "".join(rng.choices(letters, k=rng.randint(0, 40 if k % 9 else 400)))
+        for k in range(rng.randint(12, 25)):
+            cell = "".join(rng.choices(letters, k=rng.randint(0, 25 if k % 9 else 200)))
             rows.append([f"{f}-{k}", cell, rng.choice(["", "x", "1"])])
         files[f"{f}.csv"] = rows
     path = write_csv(tmp_path / "t", files, end)
