@@ -197,6 +197,19 @@ def test_forms_of_nothing_and_of_one_word(spark):
     assert formed(df) == [("alone", 3, 0, None, None, "alone")]
 
 
+def test_forms_of_awkward_words(spark):
+    """Null, empty and single letters, repeated rows, ties, letters beyond ASCII, clashing columns."""
+    counts = {"": 4, "a": 9, "ab": 2, "abc": 4, "abd": 4, "äbc": 1, "xyz": 4}
+    rows = [*counts.items(), (None, 7), (None, None), ("xyz", 3), ("xyz", 1)]
+    df = spark.createDataFrame(rows, "word string, n long")
+    for name in ("near", "root", "form", "bucket", "right", "length", "query"):
+        df = df.withColumn(name, F.lit("own"))
+    counts["xyz"] = 8
+    expected = formed_plainly({w: n for w, n in counts.items() if len(w) >= 2})
+    expected += [(w, counts[w], 0, None, None, w) for w in ("", "a")]
+    assert formed(df) == sorted(expected, key=str)
+
+
 def test_long_chains_reach_their_root(spark):
     words = ["a" * (40 - i) + "b" * i for i in range(40)]
     counts = {word: 2**i for i, word in enumerate(words)}

@@ -20,8 +20,6 @@ query's left half.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -279,7 +277,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of words of (word, n) that differ by exactly one
     inserted, deleted or replaced character, once each.
 
-    Words are distinct and have at least two characters. Rows with a null word take no part.
+    Words are distinct; those that are null or have fewer than two characters take no part.
     """
     words = written(words.filter(F.char_length("word") >= 2).select("word", "n"), "spelling-words")
     characters = words.agg(F.sum(F.char_length("word") + 1)).first()[0] or 0
@@ -351,15 +349,16 @@ def near_words(words: DataFrame) -> DataFrame:
 
 
 def forms(words: DataFrame, times: int = 2) -> DataFrame:
-    """(word, n, n_near, form, form_n, root) for each row of (word, n), distinct words.
+    """(word, n, n_near, form, form_n, root) for each word of (word, n).
 
-    `n_near` counts the near words. A word's form is the near word of largest n (ties: the smallest in
+    Rows of one word count together, rows without a word not at all; other columns are ignored. `n_near` counts the near words. A word's form is the near word of largest n (ties: the smallest in
     code-point order) if that n is at least `times` (2 or more) times its own, else null; its root is
     what following forms leads to, the word itself without one.
     """
     if times < 2:
         raise ValueError("forms must grow, so times is 2 or more")
-    words = written(words.select("word", "n"), "spelling-vocabulary")
+    known = words.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    words = written(known, "spelling-vocabulary")
     # Least of (-n, word): the largest n, then the smallest word.
     best = near_words(words).groupBy(F.col("word").alias("of")).agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best")
@@ -385,7 +384,8 @@ def roots(rows: DataFrame) -> DataFrame:
     Each round every word skips to where the one it points to points, so a chain of `k` forms takes
     `log2(k)` rounds; as n at least doubles along it, that is six rounds at most.
     """
-    links = written(rows.filter("form is not null").select("word", F.col("form").alias("root")), "spelling-links")
+    formed = rows.filter("form is not null")
+    links = written(formed.select("word", F.col("form").alias("root")), "spelling-links")
     while True:
         ahead = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
         links = written(
