@@ -386,7 +386,8 @@ ORACLES = {
             union all
             select walks.word, next, f.form from walks join formed f on f.word = next
         )
-        select formed.word, form, reached as root, n, n_near, form_n
+        -- As a double, which is how pandas holds whole numbers with nulls from Spark.
+        select formed.word, form, reached as root, n, n_near, cast(form_n as double) as form_n
         from formed join walks on walks.word = formed.word and next is null
     """,
 }
