@@ -183,6 +183,15 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def trim() -> None:
+    """As `give_back`, and what the C library keeps of freed arrays, where it can be asked to."""
+    import ctypes
+
+    give_back()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All of `start, start + 1, ...` of each length, in a row."""
     before = np.cumsum(lengths) - lengths

@@ -27,14 +27,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import give_back, shingle_hashes, text_slices, written
+from tillmart.llm.common import shingle_hashes, text_slices, trim, written
 
 FRAGMENT_BITS = 4
 #: Frequent n-grams that are ordered by frequency: those seen in at least `LEAST` documents of a
 #: few thousand, `MOST` of them at most. All others come before them, in order of their hashes.
 LEAST, MOST = 4, 2**19
 #: N-grams that are counted at a time.
-COUNTED = 2**21
+COUNTED = 2**20
 SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long>, short array<long>"
 #: 64-bit words of the sketch that pairs are held against while they are made.
 SHORT = 8
@@ -44,7 +44,7 @@ SEGMENTS = "digest binary, fragment int, grams array<long>"
 def _texts(batches, at: int = 0) -> Iterator:
     for batch in batches:
         yield from text_slices(batch, at, 2**21)
-        give_back()
+        trim()
 
 
 def frequent_grams(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import give_back, text_slices
+from tillmart.llm.common import text_slices, trim
 
 UNKNOWN = "und"
 COUNTS = "lang string, gram long, n long"
@@ -91,7 +91,7 @@ def ngram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                     own = [codes[starts[i] : starts[i + 1]] for i in np.flatnonzero(langs == name)]
                     found = _count(np.concatenate(own))
                     totals[name] = _added(totals[name], found) if name in totals else found
-            give_back()
+            trim()
         for name, (grams, numbers) in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(grams)), pa.array(grams), pa.array(numbers)],
@@ -175,7 +175,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     ],
                     names,
                 )
-            give_back()
+            trim()
 
     return kept.mapInArrow(classify, schema)
 

@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tillmart.llm.common import WordTable, give_back, text_slices
+from tillmart.llm.common import WordTable, give_back, text_slices, trim
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text where pieces are looked up; no text has half a surrogate pair.
@@ -193,6 +193,7 @@ def _mapped(df: DataFrame, column: str, into: str, kind, convert, texts: bool) -
                     columns.append(new)
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
                 give_back()
+            trim()
 
     return kept.mapInArrow(run, T.StructType(fields))
 
