@@ -40,7 +40,7 @@ NULL_ID = -(2**63)
 INDEX = "shard long, doc_id long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Bytes of text that are encoded together.
-TOGETHER = 2**23
+TOGETHER = 2**24
 #: Chunks that are encoded as one text.
 RUN = 2**10
 #: How byte-level models write a space.
