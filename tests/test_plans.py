@@ -170,6 +170,16 @@ def test_small_dimensions_are_broadcast_by_size(warehouse):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_many_devices_in_a_small_file_are_not_broadcast(spark, warehouse, tmp_path):
+    """Ids in sequence take next to no space in a file, but all of it in the driver."""
+    path = str(tmp_path / "devices")
+    ids = spark.range(500_000, numPartitions=2)
+    ids.selectExpr("id as device_id", "id div 2 as store_id").write.parquet(path)
+    devices = spark.read.parquet(path)
+    joined = marts.int_transactions_joined(warehouse.table("stg_transactions"), devices)
+    assert "Broadcast" not in final_plan(joined)
+
+
 def test_no_report_ranks_or_sums_the_fact_in_one_task(warehouse):
     """A single-partition exchange is fed by a global aggregate or by one row per group."""
     for name in build.select(tags=["analysis"]):
