@@ -85,3 +85,20 @@ def test_rows_without_ids_or_texts(spark, folder, name):
     out = run(spark, folder, name, rows)[1]
     expected = {"language_id": 0, "near_duplicates": 4}
     assert len(out) == expected.get(name, 5)
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_texts_reach_python_in_small_batches(spark, folder, name):
+    """Long-lived executors keep the room of the largest batch, several times over."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    run(spark, folder, name, [])
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    docs = spark.range(0, 2000, 1, 1).selectExpr("repeat(cast(id as string), 5000) as text")
+    found = [row[0] for row in docs.mapInArrow(sizes, "bytes long").collect()]
+    assert max(found) < 6_000_000 and sum(found) > 20_000_000

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import hash_strings, text_slices
+from tillmart.llm.common import hash_strings, text_slices, trim
 
 #: Passages that are compared with the documents at a time.
 BLOCK = 4096
@@ -118,6 +118,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
                 seen = np.unique(doc[known] * len(terms) + place[known])
                 total += np.bincount(seen % len(terms), minlength=len(terms))
                 rows_seen += rows.num_rows
+            trim()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [
@@ -443,6 +444,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         ],
                         ["doc_id", "item_id", "share", "answer"],
                     )
+                trim()
 
         found = found.union(rows.mapInArrow(search, LEAKS))
     return found
@@ -461,6 +463,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     kept = np.ones(some.num_rows, bool)
                     kept[[h[0] for h in find_leaks(block, some.column(at))]] = False
                     yield some.filter(pa.array(kept))
+                trim()
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs

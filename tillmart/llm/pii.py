@@ -35,6 +35,8 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 
+from tillmart.llm.common import trim
+
 KINDS = ("email", "ip", "card", "phone")
 SECRET = "secret"
 LABELS = (*KINDS, SECRET)
@@ -234,6 +236,7 @@ def fit(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(labels, pa.int32()), pa.array(words, pa.string())], ["label", "word"]
             )
+            trim()
 
     share = int(min(1.0, sample / max(1, docs.count())) * 2**20)
     few = docs.select(F.col(text).alias("text")).filter(
@@ -504,6 +507,7 @@ def redact(
             column = batch.column(at)
             clean = [x if x is None else _redacted(x, model, secrets) for x in column.to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean, column.type))
+            trim()
 
     return docs.mapInArrow(replace, schema)
 
