@@ -469,3 +469,20 @@ NATIVE = ("op4_licenses", "op7_fingerprints", "op9_chat")
 def test_native_plans_hold_no_python(spark, name):
     plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "MapIn", "ExistingRDD "))
+
+
+@pytest.mark.parametrize("size", [100, 1000, 1025, 3000])
+def test_short_sketches_tell_sets_apart(spark, size):
+    """Of long texts too, whose n-grams outnumber the bits of the shortest sketch."""
+    grams = np.random.default_rng(1).integers(0, 2**63, 2 * size, dtype=np.uint64)
+
+    def built(own):
+        text = " ".join(str(x) for x in own)
+        return jaccard._sets(documents(spark, [(1, text)]), 1, 80, (grams[:0], grams[:0])).select("n", "short")
+
+    def allowed(a, b):
+        both = built(a).alias("x").crossJoin(built(b).alias("y"))
+        return both.select(jaccard._short_sketches_allow(80, "x", "y")).first()[0]
+
+    own, near, other = grams[:size], grams[size // 10 : size + size // 50], grams[size:]
+    assert allowed(own, own) and allowed(own, near) and not allowed(own, other)

@@ -36,8 +36,9 @@ LEAST, MOST = 4, 2**19
 #: N-grams that are counted at a time.
 COUNTED = 2**20
 SETS = "doc_id long, n int, digest binary, prefix array<long>, parity array<long>, short array<long>"
-#: 64-bit words of the sketch that pairs are held against while they are made.
-SHORT = 8
+#: 64-bit words of the sketch that pairs are held against while they are made: of most sets, and of those
+#: with more n-grams than the first has bits twice over, in which it says nothing.
+SHORT, LONGER = 8, 32
 SEGMENTS = "digest binary, fragment int, grams array<long>"
 
 
@@ -108,7 +109,7 @@ def _sets(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
                 order = np.argsort(own, kind="stable") if own.any() else slice(None)
                 prefixes.append(grams[a:b][order][: prefix_size(b - a, percent) if b > a else 0])
                 parities.append(parity(grams[a:b]))
-                shorts.append(parity(grams[a:b], 64 * SHORT))
+                shorts.append(parity(grams[a:b], 64 * (SHORT if b - a <= 128 * SHORT else LONGER)))
 
             def lists(arrays):
                 cuts = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
@@ -206,13 +207,20 @@ def _possible(percent: int, a: dict[str, Column], b: dict[str, Column]) -> Colum
 
 
 def _short_sketches_allow(percent: int, a: str, b: str) -> Column:
-    """Whether the short sketches of two sides of a join differ in few enough bits."""
-    different = sum(
-        F.bit_count(F.get(f"{a}.short", F.lit(i)).bitwiseXOR(F.get(f"{b}.short", F.lit(i))))
-        for i in range(SHORT)
-    )
+    """Whether the short sketches of two sides of a join differ in few enough bits; of different lengths
+    nothing is said."""
+
+    def different(words: range) -> Column:
+        return sum(
+            F.bit_count(F.get(f"{a}.short", F.lit(i)).bitwiseXOR(F.get(f"{b}.short", F.lit(i))))
+            for i in words
+        )
+
+    first = different(range(SHORT))
+    rest = F.coalesce(different(range(SHORT, LONGER)), F.lit(0))  # null where there are no more
     both = F.col(f"{a}.n") + F.col(f"{b}.n")
-    return different * (100 + percent) <= both * (100 - percent)
+    few = (first + rest) * (100 + percent) <= both * (100 - percent)
+    return few | (F.size(f"{a}.short") != F.size(f"{b}.short"))
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
