@@ -107,6 +107,39 @@ def test_of_rows_with_one_id_one_counts(spark):
     assert mined(spark, rows + rows[:20] + rows[:20]) == mined_plainly(rows)
 
 
+def test_no_table_that_grows_with_the_queries_is_broadcast(spark, monkeypatch):
+    """Blocks of queries are copied many times; the driver would hold all copies. A row a bucket may go."""
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    write = hard_negatives.written
+    monkeypatch.setattr(hard_negatives, "written", lambda df, name: write(seen(df), name))
+    rows = random_rows(300)
+    found = hard_negatives.mine(
+        hard_negatives.vectors(embeddings(spark, rows)), F.col("id") % 10 == 0, bucket=16
+    )
+    seen(found)
+    joins = re.findall(r"\w+Join.*", "\n".join(plans))
+    assert {re.sub(r"#\d+L?", "", join) for join in joins if "Broadcast" in join} <= {
+        f"BroadcastHashJoin [bucket], [bucket], Inner, Build{side}, false"
+        for side in ("Left", "Right")
+    }
+    assert sum("SortMergeJoin [tile" in join for join in joins) == 4
+
+
+@pytest.mark.parametrize("tiles", [1, 100])
+def test_tiles_of_many_buckets_and_many_blocks(spark, monkeypatch, tiles):
+    """Each bucket meets each block once, however they are dealt to tiles."""
+    rows = random_rows(300)
+    monkeypatch.setattr(hard_negatives, "BLOCK", 3)
+    for name, value in (("TILES", tiles), ("TOGETHER", 5), ("BLOCKS", 4), ("LEAST", 2)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    assert mined(spark, rows, bucket=16) == mined_plainly(rows)
+
+
 def test_feasible_ranges_hold_all_that_qualify():
     """The bounds are those of a cap around the query: no vector of the cap lies outside."""
     rng = np.random.default_rng(3)

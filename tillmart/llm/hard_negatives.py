@@ -1,8 +1,8 @@
 """Hard-negative mining by inner-product search with length buckets and coordinate pruning (LEMP).
 
-Rows are ordered by length and cut into buckets of bounded size. Each bucket holds its vectors, its
-longest length, and for every coordinate the list of its rows sorted by that coordinate of the
-vector at unit length.
+Rows are ordered by length and cut into buckets of bounded size. Each bucket holds its vectors and its
+longest length; a task that opens it makes for every coordinate the list of its rows sorted by that
+coordinate of the vector at unit length.
 
 A query looks for the best rows whose score lies in a window. For a vector of length `l` and a query
 of length `q` the score `s` asks for a cosine of `s / (l q)` at least; with the bucket's longest
@@ -12,9 +12,9 @@ feasible ranges, and the rows in all of them are candidates. Their scores are co
 A bucket that is too short for the window is left out whole.
 
 How it is spread: a bucket is a row, a block of queries is a row, and a task takes pairs of them, so
-neither side is held whole anywhere. The longest bucket comes first; the scores found there raise the
-lower ends of the windows for all other buckets, since only better or equal rows can still count.
-The pruning decides about work only; every row is considered for every query.
+neither side is held whole anywhere, nor broadcast. The longest bucket comes first; the scores found
+there raise the lower ends of the windows for all other buckets, since only better or equal rows can
+still count. The pruning decides about work only; every row is considered for every query.
 """
 
 from __future__ import annotations
@@ -27,16 +27,18 @@ from pyspark.sql import functions as F
 
 from tillmart.llm.common import written
 
-#: Rows of a bucket, queries of a block, blocks that meet one copy of a bucket, and coordinates that a
-#: query looks at.
-BUCKET, BLOCK, BLOCKS, FOCUS = 4096, 256, 8, 4
+#: Rows of a bucket, queries of a block, and coordinates that a query looks at.
+BUCKET, BLOCK, FOCUS = 4096, 256, 4
+#: What meets under one key is a tile, of at most so many buckets and blocks. Up to TILES tiles a core,
+#: a tile has one bucket, and blocks are dealt to several tiles from LEAST blocks on.
+TOGETHER, BLOCKS, LEAST, TILES = 32, 64, 8, 4
 SCALE = 256
 #: For what rounding does to unit vectors.
 SLACK = 1e-9
 LOWEST, HIGHEST = -(2**62), 2**62
 BUCKETS = (
     "bucket long, longest double, width int, ids array<long>, labels array<int>,"
-    " vectors array<double>, lists array<int>"
+    " vectors array<double>"
 )
 FOUND = "query long, tag long, id long, score long"
 
@@ -67,8 +69,7 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
-    """Length buckets of `size` rows of (id, label, vector), with their sorted coordinate lists; `place` counts them
-    from 0, the longest first.
+    """Length buckets of `size` rows of (id, label, vector); `place` counts them from 0, the longest first.
 
     Dealt out by range of length and id, so that many rows of one length are many buckets. Vectors of
     unlike size count as filled up with zeros.
@@ -89,7 +90,6 @@ def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
             width = int(sizes.max())
             matrix = np.zeros((len(sizes), width))
             matrix[np.arange(width) < sizes[:, None]] = lists.flatten().to_numpy()
-            order = np.argsort(_unit(matrix), axis=0, kind="stable").astype(np.int32)
             longest = float(np.sqrt((matrix * matrix).sum(axis=1)).max())
             one = {
                 "bucket": pa.array([bucket]),
@@ -98,7 +98,6 @@ def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
                 "ids": pa.array([part.column("id").to_numpy()], pa.list_(pa.int64())),
                 "labels": pa.array([part.column("label").to_numpy()], pa.list_(pa.int32())),
                 "vectors": pa.array([matrix.ravel()], pa.list_(pa.float64())),
-                "lists": pa.array([order.T.ravel()], pa.list_(pa.int32())),
             }
             return pa.RecordBatch.from_arrays(list(one.values()), list(one))
 
@@ -133,11 +132,12 @@ def feasible(focus: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
 class Bucket:
     """A bucket as a task works on it."""
 
-    def __init__(self, longest: float, width: int, ids, labels, numbers, lists):
+    def __init__(self, longest: float, width: int, ids, labels, numbers):
         self.longest, self.width, self.ids, self.labels = longest, width, ids, labels
         self.matrix = numbers.reshape(len(ids), width)
-        self.lists = lists.reshape(width, len(ids))
-        self.sorted = np.take_along_axis(_unit(self.matrix).T, self.lists, axis=1)
+        unit = np.ascontiguousarray(_unit(self.matrix).T)
+        self.lists = np.argsort(unit, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(unit, self.lists, axis=1)
 
     def candidates(self, query: np.ndarray, length: float, least: int) -> np.ndarray | None:
         """Places of all rows whose score may be `least` or more; None stands for all.
@@ -183,15 +183,19 @@ class Bucket:
 
 def _search(pairs: DataFrame, most: int) -> DataFrame:
     """The best `most` rows of each bucket for each window of each query of the block beside it."""
-    parts = ("ids", "labels", "vectors", "lists")
+    parts = ("ids", "labels", "vectors")
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
+        open_place, bucket = None, None
         for batch in batches:
             for row in batch.to_struct_array() if batch.num_rows else ():
-                flat = [row[name].values.to_numpy(zero_copy_only=False) for name in parts]
-                bucket = Bucket(row["longest"].as_py(), row["width"].as_py(), *flat)
+                # The join gives a bucket's blocks one after the other.
+                if row["place"].as_py() != open_place:
+                    flat = [row[name].values.to_numpy(zero_copy_only=False) for name in parts]
+                    bucket = Bucket(row["longest"].as_py(), row["width"].as_py(), *flat)
+                    open_place = row["place"].as_py()
                 found: list[tuple] = []
                 for query in row["queries"].values:
                     vector = query["vector"].values.to_numpy(zero_copy_only=False)
@@ -203,30 +207,39 @@ def _search(pairs: DataFrame, most: int) -> DataFrame:
                     columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)]
                     yield pa.RecordBatch.from_arrays(columns, ["query", "tag", "id", "score"])
 
-    names = ["longest", "width", *parts, "queries"]
+    names = ["place", "longest", "width", *parts, "queries"]
     return pairs.select(*names).mapInArrow(run, FOUND)
 
 
 def _against(cells: DataFrame, first: int, last: int, queries: DataFrame, most: int) -> DataFrame:
     """Each of the written `queries` against each bucket from `first` to `last`, in blocks.
 
-    Blocks are copied to buckets, which are far larger; a bucket is copied only where very many
-    blocks would meet in its task.
+    Blocks are copied to tiles of neighbouring buckets, which are far larger; a bucket is copied only
+    where very many blocks would meet in its task. The copies of the blocks outgrow the file of queries
+    by the number of tiles, which the optimizer does not see, so it is told not to broadcast them.
     """
-    blocks = max(1, -(-queries.count() // BLOCK))
+    blocks, number = max(1, -(-queries.count() // BLOCK)), last - first + 1
+    tiles = TILES * queries.sparkSession.sparkContext.defaultParallelism
+    copies = max(-(-blocks // BLOCKS), min(-(-blocks // LEAST), tiles // number))
+    together = max(1, min(TOGETHER, number * copies // tiles))
     packed = queries.groupBy(
         F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).alias("block")
     ).agg(F.collect_list(F.struct("id", "label", "vector", "windows")).alias("queries"))
-    copies = -(-blocks // BLOCKS)
     packed = packed.select(
-        F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))).alias("place"),
+        F.explode(
+            F.sequence(F.lit(first // together).cast("long"), F.lit(last // together).cast("long"))
+        ).alias("tile"),
         F.pmod("block", F.lit(copies)).cast("long").alias("copy"),
         "queries",
     )
-    copied = cells.filter(F.col("place").between(first, last)).withColumn(
-        "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long")))
+    copied = (
+        cells.filter(F.col("place").between(first, last))
+        .withColumn("tile", F.floor(F.col("place") / together))
+        .withColumn(
+            "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long")))
+        )
     )
-    return _search(copied.join(packed, ["place", "copy"]), most)
+    return _search(copied.join(packed.hint("merge"), ["tile", "copy"]), most)
 
 
 def _best(found: DataFrame, most: int) -> DataFrame:
@@ -262,7 +275,9 @@ def best_in_windows(cells: DataFrame, queries: DataFrame, most: int) -> DataFram
             "low", F.greatest(w["low"], F.try_element_at("reached", w["tag"]))
         )
 
-    later = queries.join(reached, F.col("id") == F.col("query"), "left").select(
+    # As the joins of `mine`, by shuffles whatever the sizes: what grows with the queries would go through
+    # the driver in a broadcast, and files of ids are far smaller than their rows.
+    later = queries.join(reached.hint("merge"), F.col("id") == F.col("query"), "left").select(
         "id", "label", "vector", F.transform("windows", raised).alias("windows")
     )
     rest = _against(cells, 1, number - 1, written(later, "lemp-raised"), most)
@@ -325,13 +340,13 @@ def mine(
         .groupBy("id")
         .agg(F.collect_list(window).alias("windows"))
     )
-    hard = best_in_windows(cells, asked.join(asking, "id"), negatives).select(
+    hard = best_in_windows(cells, asked.join(asking.hint("merge"), "id"), negatives).select(
         F.col("query").alias("anchor_id"),
         F.col("tag").alias("positive_score"),
         "rank",
         F.col("id").alias("negative_id"),
         F.col("score").alias("negative_score"),
     )
-    return chosen.join(hard, ["anchor_id", "positive_score"]).select(
+    return chosen.hint("merge").join(hard, ["anchor_id", "positive_score"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
     )
